@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripspark.functions import bin_order, chain_distance_bin, right_open_distance_bin
+from tripspark.operators.quantiles import as_row, exact_quantiles
 from tripspark.schemas import DIST_BIN_LABELS, REPORT_PROBS
 
 # percentile_approx accuracy of the reports (relative error 1/accuracy).
@@ -40,14 +41,18 @@ def feature_profile(df: DataFrame, digits: int | None = 6) -> DataFrame:
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = tuple(REPORT_PROBS),
-              accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """``percentile_approx`` of several columns in one pass, returned
-    long as (column, prob, value).
+              accuracy: int = DEFAULT_ACCURACY, method: str = "approx") -> DataFrame:
+    """Quantiles of several columns, long as (column, prob, value).
 
-    The sketch is merged on executors and its size is bounded by
-    ``accuracy``, not by the row count. With ``accuracy`` above the row
-    count the result is the exact lower quantile.
+    ``method="approx"``: ``percentile_approx`` in one pass; the sketch is
+    merged on executors and its size is bounded by ``accuracy``.
+    ``method="exact"``: the ceil(q*n)-th smallest value, found by bounded
+    narrowing passes (``tripspark.operators.quantiles``).
     """
+    if method == "exact":
+        return exact_quantiles(df, cols, probs, accuracy=accuracy)
+    if method != "approx":
+        raise ValueError("method must be 'approx' or 'exact'")
     arr = F.array(*[F.lit(float(p)) for p in probs])
     wide = df.select(*[F.percentile_approx(c, arr, accuracy).alias(c) for c in cols])
     parts = [F.struct(F.lit(c).alias("column"), F.col(c).alias("vals")) for c in cols]
@@ -113,15 +118,21 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
 
 def residual_summary(pred: DataFrame, probs: Sequence[float] = tuple(REPORT_PROBS),
-                     accuracy: int = DEFAULT_ACCURACY, digits: int | None = 6) -> DataFrame:
+                     accuracy: int = DEFAULT_ACCURACY, digits: int | None = 6,
+                     method: str = "approx") -> DataFrame:
     """Residual mean, sample stddev and quantiles, one row."""
     df = with_errors(pred) if "resid" not in pred.columns else pred
+    names = [f"resid_q{int(round(p * 100))}" for p in probs]
+    moments = df.select(_r(F.mean("resid"), digits).alias("resid_mean"),
+                        _r(F.stddev_samp("resid"), digits).alias("resid_std"))
+    if method == "exact":
+        qrow = as_row(exact_quantiles(df, ["resid"], probs, accuracy=accuracy), "resid", probs, names)
+        return moments.crossJoin(qrow)  # two one-row aggregates
     q = F.percentile_approx("resid", F.array(*[F.lit(float(p)) for p in probs]), accuracy)
     out = df.select(_r(F.mean("resid"), digits).alias("resid_mean"),
                     _r(F.stddev_samp("resid"), digits).alias("resid_std"),
                     q.alias("_q"))
-    return out.select("resid_mean", "resid_std",
-                      *[F.col("_q")[i].alias(f"resid_q{int(round(p * 100))}") for i, p in enumerate(probs)])
+    return out.select("resid_mean", "resid_std", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 def calibration(pred: DataFrame, digits: int | None = 6) -> DataFrame:
@@ -150,8 +161,12 @@ def error_by(pred: DataFrame, key: Column | str, name: str | None = None, digits
 
 def quantile_splits(df: DataFrame, col: str, n_buckets: int = 5, relative_error: float = 0.01) -> DataFrame:
     """Interior split points of ``n_buckets`` quantile buckets, as a one-row
-    DataFrame with an array column ``splits`` (computed on executors)."""
+    DataFrame with an array column ``splits`` (computed on executors).
+    ``relative_error=0`` gives exact splits (bounded narrowing passes)."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
+    if relative_error == 0:
+        long = exact_quantiles(df, [col], probs)
+        return long.agg(F.sort_array(F.collect_list("value")).alias("splits"))
     accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 2**31 - 1
     return df.select(F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), accuracy)
                      .alias("splits"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tripspark.operators import marts, ml, quality, sampling
 from tripspark.operators.features import (
@@ -29,11 +30,6 @@ from tripspark.sources.sinks import (
     export_predictions, ingest_files, read_bronze, write_report_csv, write_table,
 )
 
-# Accuracy used where a report must equal an exact quantile: the sketch
-# keeps at most ~1/accuracy relative rank error, so above the row count it
-# returns the exact lower quantile; its memory is bounded by this number,
-# not by the data.
-EXACT_ACCURACY = 10_000_000
 AS_OF = "2024-06-01 00:00:00"
 RAW_FILES_PER_BATCH = 4
 
@@ -125,6 +121,30 @@ def q_prediction_export(spark, sf_dir):
     return _round_log(read_csv(spark, path, schema=out.schema))
 
 
+def q_bronze_stream(spark, sf_dir):
+    """S1 as a file stream (4 files per micro-batch, availableNow)."""
+    from tripspark.streaming.ingest import run_ingest
+
+    files = _write_raw_files(spark, sf_dir)
+    source = files[0].split("/src_month=")[0]
+    path = run_ingest(spark, source, scratch_path(spark, "bronze-stream"),
+                      scratch_path(spark, "bronze-stream-ckpt"), files_per_trigger=RAW_FILES_PER_BATCH,
+                      extra=T.StructType([T.StructField("event_id", T.LongType())]))
+    return read_bronze(spark, path).drop("ingest_batch")
+
+
+def q_stream_scores(spark, sf_dir):
+    """M12 in micro-batches: a saved model scores a feature stream."""
+    from tripspark.streaming.scoring import run_scoring
+
+    model_path = ml.save(_linear_model(spark, sf_dir), scratch_path(spark, "linreg-model"))
+    in_path = write_table(features_df(spark, sf_dir), scratch_path(spark, "stream-in"))
+    schema = read_table(spark, in_path).schema
+    out = run_scoring(spark, in_path, schema, model_path, scratch_path(spark, "stream-out"),
+                      scratch_path(spark, "stream-ckpt"))
+    return _round_log(read_table(spark, out)).withColumn("fare_pred", F.round("fare_pred", 4))
+
+
 # ------------------------------------------------------------------ silver/marts
 def q_silver_typed(spark, sf_dir):
     return typed(harmonize_names(bronze(spark, sf_dir)))
@@ -226,13 +246,11 @@ def q_feature_profile(spark, sf_dir):
 
 
 def q_feature_quantiles(spark, sf_dir):
-    return quality.quantiles(features_df(spark, sf_dir), ["label", "trip_distance"],
-                             accuracy=EXACT_ACCURACY)
+    return quality.quantiles(features_df(spark, sf_dir), ["label", "trip_distance"], method="exact")
 
 
 def q_silver_quantiles(spark, sf_dir):
-    return quality.quantiles(silver_df(spark, sf_dir), ["fare_amount", "trip_minutes"],
-                             accuracy=EXACT_ACCURACY)
+    return quality.quantiles(silver_df(spark, sf_dir), ["fare_amount", "trip_minutes"], method="exact")
 
 
 def q_label_correlations(spark, sf_dir):
@@ -270,7 +288,7 @@ def q_regression_metrics_formula(spark, sf_dir):
 
 
 def q_residual_summary(spark, sf_dir):
-    return quality.residual_summary(predictions_df(spark, sf_dir), accuracy=EXACT_ACCURACY)
+    return quality.residual_summary(predictions_df(spark, sf_dir), method="exact")
 
 
 def q_calibration(spark, sf_dir):
@@ -287,13 +305,13 @@ def q_error_by_weekend(spark, sf_dir):
 
 def q_quantile_buckets(spark, sf_dir):
     b = quality.quantile_buckets(predictions_df(spark, sf_dir), "trip_distance",
-                                 relative_error=1.0 / EXACT_ACCURACY)
+                                 relative_error=0.0)
     return b.select("event_id", "trip_distance", "dist_bucket")
 
 
 def q_error_by_quantile_bucket(spark, sf_dir):
     return quality.error_by_quantile_bucket(predictions_df(spark, sf_dir),
-                                            relative_error=1.0 / EXACT_ACCURACY)
+                                            relative_error=0.0)
 
 
 def q_error_by_distance_bin(spark, sf_dir):

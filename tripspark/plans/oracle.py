@@ -214,6 +214,7 @@ ols AS (SELECT *, ybar + {fit} AS ols_pred FROM {prev})""")
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = with_("bronze") + f"SELECT *, {_BATCH} AS ingest_batch FROM bronze"
+    q["bronze_stream"] = with_("bronze") + "SELECT * FROM bronze"
     q["ingest_batch_counts"] = with_("bronze", f"""
 b AS (SELECT {_BATCH} AS ingest_batch FROM bronze),
 c AS (SELECT ingest_batch, count(*) AS rows FROM b GROUP BY ingest_batch)""") + \
@@ -390,4 +391,5 @@ SELECT {_PRED_COLS} FROM pred ORDER BY md5('7:' || CAST(event_id AS VARCHAR)), e
     q["score_batch"] = with_("split", _ols_ctes()) + f"""
 SELECT trip_distance, round(log_distance, 10) AS log_distance, trip_minutes, passenger_count, hour,
        is_weekend, label, event_id, round(ols_pred, 4) AS fare_pred FROM ols"""
+    q["stream_scores"] = q["score_batch"]
     return q
