@@ -27,8 +27,19 @@ ZONES = 265
 # -----------------------------------------------------------------------------
 
 
+# Declared schemas of the driver tables used here: a declared schema skips
+# the footer-reading job that schema inference starts on every read.
+DRIVER_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bronze_from_events(events: DataFrame) -> DataFrame:
@@ -36,6 +47,8 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
 
     The conflicting duplicates are produced by ``explode`` of a one- or
     two-element sequence, so ``events`` is scanned once (no self-union).
+    Time shifts are whole days or seconds, added as microseconds (the same
+    instant as adding a day-time interval, without decimal arithmetic).
     """
     e = F.col("event_id")
     v = F.floor(F.col("value") * 100 + 0.5).cast("bigint")
@@ -45,19 +58,20 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
         v.alias("v"),
         F.when(e % ZERO_SECONDS_MOD == 0, F.lit(0).cast("bigint"))
          .otherwise(60 + F.floor(v * 12 / 100) + (e % 7) * 60).alias("secs"),
-        (F.col("ts").cast("timestamp")
-         + F.make_dt_interval(days=(MONTH_SHIFT_DAYS * (e % 3)).cast("int"))).alias("pickup"),
+        (F.unix_micros(F.col("ts").cast("timestamp"))
+         + MONTH_SHIFT_DAYS * (e % 3) * 86_400_000_000).alias("pickup_us"),
         F.explode(F.sequence(F.lit(0), F.when(e % DUPLICATE_MOD == 0, 1).otherwise(0))).alias("copy"),
     )
     e = F.col("event_id")
     v = F.col("v")
     secs = F.col("secs")
+    pickup = F.timestamp_micros(F.col("pickup_us"))
     fare = (250 + F.floor(v / 4) + F.floor(secs * 5 / 6) + (e % 11 - 5) * 10) / 100
     return base.select(
         (e % 2 + 1).alias("VendorID"),
-        F.col("pickup").alias("tpep_pickup_datetime"),
+        pickup.alias("tpep_pickup_datetime"),
         F.when(e % NULL_DROPOFF_MOD == 0, F.lit(None).cast("timestamp"))
-         .otherwise(F.col("pickup") + F.make_dt_interval(secs=secs)).alias("tpep_dropoff_datetime"),
+         .otherwise(F.timestamp_micros(F.col("pickup_us") + secs * 1_000_000)).alias("tpep_dropoff_datetime"),
         F.when(e % NULL_PASSENGERS_MOD == 0, F.lit(None).cast("double"))
          .otherwise((F.col("user_id") % 6 + 1).cast("double")).alias("passenger_count"),
         F.when(e % ZERO_DISTANCE_MOD == 0, F.lit(0.0)).otherwise(v / 1000).alias("trip_distance"),
