@@ -22,11 +22,11 @@ def test_stream_ingest_restart_adds_nothing_and_picks_up_new_files(spark, scratc
     run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
     first = read_bronze(spark, bronze)
     n1, batches = first.count(), first.select("ingest_batch").distinct().count()
-    assert n1 == 1020 and batches == 2
+    assert n1 == 1020 and batches == 4
     run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
     assert read_bronze(spark, bronze).count() == n1
     extra = first.limit(7).drop("ingest_batch").withColumn("event_id", F.col("event_id") + 10**12)
-    extra.coalesce(1).write.parquet(f"{src}/src_month=2099-01/src_vendor=1")
+    extra.coalesce(1).write.parquet(f"{src}/src_month=2099-01/src_part=0")
     run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
     assert read_bronze(spark, bronze).count() == n1 + 7
 

@@ -31,6 +31,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tripspark.session import shared_dir
+
 DEFAULT_ACCURACY = 10000
 DEFAULT_MAX_CANDIDATES = 1_000_000
 
@@ -98,10 +100,19 @@ def _count_pass(df: DataFrame, targets: list[_Target]) -> None:
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     accuracy: int = DEFAULT_ACCURACY,
                     max_candidates: int = DEFAULT_MAX_CANDIDATES,
-                    max_rounds: int = 16) -> DataFrame:
+                    max_rounds: int = 16, materialize: bool = True) -> DataFrame:
     """Exact quantiles as (column, prob, value double); value is null for a
-    column without non-null values. See the module docstring."""
+    column without non-null values. See the module docstring.
+
+    ``materialize``: the projected columns are checkpointed (reliably, to
+    the shared ``spark.checkpoint.dir``) before the passes, so each pass
+    reads them instead of recomputing the input's lineage (and a lost
+    executor does not send the search back to the source).
+    """
     cols, probs = list(cols), [float(p) for p in probs]
+    if materialize:
+        shared_dir(df.sparkSession)
+        df = df.select(*cols).checkpoint(eager=True)
     counts = df.select(*[F.count(F.col(c)).alias(c) for c in cols]).first()
     targets = [_Target(c, p, max(1, math.ceil(p * counts[c]))) for c in cols for p in probs
                if counts[c] > 0]

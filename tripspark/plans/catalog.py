@@ -32,6 +32,9 @@ from tripspark.sources.sinks import (
 
 AS_OF = "2024-06-01 00:00:00"
 RAW_FILES_PER_BATCH = 4
+# Source files per month: a month's rows are spread over this many files
+# (by event_id), so no single write task holds a whole (possibly hot) month.
+RAW_PARTS_PER_MONTH = 4
 
 
 # ------------------------------------------------------------------ base frames
@@ -56,13 +59,14 @@ def _round_log(df: DataFrame) -> DataFrame:
 
 
 def _write_raw_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Monthly per-vendor trip files, as a drop folder would hold them."""
+    """Monthly trip files, as a drop folder would hold them: one file per
+    (month, part); part = event_id % RAW_PARTS_PER_MONTH."""
     raw = scratch_path(spark, "raw-trips")
     b = bronze(spark, sf_dir)
     (b.withColumn("src_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-      .withColumn("src_vendor", F.col("VendorID"))
-      .repartition("src_month", "src_vendor")
-      .write.partitionBy("src_month", "src_vendor").parquet(raw))
+      .withColumn("src_part", F.col("event_id") % RAW_PARTS_PER_MONTH)
+      .repartition("src_month", "src_part")
+      .write.partitionBy("src_month", "src_part").parquet(raw))
     return list_files(spark, raw)
 
 

@@ -129,7 +129,8 @@ _PRED_COLS = _FEATURE_COLS + ", fare_pred"
 _SILVER_COLS = ("VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
                 "PULocationID, DOLocationID, fare_amount, total_amount, event_id, trip_minutes, hour, dow, ym")
 
-_BATCH = "CAST((dense_rank() OVER (ORDER BY strftime(tpep_pickup_datetime, '%Y-%m'), VendorID) - 1) // 4 AS BIGINT)"
+_BATCH = ("CAST((dense_rank() OVER (ORDER BY strftime(tpep_pickup_datetime, '%Y-%m'), event_id % 4) - 1) // 4 "
+          "AS BIGINT)")
 
 
 def _quantiles_long(source: str, cols: list[str]) -> str:
