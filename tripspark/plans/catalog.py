@@ -21,7 +21,7 @@ from tripspark.operators.features import (
 from tripspark.operators.scoring import score, score_batch
 from tripspark.operators.silver import dedupe, harmonize_names, rejection_audit, silver, typed
 from tripspark.schemas import FEATS, SILVER_KEY
-from tripspark.session import scratch_path
+from tripspark.session import scratch_path, shared_dir
 from tripspark.sources.fixtures import (
     bronze_trips, upload_a_frame, upload_b_frame, with_fixed_prediction,
 )
@@ -77,8 +77,16 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, path)
 
 
+def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature layer, checkpointed to the shared folder: model fits and
+    evaluations scan it several times, and should not redo the Silver
+    shuffle (or go back to the source after a lost executor) each time."""
+    shared_dir(spark)
+    return features_df(spark, sf_dir).checkpoint(eager=True)
+
+
 def _split(spark: SparkSession, sf_dir: str):
-    return sampling.hash_split(features_df(spark, sf_dir))
+    return sampling.hash_split(_feature_table(spark, sf_dir))
 
 
 def _linear_model(spark: SparkSession, sf_dir: str, prediction_col: str = "prediction"):
@@ -141,8 +149,9 @@ def q_stream_scores(spark, sf_dir):
     """M12 in micro-batches: a saved model scores a feature stream."""
     from tripspark.streaming.scoring import run_scoring
 
-    model_path = ml.save(_linear_model(spark, sf_dir), scratch_path(spark, "linreg-model"))
     in_path = write_table(features_df(spark, sf_dir), scratch_path(spark, "stream-in"))
+    train, _ = sampling.hash_split(read_table(spark, in_path))
+    model_path = ml.save(ml.fit_linear(train), scratch_path(spark, "linreg-model"))
     schema = read_table(spark, in_path).schema
     out = run_scoring(spark, in_path, schema, model_path, scratch_path(spark, "stream-out"),
                       scratch_path(spark, "stream-ckpt"))
@@ -367,9 +376,10 @@ def q_sample_fixed_n(spark, sf_dir):
 
 # ------------------------------------------------------------------ models
 def q_scaled_features(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
+    feats = _feature_table(spark, sf_dir)
+    train, _ = sampling.hash_split(feats)
     model = ml.fit_scaler_only(train)
-    out = ml.scaled_columns(model, features_df(spark, sf_dir))
+    out = ml.scaled_columns(model, feats)
     return out.select("event_id", *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in FEATS])
 
 
@@ -381,9 +391,9 @@ def q_lr_predictions(spark, sf_dir):
 
 
 def q_score_batch(spark, sf_dir):
-    model = _linear_model(spark, sf_dir)
-    model_path = ml.save(model, scratch_path(spark, "linreg-model"))
     in_path = write_table(features_df(spark, sf_dir), scratch_path(spark, "score-in"))
+    train, _ = sampling.hash_split(read_table(spark, in_path))
+    model_path = ml.save(ml.fit_linear(train), scratch_path(spark, "linreg-model"))
     out_path = score_batch(spark, in_path, scratch_path(spark, "score-out"), model_path,
                            mode="features", fmt="parquet")
     return _round_log(read_table(spark, out_path)).withColumn("fare_pred", F.round("fare_pred", 4))
