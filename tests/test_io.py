@@ -101,3 +101,9 @@ def test_jobs_end_to_end(spark, scratch):
     rep = jobs.prediction_report(spark, pred, scratch("report"))
     assert R.read_csv(spark, rep["by_hour"]).count() == 24
     assert jobs.smoke(spark, scratch("smoke")) == 5
+
+
+def test_register_view(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    K.register_view(df, "trips_view_test")
+    assert spark.sql("SELECT count(*) AS n FROM trips_view_test").first().n == 2

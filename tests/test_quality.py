@@ -114,3 +114,27 @@ def test_residual_summary_exact_matches_approx_on_small_data(spark):
     approx = Q.residual_summary(df, accuracy=100000).first()
     assert exact == approx
     assert exact.resid_q50 == 50.0
+
+
+def test_smallest_n_threshold_path_equals_brute_force(spark):
+    from tripspark.operators.quantiles import smallest_n
+
+    rnd = random.Random(5)
+    rows = [(i, float(rnd.randint(0, 300)) if i % 37 else None) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, v double").repartition(6)
+    order = [F.col("v").asc(), F.col("id").asc()]
+    got = [(r.id, r.v) for r in smallest_n(df, 1500, order, F.col("v"), direct_max=10).collect()]
+    want = sorted(rows, key=lambda t: (t[1] is not None, t[1] if t[1] is not None else 0, t[0]))[:1500]
+    assert got == want
+    assert smallest_n(df, 10**6, order, F.col("v"), direct_max=10).count() == 4000
+
+
+def test_quantile_buckets_equal_quantile_discretizer(spark):
+    from pyspark.ml.feature import QuantileDiscretizer
+    from tripspark.plans.catalog import predictions_df
+
+    p = predictions_df(spark, "/root/testdata/sf0.001")
+    ours = Q.quantile_buckets(p, "trip_distance", relative_error=0.0).select("event_id", "dist_bucket")
+    qd = QuantileDiscretizer(numBuckets=5, inputCol="trip_distance", outputCol="dist_bucket", relativeError=0.0)
+    theirs = qd.fit(p).transform(p).select("event_id", "dist_bucket")
+    assert ours.exceptAll(theirs).count() == 0 and theirs.exceptAll(ours).count() == 0

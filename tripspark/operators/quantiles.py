@@ -97,6 +97,47 @@ def _count_pass(df: DataFrame, targets: list[_Target]) -> None:
             t.below, t.inside = 0, None  # recount below
 
 
+def _narrow(df: DataFrame, targets: list[_Target], totals: dict[str, int], accuracy: int,
+            max_candidates: int, max_rounds: int) -> None:
+    """Steps 1-3: narrow every target to at most ``max_candidates`` rows."""
+    big = [t for t in targets if t.inside > max_candidates]
+    first = True
+    for _ in range(max_rounds):
+        if not big:
+            return
+        _bracket_pass(df, big, accuracy, first)
+        _count_pass(df, big)
+        for t in big:
+            if t.inside is None:
+                t.inside = totals[t.col]
+        first = False
+        big = [t for t in big if t.inside > max_candidates and not t.resolved()]
+    if big:
+        raise RuntimeError("exact quantile search did not converge; raise max_candidates or accuracy")
+
+
+def _final_value(t: _Target, final_accuracy: int) -> Column:
+    vals = F.when(t.between(), F.col(t.col).cast("double"))
+    return (F.lit(t.lo) if t.resolved()
+            else F.percentile_approx(vals, F.lit(t.inner_prob()), final_accuracy))
+
+
+def kth_smallest(df: DataFrame, col: str, k: int, accuracy: int = DEFAULT_ACCURACY,
+                 max_candidates: int = DEFAULT_MAX_CANDIDATES, max_rounds: int = 16,
+                 materialize: bool = True) -> tuple[int, float | None]:
+    """(number of non-null values, exact k-th smallest as double or None if
+    there are fewer than k). Runs the passes eagerly."""
+    if materialize:
+        shared_dir(df.sparkSession)
+        df = df.select(col).checkpoint(eager=True)
+    total = df.select(F.count(F.col(col))).first()[0]
+    if total < k or k < 1:
+        return total, None
+    t = _Target(col, k / total, k, inside=total)
+    _narrow(df, [t], {col: total}, accuracy, max_candidates, max_rounds)
+    return total, df.select(_final_value(t, 2 * max_candidates + 1)).first()[0]
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     accuracy: int = DEFAULT_ACCURACY,
                     max_candidates: int = DEFAULT_MAX_CANDIDATES,
@@ -118,29 +159,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                if counts[c] > 0]
     for t in targets:
         t.inside = counts[t.col]
-    big = [t for t in targets if t.inside > max_candidates]
-    first = True
-    for _ in range(max_rounds):
-        if not big:
-            break
-        _bracket_pass(df, big, accuracy, first)
-        _count_pass(df, big)
-        for t in big:
-            if t.inside is None:
-                t.inside = counts[t.col]
-        first = False
-        big = [t for t in big if t.inside > max_candidates and not t.resolved()]
-    if big:
-        raise RuntimeError("exact quantile search did not converge; raise max_candidates or accuracy")
-
+    _narrow(df, targets, {c: counts[c] for c in cols}, accuracy, max_candidates, max_rounds)
     final_accuracy = 2 * max_candidates + 1
-    exprs = []
-    for i, t in enumerate(targets):
-        vals = F.when(t.between(), F.col(t.col).cast("double"))
-        value = (F.lit(t.lo) if t.resolved()
-                 else F.percentile_approx(vals, F.lit(t.inner_prob()), final_accuracy))
-        exprs.append(F.struct(F.lit(t.col).alias("column"), F.lit(t.prob).alias("prob"),
-                              value.alias("value")))
+    exprs = [F.struct(F.lit(t.col).alias("column"), F.lit(t.prob).alias("prob"),
+                      _final_value(t, final_accuracy).alias("value")) for t in targets]
     missing = [(c, p) for c in cols for p in probs if counts[c] == 0]
     for c, p in missing:
         exprs.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
@@ -154,3 +176,28 @@ def as_row(long: DataFrame, col: str, probs: Sequence[float], names: Sequence[st
     sel = long.where(F.col("column") == col)
     return sel.agg(*[F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(n)
                      for p, n in zip(probs, names)])
+
+
+# Below this many rows a plain ``orderBy().limit()`` (TakeOrderedAndProject)
+# is cheap: each map task sends at most n rows to the final task.
+DIRECT_TOP_N = 1000
+
+
+def smallest_n(df: DataFrame, n: int, order: Sequence[Column], lead: Column,
+               direct_max: int = DIRECT_TOP_N) -> DataFrame:
+    """The first ``n`` rows by ``order``, exactly, without funnelling
+    ``n`` rows per partition into one task when ``n`` is large.
+
+    ``lead`` is a numeric expression that never decreases along ``order``
+    (e.g. the first sort key). The n-th smallest ``lead`` value is found
+    with the bounded search above; only rows at or below it (plus null
+    leads, which sort first) go on to the final top-n, about ``n`` rows
+    plus ties.
+    """
+    if n <= direct_max:
+        return df.orderBy(*order).limit(n)
+    keyed = df.withColumn("_lead", lead.cast("double"))
+    _, threshold = kth_smallest(keyed, "_lead", n)
+    if threshold is not None:
+        keyed = keyed.where(F.col("_lead").isNull() | (F.col("_lead") <= F.lit(threshold)))
+    return keyed.orderBy(*order).limit(n).drop("_lead")

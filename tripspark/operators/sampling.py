@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripspark.functions import hash_order_key, hash_percent
+from tripspark.operators.quantiles import smallest_n
 from tripspark.schemas import SEED, TRAIN_PERCENT
 
 
@@ -48,6 +49,10 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFr
 
 
 def fixed_size_sample(df: DataFrame, n: int, key: str = "event_id", seed: int | None = None) -> DataFrame:
-    """``min(n, rows)`` rows, chosen by the order of a key hash (a
-    top-n, TakeOrderedAndProject; the limit is the feature)."""
-    return df.orderBy(hash_order_key(F.col(key), seed), F.col(key)).limit(n)
+    """``min(n, rows)`` rows, chosen by the order of a key hash (the
+    limit is the feature). The first 13 hex digits of the hash (52 bits,
+    exact as a double) lead the order, so a large ``n`` is cut by a
+    threshold instead of a top-n funnel (``smallest_n``)."""
+    digest = hash_order_key(F.col(key), seed)
+    lead = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+    return smallest_n(df, n, [digest, F.col(key)], lead)
