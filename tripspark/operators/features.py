@@ -41,28 +41,44 @@ def _not_missing(cols: Sequence[str], dtypes: dict[str, T.DataType]) -> Column:
     return cond
 
 
+def feature_columns() -> dict[str, Column]:
+    """The feature table's columns as expressions over Silver columns."""
+    return {
+        "trip_distance": F.col("trip_distance"),
+        "log_distance": F.log1p("trip_distance"),
+        "trip_minutes": F.col("trip_minutes"),
+        "passenger_count": F.col("passenger_count"),
+        "hour": F.col("hour"),
+        "is_weekend": weekend_from_day_name(F.col("dow")),
+        "label": F.col("fare_amount"),
+    }
+
+
+def usable_feature_row(silver: DataFrame) -> Column:
+    """True for a Silver row that the feature table keeps: inside every
+    bound (F5-F7) and with no null or NaN feature (F8)."""
+    cond = None
+    for _, keep_rule in feature_predicates():
+        cond = keep_rule if cond is None else cond & keep_rule
+    exprs = feature_columns()
+    typed = silver.select(*[e.alias(n) for n, e in exprs.items()]).schema
+    for field in typed.fields:
+        ok = exprs[field.name].isNotNull()
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(exprs[field.name])
+        cond = cond & ok
+    return F.coalesce(cond, F.lit(False))
+
+
 def build_features(silver: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:
     """Silver -> feature table: bounds, weekend flag, log distance, label.
 
     ``keep`` passes row keys through (absent ones are ignored). Rows with a
     null or NaN in any output column are dropped, as ``na.drop()`` does.
     """
-    cond = None
-    for _, keep_rule in feature_predicates():
-        cond = keep_rule if cond is None else cond & keep_rule
     keep = [c for c in keep if c in silver.columns]
-    out = silver.filter(cond).select(
-        "trip_distance",
-        F.log1p("trip_distance").alias("log_distance"),
-        "trip_minutes",
-        "passenger_count",
-        "hour",
-        weekend_from_day_name(F.col("dow")).alias("is_weekend"),
-        F.col("fare_amount").alias("label"),
-        *keep,
-    )
-    dtypes = {f.name: f.dataType for f in out.schema.fields}
-    return out.filter(_not_missing(FEATS + ["label"], dtypes))
+    return silver.where(usable_feature_row(silver)).select(
+        *[e.alias(n) for n, e in feature_columns().items()], *keep)
 
 
 def resolve(columns: Sequence[str], name: str) -> str | None:

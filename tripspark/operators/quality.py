@@ -226,7 +226,8 @@ def error_by_distance_bin_filled(pred: DataFrame, actual: str | None = "trip_far
     agg = (pred.where(bin_col.isNotNull()).groupBy(bin_col.alias("dist_bin"))
            .agg(F.count(F.lit(1)).alias("n"), _r(value, digits).alias(name)))
     dim = bin_dimension(pred.sparkSession)
-    return (F.broadcast(dim).join(agg, "dist_bin", "left")
+    # the aggregate has at most one row per bin label: broadcast it
+    return (dim.join(F.broadcast(agg), "dist_bin", "left")
             .select("dist_bin", "bin_order", F.coalesce("n", F.lit(0)).alias("n"), name))
 
 
@@ -253,7 +254,7 @@ def histogram(df: DataFrame, col: str, n_bins: int = 60, digits: int | None = 6)
                       .cast("int").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     dim = spark.range(n_bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(bounds))
-    return (dim.join(binned, "bin", "left")
+    return (dim.join(F.broadcast(binned), "bin", "left")  # at most n_bins rows
             .select("bin",
                     _r(F.col("lo") + F.col("bin") * F.col("width"), digits).alias("bin_lo"),
                     _r(F.col("lo") + (F.col("bin") + 1) * F.col("width"), digits).alias("bin_hi"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tripspark.operators import marts, ml, quality, sampling
 from tripspark.operators.features import (
-    build_features, cast_features, feature_predicates, raw_features, upload_features,
+    build_features, cast_features, feature_predicates, raw_features, upload_features, usable_feature_row,
 )
 from tripspark.operators.scoring import score, score_batch
 from tripspark.operators.silver import dedupe, harmonize_names, rejection_audit, silver, typed
@@ -184,21 +184,22 @@ def q_vendor_counts(spark, sf_dir):
 
 
 def q_filter_audit(spark, sf_dir):
-    """Rows in, rows dropped per rule (first failing rule), rows out."""
+    """Rows in, rows dropped per rule (first failing rule), rows out.
+
+    Two aggregates: one over the typed Bronze rows (Silver rules) and one
+    over Silver (its row count, the feature rules and the rows kept)."""
     b = bronze(spark, sf_dir)
     s = silver(b)
     stage1 = rejection_audit(b)
-    silver_rows = s.agg(F.count(F.lit(1)).alias("silver_rows"))
     passed, aggs = None, []
     for name, keep in feature_predicates():
         keep = F.coalesce(keep, F.lit(False))
         fails = ~keep if passed is None else passed & ~keep
         aggs.append(F.count_if(fails).alias(name))
         passed = keep if passed is None else passed & keep
-    stage2 = s.agg(*aggs, F.count_if(passed).alias("in_range"))
-    feats_rows = build_features(s).agg(F.count(F.lit(1)).alias("feature_rows"))
-    # one-row aggregates side by side (each side is exactly one row)
-    wide = stage1.crossJoin(silver_rows).crossJoin(stage2).crossJoin(feats_rows)
+    stage2 = s.agg(F.count(F.lit(1)).alias("silver_rows"), *aggs, F.count_if(passed).alias("in_range"),
+                   F.count_if(usable_feature_row(s)).alias("feature_rows"))
+    wide = stage1.crossJoin(stage2)  # two one-row aggregates side by side
     steps = [("input", F.col("input_rows")),
              ("timestamps_present", F.col("timestamps_present")),
              ("positive_distance", F.col("positive_distance")),
