@@ -107,3 +107,12 @@ def test_register_view(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
     K.register_view(df, "trips_view_test")
     assert spark.sql("SELECT count(*) AS n FROM trips_view_test").first().n == 2
+
+
+def test_rebalanced_partitioned_write_and_sorted_report(spark, scratch):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id < 700 THEN '2024-01' ELSE '2024-02' END AS ym")
+    path = K.write_table(df, scratch("reb"), partition_by=["ym"], rebalance=True)
+    counts = {r.ym: r["count"] for r in R.read_table(spark, path).groupBy("ym").count().collect()}
+    assert counts == {"2024-01": 700, "2024-02": 300}
+    rep = K.write_report_csv(spark.createDataFrame([(3,), (1,), (2,)], "h int"), scratch("rep"), order_by=["h"])
+    assert [r.h for r in R.read_csv(spark, rep, schema="h int").collect()] == [1, 2, 3]

@@ -104,13 +104,15 @@ def q_ingest_batch_counts(spark, sf_dir):
 
 
 def q_silver_partition_counts(spark, sf_dir):
-    path = write_table(silver_df(spark, sf_dir), scratch_path(spark, "silver"), partition_by=["ym"])
+    path = write_table(silver_df(spark, sf_dir), scratch_path(spark, "silver"), partition_by=["ym"],
+                       rebalance=True)
     return (read_table(spark, path).groupBy(F.col("ym").cast("string").alias("ym"))
             .agg(F.count(F.lit(1)).alias("trips")))
 
 
 def q_silver_scan(spark, sf_dir):
-    path = write_table(silver_df(spark, sf_dir), scratch_path(spark, "silver"), partition_by=["ym"])
+    path = write_table(silver_df(spark, sf_dir), scratch_path(spark, "silver"), partition_by=["ym"],
+                       rebalance=True)
     return read_table(spark, path).withColumn("ym", F.col("ym").cast("string"))
 
 

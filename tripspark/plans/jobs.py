@@ -34,7 +34,7 @@ def curate(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: st
     Marts are computed from the stored Silver, so they agree with it.
     """
     s = silver(read_bronze(spark, bronze_path))
-    write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=True)
+    write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=True, rebalance=True)
     stored = read_table(spark, silver_path)
     out = {"silver": silver_path}
     for name, df in (("hourly_stats", marts.hourly_stats(stored)),
@@ -86,16 +86,17 @@ def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         reports = {
-            "overall": quality.regression_metrics(pred),
-            "residuals": quality.residual_summary(pred),
-            "calibration": quality.calibration(pred),
-            "by_hour": quality.error_by(pred, "hour"),
-            "by_weekend": quality.error_by(pred, "is_weekend"),
-            "by_distance": quality.error_by_quantile_bucket(pred),
-            "by_distance_bin": quality.error_by_distance_bin(pred),
-            "residual_histogram": quality.histogram(quality.with_errors(pred), "resid", 60),
+            "overall": (quality.regression_metrics(pred), None),
+            "residuals": (quality.residual_summary(pred), None),
+            "calibration": (quality.calibration(pred), None),
+            "by_hour": (quality.error_by(pred, "hour"), ["hour"]),
+            "by_weekend": (quality.error_by(pred, "is_weekend"), ["is_weekend"]),
+            "by_distance": (quality.error_by_quantile_bucket(pred), ["dist_bucket"]),
+            "by_distance_bin": (quality.error_by_distance_bin(pred), ["bin_order"]),
+            "residual_histogram": (quality.histogram(quality.with_errors(pred), "resid", 60), ["bin"]),
         }
-        return {name: write_report_csv(df, f"{out_dir}/{name}") for name, df in reports.items()}
+        return {name: write_report_csv(df, f"{out_dir}/{name}", order_by=order)
+                for name, (df, order) in reports.items()}
     finally:
         pred.unpersist()
 

@@ -25,18 +25,28 @@ def _check_fmt(fmt: str) -> str:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, dynamic_overwrite: bool = False,
-                single_file: bool = False) -> str:
+                single_file: bool = False, rebalance: bool = False, files: int | None = None) -> str:
     """K2/K3/K4/K6: write ``df`` to ``path``.
 
     * ``partition_by``: folder per value (e.g. ``ym``); with
       ``dynamic_overwrite`` only the partitions present in ``df`` are
       replaced, so a rerun of one month leaves the others alone;
+    * ``rebalance``: a ``REBALANCE`` hint (on the partition columns, if
+      any): AQE cuts the data into evenly sized output files and splits a
+      hot value over several tasks, instead of every task writing a small
+      file per folder (costs one shuffle);
+    * ``files``: ``coalesce(files)`` before writing (fewer output files
+      without a shuffle; it also narrows the last stage, use with care);
     * ``single_file``: one output file, only for reports whose size is
       bounded by construction (e.g. per-hour slices); large outputs stay
       multi-file;
     * ``csv`` always writes a header.
     """
     fmt = _check_fmt(fmt)
+    if rebalance:
+        df = df.hint("rebalance", *(partition_by or []))
+    if files:
+        df = df.coalesce(files)
     if single_file:
         df = df.coalesce(1)
     w = df.write.mode(mode)
@@ -86,8 +96,11 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, merge_schema=True)
 
 
-def write_report_csv(df: DataFrame, path: str) -> str:
-    """K5: a small report as a single CSV file with a header."""
+def write_report_csv(df: DataFrame, path: str, order_by: Sequence[str] | None = None) -> str:
+    """K5: a small report as a single CSV file with a header, optionally
+    sorted (the report is small, so the sort is too)."""
+    if order_by:
+        df = df.orderBy(*order_by)
     return write_table(df, path, fmt="csv", single_file=True)
 
 
