@@ -116,3 +116,14 @@ def test_rebalanced_partitioned_write_and_sorted_report(spark, scratch):
     assert counts == {"2024-01": 700, "2024-02": 300}
     rep = K.write_report_csv(spark.createDataFrame([(3,), (1,), (2,)], "h int"), scratch("rep"), order_by=["h"])
     assert [r.h for r in R.read_csv(spark, rep, schema="h int").collect()] == [1, 2, 3]
+
+
+def test_ingest_merges_alias_columns_within_one_batch(spark, scratch):
+    src = scratch("alias")
+    spark.sql("SELECT 1L AS VendorID, 1.0D AS trip_distance").coalesce(1).write.parquet(f"{src}/a")
+    spark.sql("SELECT 2L AS vendor_id, 2.0D AS trip_distance").coalesce(1).write.parquet(f"{src}/b")
+    bronze = scratch("bronze")
+    assert K.ingest_folder(spark, src, bronze, files_per_batch=4) == [0]
+    df = K.read_bronze(spark, bronze)
+    assert "vendor_id" not in df.columns
+    assert sorted((r.VendorID, r.trip_distance) for r in df.collect()) == [(1, 1.0), (2, 2.0)]

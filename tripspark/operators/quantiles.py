@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripspark.session import shared_dir
+from tripspark.session import checkpointed
 
 DEFAULT_ACCURACY = 10000
 DEFAULT_MAX_CANDIDATES = 1_000_000
@@ -128,8 +128,7 @@ def kth_smallest(df: DataFrame, col: str, k: int, accuracy: int = DEFAULT_ACCURA
     """(number of non-null values, exact k-th smallest as double or None if
     there are fewer than k). Runs the passes eagerly."""
     if materialize:
-        shared_dir(df.sparkSession)
-        df = df.select(col).checkpoint(eager=True)
+        df = checkpointed(df.select(col))
     total = df.select(F.count(F.col(col))).first()[0]
     if total < k or k < 1:
         return total, None
@@ -152,8 +151,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols, probs = list(cols), [float(p) for p in probs]
     if materialize:
-        shared_dir(df.sparkSession)
-        df = df.select(*cols).checkpoint(eager=True)
+        df = checkpointed(df.select(*cols))
     counts = df.select(*[F.count(F.col(c)).alias(c) for c in cols]).first()
     targets = [_Target(c, p, max(1, math.ceil(p * counts[c]))) for c in cols for p in probs
                if counts[c] > 0]

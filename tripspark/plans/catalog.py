@@ -21,7 +21,7 @@ from tripspark.operators.features import (
 from tripspark.operators.scoring import score, score_batch
 from tripspark.operators.silver import dedupe, harmonize_names, rejection_audit, silver, typed
 from tripspark.schemas import FEATS, SILVER_KEY
-from tripspark.session import scratch_path, shared_dir
+from tripspark.session import checkpointed, scratch_path
 from tripspark.sources.fixtures import (
     bronze_trips, upload_a_frame, upload_b_frame, with_fixed_prediction,
 )
@@ -81,8 +81,7 @@ def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature layer, checkpointed to the shared folder: model fits and
     evaluations scan it several times, and should not redo the Silver
     shuffle (or go back to the source after a lost executor) each time."""
-    shared_dir(spark)
-    return features_df(spark, sf_dir).checkpoint(eager=True)
+    return checkpointed(features_df(spark, sf_dir))
 
 
 def _split(spark: SparkSession, sf_dir: str):

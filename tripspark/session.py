@@ -10,7 +10,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -32,6 +33,8 @@ def build_session(master: str | None = None, app_name: str = "tripspark",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # remove checkpoint files once their DataFrame is garbage collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = os.environ.get("TRIPSPARK_DRIVER_MEMORY", "8g")
@@ -67,3 +70,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared folder."""
     return f"{shared_dir(spark)}/tripspark/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of ``df`` in the shared checkpoint folder,
+    computing ``df`` once: it is persisted while the checkpoint is written
+    (a plain eager checkpoint runs the plan twice) and released after."""
+    shared_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tripspark.operators.silver import harmonize_names
-from tripspark.schemas import BRONZE_SCHEMA
+from tripspark.schemas import BRONZE_ALIASES, BRONZE_SCHEMA
 
 FORMATS = ("parquet", "csv", "delta")
 
@@ -106,8 +106,15 @@ def conform(df: DataFrame, schema: T.StructType = BRONZE_SCHEMA, source: str = "
     """Cast a file's columns to the declared schema: aliases renamed, every
     declared column present with its declared type (absent -> null),
     columns not declared kept as they are (schema evolution). Types that
-    cannot be converted are refused, naming the source."""
+    cannot be converted are refused, naming the source.
+
+    When files using both names were read together, the canonical column
+    takes the alias's value where it is null.
+    """
     df = harmonize_names(df)
+    for alias, canonical in BRONZE_ALIASES.items():
+        if alias in df.columns and canonical in df.columns:
+            df = df.withColumn(canonical, F.coalesce(F.col(canonical), F.col(alias))).drop(alias)
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for field in schema.fields:
@@ -129,14 +136,30 @@ def conform(df: DataFrame, schema: T.StructType = BRONZE_SCHEMA, source: str = "
     return df.select(*cols, *extra)
 
 
+def _merged_read(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """One scan of all files when their schemas merge (same types, columns
+    possibly missing); None when Parquet refuses to merge them."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths)
+    except Exception as e:  # only the merge conflict falls back; anything else is raised
+        if "CANNOT_MERGE_SCHEMAS" in str(e) or "Failed to merge" in str(e):
+            return None
+        raise
+
+
 def read_batch(spark: SparkSession, paths: Sequence[str], schema: T.StructType = BRONZE_SCHEMA) -> DataFrame:
     """One batch of Parquet files that may disagree in schema.
 
-    Files are grouped by their footer schema; each group is one scan,
-    conformed to ``schema``, and the groups are combined with
-    ``unionByName(allowMissingColumns=True)``. Footers are read per file on
-    the driver (metadata only), bounded by the batch size.
+    Fast path: the batch's footers merge (one schema job) and the whole
+    batch is one scan, conformed to ``schema``. When types conflict
+    (e.g. bigint in one file, double in another), files are grouped by
+    their own footer schema; each group is one scan, conformed, and the
+    groups are combined with ``unionByName(allowMissingColumns=True)``.
+    Footer reads are bounded by the batch size.
     """
+    merged = _merged_read(spark, paths)
+    if merged is not None:
+        return conform(merged, schema, source=", ".join(paths))
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for p in paths:
         s = spark.read.parquet(p).schema

@@ -13,7 +13,7 @@ second copy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,15 +38,6 @@ def stream_schema(extra: T.StructType | None = None) -> T.StructType:
     return T.StructType(fields)
 
 
-def _merge_aliases(df: DataFrame) -> DataFrame:
-    """With both names present in a stream schema, the canonical column
-    takes the alias's value where it is null."""
-    for alias, canonical in BRONZE_ALIASES.items():
-        if alias in df.columns and canonical in df.columns:
-            df = df.withColumn(canonical, F.coalesce(F.col(canonical), F.col(alias))).drop(alias)
-    return df
-
-
 def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
                   files_per_trigger: int = 4, extra: T.StructType | None = None,
                   available_now: bool = True) -> StreamingQuery:
@@ -58,7 +49,8 @@ def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkp
               .parquet(source_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = conform(_merge_aliases(batch), BRONZE_SCHEMA, source=f"micro-batch {batch_id}")
+        # both names are in the stream schema; conform folds the alias in
+        out = conform(batch, BRONZE_SCHEMA, source=f"micro-batch {batch_id}")
         out.write.mode("overwrite").parquet(f"{bronze_path}/ingest_batch={batch_id}")
 
     writer = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
