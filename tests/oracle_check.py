@@ -78,12 +78,21 @@ def compare(spark, con, key, fn, sql, sf_dir):
 
 
 def main(argv):
+    vanilla = "--vanilla" in argv  # a plain session, as the driver builds it
+    argv = [a for a in argv if a != "--vanilla"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     from tripspark.session import build_session
     import __spark_entry__ as E
 
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if vanilla:
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
