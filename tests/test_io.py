@@ -127,3 +127,15 @@ def test_ingest_merges_alias_columns_within_one_batch(spark, scratch):
     df = K.read_bronze(spark, bronze)
     assert "vendor_id" not in df.columns
     assert sorted((r.VendorID, r.trip_distance) for r in df.collect()) == [(1, 1.0), (2, 2.0)]
+
+
+def test_batch_ingest_rerun_is_idempotent(spark, scratch):
+    src = scratch("rerun")
+    for m in range(3):
+        spark.range(10).selectExpr(f"id + {m * 10} AS VendorID").coalesce(1).write.parquet(f"{src}/m{m}")
+    bronze = scratch("bronze")
+    K.ingest_folder(spark, src, bronze, files_per_batch=2)
+    K.ingest_folder(spark, src, bronze, files_per_batch=2)
+    df = K.read_bronze(spark, bronze)
+    assert df.count() == 30 and df.select("VendorID").distinct().count() == 30
+    assert sorted(r.ingest_batch for r in df.select("ingest_batch").distinct().collect()) == [0, 1]
