@@ -11,6 +11,8 @@ result rounded to 10 decimals on both sides).
 
 from __future__ import annotations
 
+import re
+
 from tripspark.plans.catalog import AS_OF
 
 FEATS = ["trip_distance", "log_distance", "trip_minutes", "passenger_count", "hour", "is_weekend"]
@@ -186,16 +188,16 @@ _BIN_OPEN = """CASE WHEN trip_distance >= 0 AND trip_distance < 1 THEN '0–1'
        WHEN trip_distance >= 20 THEN '20+' END"""
 
 
-def _ols_ctes(n_feats: int = 6) -> str:
+def _ols_ctes(n_feats: int = 6, source: str = "split") -> str:
     """Least squares with intercept on the train rows by classical
-    Gram–Schmidt over centred features; applies to every row of ``split``."""
+    Gram–Schmidt over centred features; applies to every row of ``source``."""
     feats = FEATS[:n_feats]
     means = ", ".join(f"{f} - avg({f}) FILTER (WHERE is_train) OVER () AS c{i}" for i, f in enumerate(feats))
     ctes = [f"""
 ols0 AS (
   SELECT *, {means}, label - avg(label) FILTER (WHERE is_train) OVER () AS cy,
          avg(label) FILTER (WHERE is_train) OVER () AS ybar
-  FROM split)"""]
+  FROM {source})"""]
     prev = "ols0"
     for k in range(n_feats):
         terms = "".join(
@@ -212,7 +214,17 @@ ols AS (SELECT *, ybar + {fit} AS ols_pred FROM {prev})""")
     return ",".join(ctes)
 
 
+def _positive_zero(sql: str) -> str:
+    """DuckDB's ``round`` keeps the sign of a zero (-1e-9 -> -0.0), Spark's
+    gives 0.0; adding 0.0 turns -0.0 into 0.0 and changes nothing else."""
+    return re.sub(r"\bround\(", "0.0 + round(", sql)
+
+
 def oracle_sql() -> dict[str, str]:
+    return {k: _positive_zero(v) for k, v in _oracle_sql().items()}
+
+
+def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = with_("bronze") + f"SELECT *, {_BATCH} AS ingest_batch FROM bronze"
     q["bronze_stream"] = with_("bronze") + "SELECT * FROM bronze"
@@ -393,4 +405,30 @@ SELECT {_PRED_COLS} FROM pred ORDER BY md5('7:' || CAST(event_id AS VARCHAR)), e
 SELECT trip_distance, round(log_distance, 10) AS log_distance, trip_minutes, passenger_count, hour,
        is_weekend, label, event_id, round(ols_pred, 4) AS fare_pred FROM ols"""
     q["stream_scores"] = q["score_batch"]
+    # The fitted function is linear, so its coefficients are its values at
+    # the unit vectors minus its value at zero: probe rows (not in the
+    # training sums) are scored by the same least-squares fit.
+    zero = ", ".join(f"0.0 AS {f}" for f in FEATS)
+    probes = [f"SELECT 'intercept' AS feature, {zero}"] + [
+        "SELECT '{}' AS feature, ".format(f) + ", ".join(
+            f"{'1.0' if g == f else '0.0'} AS {g}" for g in FEATS) for f in FEATS]
+    probe_cte = f"""
+probe AS ({' UNION ALL '.join(probes)}),
+split_probe AS (
+  SELECT trip_distance, log_distance, trip_minutes, passenger_count, hour, is_weekend, label, is_train,
+         NULL AS feature FROM split
+  UNION ALL
+  SELECT trip_distance, log_distance, trip_minutes, passenger_count, hour, is_weekend, NULL, false,
+         feature FROM probe)"""
+    sd = ", ".join(f"stddev_samp({f}) FILTER (WHERE is_train) AS sd_{f}" for f in FEATS)
+    sd_case = " ".join(f"WHEN '{f}' THEN sd_{f}" for f in FEATS)
+    q["lr_coefficients"] = with_("split", probe_cte, _ols_ctes(source="split_probe"), f"""
+sds AS (SELECT {sd} FROM split),
+pts AS (SELECT feature, ols_pred FROM ols WHERE feature IS NOT NULL),
+z AS (SELECT ols_pred AS p0 FROM pts WHERE feature = 'intercept'),
+beta AS (SELECT feature, CASE WHEN feature = 'intercept' THEN p0 ELSE ols_pred - p0 END AS b FROM pts, z)""") + f"""
+SELECT feature,
+       round(CASE feature WHEN 'intercept' THEN b ELSE b * (CASE feature {sd_case} END) END, 4) AS coefficient,
+       round(b, 4) AS coefficient_unscaled
+FROM beta, sds"""
     return q
