@@ -88,8 +88,11 @@ def main(argv):
     if vanilla:
         from pyspark.sql import SparkSession
 
-        spark = (SparkSession.builder.master("local[*]")
-                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+        import os
+
+        spark = (SparkSession.builder.master(os.environ.get("ORACLE_MASTER", "local[*]"))
+                 .config("spark.sql.shuffle.partitions", os.environ.get("ORACLE_PARTITIONS", "8"))
+                 .getOrCreate())
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = build_session("local[8]", shuffle_partitions=8)
