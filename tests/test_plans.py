@@ -46,3 +46,19 @@ def test_month_filter_prunes_partitions_and_filters_push_down(spark, scratch):
 def test_scan_reads_only_needed_columns(spark):
     plan = physical_plan(C.QUERIES["vendor_counts"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint>" in plan
+
+
+def test_feature_bounds_push_down_to_stored_silver(spark, scratch):
+    from tripspark.operators.features import build_features
+
+    path = write_table(C.silver_df(spark, SF), scratch("silver"), partition_by=["ym"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # plan text is cut at 100 by default
+    try:
+        plan = physical_plan(build_features(read_table(spark, path, months=["2024-02"])))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    for f in ("GreaterThan(fare_amount,1.0)", "LessThan(fare_amount,200.0)", "GreaterThan(trip_distance,0.1)",
+              "LessThan(trip_distance,50.0)", "GreaterThan(trip_minutes,1.0)", "LessThan(trip_minutes,180.0)"):
+        assert f in pushed, plan
+    assert "PartitionFilters: [isnotnull(ym" in plan

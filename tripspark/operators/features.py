@@ -56,7 +56,9 @@ def feature_columns() -> dict[str, Column]:
 
 def usable_feature_row(silver: DataFrame) -> Column:
     """True for a Silver row that the feature table keeps: inside every
-    bound (F5-F7) and with no null or NaN feature (F8)."""
+    bound (F5-F7) and with no null or NaN feature (F8). Null-valued rows
+    give null (a filter drops them); the conjunction is left bare so the
+    bounds on stored columns push down into the Parquet scan."""
     cond = None
     for _, keep_rule in feature_predicates():
         cond = keep_rule if cond is None else cond & keep_rule
@@ -67,7 +69,7 @@ def usable_feature_row(silver: DataFrame) -> Column:
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             ok = ok & ~F.isnan(exprs[field.name])
         cond = cond & ok
-    return F.coalesce(cond, F.lit(False))
+    return cond
 
 
 def build_features(silver: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:

@@ -199,7 +199,7 @@ def q_filter_audit(spark, sf_dir):
         aggs.append(F.count_if(fails).alias(name))
         passed = keep if passed is None else passed & keep
     stage2 = s.agg(F.count(F.lit(1)).alias("silver_rows"), *aggs, F.count_if(passed).alias("in_range"),
-                   F.count_if(usable_feature_row(s)).alias("feature_rows"))
+                   F.count_if(F.coalesce(usable_feature_row(s), F.lit(False))).alias("feature_rows"))
     wide = stage1.crossJoin(stage2)  # two one-row aggregates side by side
     steps = [("input", F.col("input_rows")),
              ("timestamps_present", F.col("timestamps_present")),
