@@ -34,6 +34,7 @@ def test_top_k_is_take_ordered(spark, key):
 def test_dedupe_aggregates_before_the_shuffle(spark):
     plan = physical_plan(C.QUERIES["silver"](spark, SF))
     assert plan.index("partial_min") > plan.index("Exchange hashpartitioning")  # partial is below (later in text)
+    assert "SortAggregate" not in plan  # row-id dedupe: hash aggregate, no per-partition sort
 
 
 def test_month_filter_prunes_partitions_and_filters_push_down(spark, scratch):

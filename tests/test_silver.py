@@ -97,3 +97,14 @@ def test_fixture_row_counts(spark):
     assert by_month == {"2024-01": 3168, "2024-02": 3065, "2024-03": 3169, "2024-04": 105}
     assert features_df(spark, sf).count() == 9031
     assert S.silver(bronze(spark, sf)).where(F.col("event_id") >= 1_000_000_000).count() == 0
+
+
+def test_dedupe_paths_agree(spark):
+    from tripspark.plans.catalog import bronze
+    from tripspark.plans.inspect import physical_plan
+
+    b = S.clean(S.typed(bronze(spark, "/root/testdata/sf0.001")))
+    by_struct = S.dedupe(b, S.SILVER_KEY, ["event_id"])
+    by_id = S.dedupe(b, S.SILVER_KEY, ["event_id"], unique_order=True)
+    assert by_struct.exceptAll(by_id).count() == 0 and by_id.exceptAll(by_struct).count() == 0
+    assert "HashAggregate" in physical_plan(by_id) and "partial_min_by" in physical_plan(by_id)

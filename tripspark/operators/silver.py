@@ -68,7 +68,7 @@ def clean(typed_df: DataFrame) -> DataFrame:
     return typed_df.filter(cond)
 
 
-def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str], unique_order: bool = False) -> DataFrame:
     """Keep one row per ``key``: the smallest by ``order`` then the remaining
     columns (a total order, so reruns pick the same survivor).
 
@@ -76,8 +76,18 @@ def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame
     partial step, so a hot key holding a large share of rows collapses to
     one row per map task before the shuffle (a ``row_number`` window would
     sort the whole hot group in one task). Null key values form one group.
+
+    ``unique_order=True`` declares ``order`` to be one non-null column that
+    is unique per row (a row id): then ``min_by(column, id)`` per column
+    picks the same single row, and with primitive columns the aggregate is
+    a hash aggregate (no per-partition sort).
     """
     key = list(key)
+    if unique_order and len(order) == 1:
+        (oid,) = order
+        others = [c for c in df.columns if c not in key and c != oid]
+        out = df.groupBy(*key).agg(F.min(oid).alias(oid), *[F.min_by(c, oid).alias(c) for c in others])
+        return out.select(*df.columns)
     rest = [c for c in df.columns if c not in key]
     ordered = list(order) + [c for c in rest if c not in order]
     out = df.groupBy(*key).agg(F.min(F.struct(*ordered)).alias("_keep"))
@@ -98,16 +108,17 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def silver(bronze: DataFrame, key: Sequence[str] = tuple(SILVER_KEY),
-           order: Sequence[str] = ("event_id",)) -> DataFrame:
+           order: Sequence[str] = ("event_id",), unique_order: bool = True) -> DataFrame:
     """Bronze -> Silver: harmonize, cast, filter, de-duplicate, derive.
 
     ``order`` names the tie-break columns that pick the surviving duplicate;
     columns in it that are absent are ignored (the remaining columns still
-    make the choice deterministic).
+    make the choice deterministic). By default ``order`` is the row id
+    ``event_id``, unique per Bronze row (``unique_order``).
     """
     df = clean(typed(harmonize_names(bronze)))
     order = [c for c in order if c in df.columns]
-    return derive(dedupe(df, key, order))
+    return derive(dedupe(df, key, order, unique_order=unique_order and len(order) == 1))
 
 
 def rejection_audit(bronze: DataFrame) -> DataFrame:
