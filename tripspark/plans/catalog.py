@@ -18,9 +18,9 @@ from tripspark.operators import marts, ml, quality, sampling
 from tripspark.operators.features import (
     build_features, cast_features, feature_predicates, raw_features, upload_features, usable_feature_row,
 )
-from tripspark.operators.scoring import score, score_batch
-from tripspark.operators.silver import dedupe, harmonize_names, rejection_audit, silver, typed
-from tripspark.schemas import FEATS, SILVER_KEY
+from tripspark.operators.scoring import score_batch
+from tripspark.operators.silver import harmonize_names, rejection_audit, silver, typed
+from tripspark.schemas import FEATS
 from tripspark.session import checkpointed, scratch_path
 from tripspark.sources.fixtures import (
     bronze_trips, upload_a_frame, upload_b_frame, with_fixed_prediction,
@@ -427,5 +427,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # sampling).
 ROWS_ONLY = {"dt_predictions", "model_metrics", "sample_bernoulli"}
 
-__all__ = ["QUERIES", "ROWS_ONLY", "bronze", "silver_df", "features_df", "predictions_df",
-           "dedupe", "SILVER_KEY", "score"]
+__all__ = ["QUERIES", "ROWS_ONLY", "bronze", "silver_df", "features_df", "predictions_df"]
