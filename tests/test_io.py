@@ -139,3 +139,23 @@ def test_batch_ingest_rerun_is_idempotent(spark, scratch):
     df = K.read_bronze(spark, bronze)
     assert df.count() == 30 and df.select("VendorID").distinct().count() == 30
     assert sorted(r.ingest_batch for r in df.select("ingest_batch").distinct().collect()) == [0, 1]
+
+
+def test_scale_conf_sizes_partitions():
+    from tripspark.session import scale_conf
+
+    c = scale_conf(100 * 2**40)  # 100 TiB
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert scale_conf(10 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_tune_for_reads_input_size(spark, scratch):
+    from tripspark.session import input_bytes, tune_for
+
+    p = K.write_table(spark.range(1000), scratch("size"))
+    assert input_bytes(spark, p) > 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for(spark, p)["spark.sql.shuffle.partitions"] == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

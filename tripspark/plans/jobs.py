@@ -17,6 +17,7 @@ from tripspark.operators import marts, ml, quality, sampling
 from tripspark.operators.features import build_features
 from tripspark.operators.silver import silver
 from tripspark.schemas import SEED
+from tripspark.session import tune_for
 from tripspark.sources.readers import read_table
 from tripspark.sources.sinks import ingest_folder, read_bronze, write_report_csv, write_table
 
@@ -28,11 +29,14 @@ def ingest(spark: SparkSession, pattern: str, bronze_path: str, files_per_batch:
 
 
 def curate(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: str,
-           top_zones: int = 50) -> dict[str, str]:
+           top_zones: int = 50, tune: bool = False) -> dict[str, str]:
     """Bronze -> Silver (partitioned by month, per-month overwrite) -> marts.
 
     Marts are computed from the stored Silver, so they agree with it.
+    ``tune`` sizes the shuffle settings from the Bronze size first.
     """
+    if tune:
+        tune_for(spark, bronze_path)
     s = silver(read_bronze(spark, bronze_path))
     write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=True, rebalance=True)
     stored = read_table(spark, silver_path)

@@ -81,3 +81,41 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop FileSystem, so it
+    works for local folders, HDFS and object stores)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def scale_conf(total_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict[str, str]:
+    """SQL settings sized for a job over ``total_bytes`` of input.
+
+    Scan splits and post-shuffle partitions aim at ``partition_bytes``
+    (a partition that fits an executor core's memory with room to sort);
+    the initial shuffle partition count covers the whole input at that
+    size, and AQE merges the small ones and splits skewed ones at run
+    time.
+    """
+    n = max(min_partitions, -(-total_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
+def tune_for(spark: SparkSession, path: str, **kw) -> dict[str, str]:
+    """Apply ``scale_conf`` for the input at ``path`` to the session."""
+    conf = scale_conf(input_bytes(spark, path), **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
