@@ -138,3 +138,9 @@ def test_quantile_buckets_equal_quantile_discretizer(spark):
     qd = QuantileDiscretizer(numBuckets=5, inputCol="trip_distance", outputCol="dist_bucket", relativeError=0.0)
     theirs = qd.fit(p).transform(p).select("event_id", "dist_bucket")
     assert ours.exceptAll(theirs).count() == 0 and theirs.exceptAll(ours).count() == 0
+
+
+def test_metrics_on_empty_input(spark):
+    empty = _pred(spark, []).where("false")
+    r = Q.regression_metrics(empty).first()
+    assert r.n == 0 and r.rmse is None and r.mae is None

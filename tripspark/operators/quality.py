@@ -111,7 +111,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     r2 = F.when(F.col("sst") > 0, 1 - F.col("sse") / F.col("sst")).otherwise(degenerate)
     return agg.select(
         F.col("n"),
-        _r(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"),
+        _r(F.sqrt(F.try_divide(F.col("sse"), F.col("n"))), digits).alias("rmse"),  # empty input: null
         _r(F.col("mae"), digits).alias("mae"),
         _r(r2, digits).alias("r2"),
     )
