@@ -30,13 +30,13 @@ def build_session(master: str | None = None, app_name: str = "tripspark",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # remove checkpoint files once their DataFrame is garbage collected
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if master and master.startswith("local"):
         conf["spark.driver.memory"] = os.environ.get("TRIPSPARK_DRIVER_MEMORY", "8g")
+        conf["spark.ui.enabled"] = "false"  # tests and bench: no web UI
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
