@@ -413,6 +413,12 @@ def q_dt_predictions(spark, sf_dir):
     return ml.predict(model, test, keep=["event_id", "label"])
 
 
+def q_lr_metrics(spark, sf_dir):
+    """M7 for the linear model alone: RMSE, MAE, R² on train and test."""
+    train, test = _split(spark, sf_dir)
+    return ml.compare_models({"LinearRegression": ml.fit_linear(train)}, {"train": train, "test": test})
+
+
 def q_model_metrics(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     models = {"DecisionTreeRegressor": ml.fit_tree(train), "LinearRegression": ml.fit_linear(train)}

@@ -405,6 +405,15 @@ SELECT {_PRED_COLS} FROM pred ORDER BY md5('7:' || CAST(event_id AS VARCHAR)), e
 SELECT trip_distance, round(log_distance, 10) AS log_distance, trip_minutes, passenger_count, hour,
        is_weekend, label, event_id, round(ols_pred, 4) AS fare_pred FROM ols"""
     q["stream_scores"] = q["score_batch"]
+    q["lr_metrics"] = with_("split", _ols_ctes(), """
+m AS (SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS split,
+             round(sqrt(sum((label - ols_pred) * (label - ols_pred)) / count(*)), 6) AS rmse,
+             round(avg(abs(label - ols_pred)), 6) AS mae,
+             round(1 - sum((label - ols_pred) * (label - ols_pred)) / (var_pop(label) * count(label)), 6) AS r2
+      FROM ols GROUP BY 1)""") + """
+SELECT 'LinearRegression' AS model, split, 'rmse' AS metric, rmse AS value FROM m
+UNION ALL SELECT 'LinearRegression', split, 'mae', mae FROM m
+UNION ALL SELECT 'LinearRegression', split, 'r2', r2 FROM m"""
     # The fitted function is linear, so its coefficients are its values at
     # the unit vectors minus its value at zero: probe rows (not in the
     # training sums) are scored by the same least-squares fit.
