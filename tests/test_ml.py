@@ -72,3 +72,24 @@ def test_coefficients_and_metrics_table(spark, feats):
     vals = {(r.split, r.metric): r.value for r in m}
     assert vals[("test", "rmse")] >= vals[("test", "mae")]
     assert 0 < vals[("train", "r2")] <= 1
+
+
+def test_rows_only_keys_are_consistent(spark):
+    from tripspark.plans import catalog as C
+
+    sf = "/root/testdata/sf0.001"
+    both = {(r.model, r.split, r.metric): r.value for r in C.QUERIES["model_metrics"](spark, sf).collect()}
+    lin = {(r.model, r.split, r.metric): r.value for r in C.QUERIES["lr_metrics"](spark, sf).collect()}
+    assert len(both) == 12 and all(both[k] == v for k, v in lin.items())
+    preds = C.QUERIES["dt_predictions"](spark, sf)
+    assert preds.count() == C.QUERIES["split_hash"](spark, sf).where("NOT is_train").count()
+
+
+def test_bernoulli_sample_is_a_subset_of_about_the_fraction(spark):
+    from tripspark.plans import catalog as C
+
+    sf = "/root/testdata/sf0.01"
+    s = C.QUERIES["sample_bernoulli"](spark, sf)
+    n, total = s.count(), C.predictions_df(spark, sf).count()
+    assert 0.03 * total < n < 0.07 * total
+    assert s.select("event_id").subtract(C.predictions_df(spark, sf).select("event_id")).count() == 0
