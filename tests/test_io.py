@@ -100,6 +100,8 @@ def test_jobs_end_to_end(spark, scratch):
     pred = score_batch(spark, feats, scratch("pred"), arts["LinearRegression"])
     rep = jobs.prediction_report(spark, pred, scratch("report"))
     assert R.read_csv(spark, rep["by_hour"]).count() == 24
+    assert R.read_csv(spark, rep["by_distance_bin_filled"]).count() == 6
+    assert R.read_csv(spark, rep["top_errors"]).count() == 20
     assert jobs.smoke(spark, scratch("smoke")) == 5
 
 

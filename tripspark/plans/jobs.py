@@ -76,6 +76,10 @@ def train(spark: SparkSession, features_path: str, artifacts_dir: str, split: st
         te.unpersist()
 
 
+TOP_ERROR_COLUMNS = ["event_id", "trip_distance", "trip_minutes", "passenger_count", "hour", "is_weekend",
+                     "label", "fare_pred"]
+
+
 def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
                       sample_fraction: float | None = None, seed: int = SEED) -> dict[str, str]:
     """Error slices of a predictions table, each a small single-file CSV.
@@ -98,6 +102,13 @@ def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
             "by_distance": (quality.error_by_quantile_bucket(pred), ["dist_bucket"]),
             "by_distance_bin": (quality.error_by_distance_bin(pred), ["bin_order"]),
             "residual_histogram": (quality.histogram(quality.with_errors(pred), "resid", 60), ["bin"]),
+            "avg_pred_by_hour": (quality.avg_pred_by_hour(pred), ["hour"]),
+            "by_distance_bin_filled": (quality.error_by_distance_bin_filled(pred, actual="label"),
+                                       ["bin_order"]),
+            "top_errors": (quality.top_rows(
+                quality.with_errors(pred), "abs_error", 20,
+                [c for c in TOP_ERROR_COLUMNS if c in pred.columns] + ["abs_error"],
+                [c for c in ("event_id", "trip_distance", "trip_minutes") if c in pred.columns]), None),
         }
         return {name: write_report_csv(df, f"{out_dir}/{name}", order_by=order)
                 for name, (df, order) in reports.items()}
