@@ -55,6 +55,18 @@ def normalise(columns, rows):
     return [columns[i].lower() for i in order], sorted(out, key=repr)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp"}
+
+
+def types_match(sdf, con, sql) -> list:
+    """Columns whose DuckDB type does not map to the Spark type."""
+    rel = con.sql(sql)
+    duck = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {c.lower(): t for c, t in sdf.dtypes}
+    return [(c, t, spark_types.get(c)) for c, t in duck.items() if DUCK_TO_SPARK.get(t, t) != spark_types.get(c)]
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t = time.time()
     sdf = fn(spark, sf_dir)
@@ -68,8 +80,11 @@ def compare(spark, con, key, fn, sql, sf_dir):
     drows = res.fetchall()
     sc, sr = normalise(scols, srows)
     dc, dr = normalise(dcols, drows)
-    ok = sc == dc and sr == dr
+    type_diff = types_match(sdf, con, sql)
+    ok = sc == dc and sr == dr and not type_diff
     info = dict(key=key, ok=ok, rows=len(srows), oracle_rows=len(drows), spark_s=round(t_spark, 2))
+    if type_diff:
+        info["types"] = type_diff
     if not ok:
         info["cols"] = (sc, dc) if sc != dc else "same"
         diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
