@@ -1,0 +1,2 @@
+"""Structured Streaming forms: incremental Bronze ingest (file stream,
+idempotent per micro-batch) and micro-batch scoring (exactly-once sink)."""
