@@ -70,6 +70,32 @@ def _write_raw_files(spark: SparkSession, sf_dir: str) -> list[str]:
     return list_files(spark, raw)
 
 
+def _write_drift_files(spark: SparkSession, sf_dir: str) -> str:
+    """Monthly files whose schemas drift, as FIXTURES.md's drift frame:
+    by month rank r, r % 4 == 0 stores passenger_count as bigint, 1 adds
+    an ``airport_fee`` column, 2 stores passenger_count as int and names
+    the vendor column ``vendor_id``, 3 is unchanged. Each month is spread
+    over RAW_PARTS_PER_MONTH files. The month list (a handful of values)
+    is the only thing collected."""
+    raw = scratch_path(spark, "raw-drift")
+    b = (bronze(spark, sf_dir)
+         .withColumn("src_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+         .withColumn("src_part", F.col("event_id") % RAW_PARTS_PER_MONTH))
+    months = sorted(r.src_month for r in b.select("src_month").distinct().collect())
+    for rank, month in enumerate(months):
+        m = b.where(F.col("src_month") == month).drop("src_month")
+        if rank % 4 == 0:
+            m = m.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        elif rank % 4 == 1:
+            m = m.withColumn("airport_fee", (F.col("event_id") % 3).cast("double") * 1.25)
+        elif rank % 4 == 2:
+            m = (m.withColumn("passenger_count", F.col("passenger_count").cast("int"))
+                 .withColumn("VendorID", F.col("VendorID").cast("int"))
+                 .withColumnRenamed("VendorID", "vendor_id"))
+        m.repartition("src_part").write.partitionBy("src_part").parquet(f"{raw}/src_month={month}")
+    return raw
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _write_raw_files(spark, sf_dir)
     path = scratch_path(spark, "bronze")
@@ -98,6 +124,16 @@ def q_bronze_ingest(spark, sf_dir):
     return _ingested(spark, sf_dir)
 
 
+def q_bronze_ingest_drift(spark, sf_dir):
+    """S1 with schema drift inside one batch: bigint/int/double passenger
+    counts, a new column and a renamed vendor column, conformed to the
+    declared Bronze schema (the new column kept)."""
+    raw = _write_drift_files(spark, sf_dir)
+    path = scratch_path(spark, "bronze-drift")
+    ingest_files(spark, list_files(spark, raw), path, files_per_batch=64)
+    return read_bronze(spark, path)
+
+
 def q_ingest_batch_counts(spark, sf_dir):
     return marts.batch_counts(_ingested(spark, sf_dir))
 

@@ -228,6 +228,14 @@ def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = with_("bronze") + f"SELECT *, {_BATCH} AS ingest_batch FROM bronze"
     q["bronze_stream"] = with_("bronze") + "SELECT * FROM bronze"
+    q["bronze_ingest_drift"] = with_("bronze", """
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY strftime(tpep_pickup_datetime, '%Y-%m')) - 1 AS month_rank
+           FROM bronze)""") + """
+SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
+       PULocationID, DOLocationID, fare_amount, total_amount, event_id,
+       CASE WHEN month_rank % 4 = 1 THEN CAST(event_id % 3 AS DOUBLE) * 1.25 END AS airport_fee,
+       CAST(0 AS BIGINT) AS ingest_batch
+FROM ranked"""
     q["ingest_batch_counts"] = with_("bronze", f"""
 b AS (SELECT {_BATCH} AS ingest_batch FROM bronze),
 c AS (SELECT ingest_batch, count(*) AS rows FROM b GROUP BY ingest_batch)""") + \
