@@ -9,6 +9,12 @@ Each micro-batch is written to its own ``ingest_batch=<id>`` folder with
 overwrite: if a batch is retried after a failure (foreachBatch is
 at-least-once), the retry replaces its own output instead of appending a
 second copy.
+
+A file stream reads every file with one declared schema. Renamed columns
+are covered (aliases are in the schema), and so are stored types that the
+Parquet reader widens (int -> bigint/double, float -> double), but not a
+bigint stored where double is declared: such history goes through the
+batch ingest (``sinks.ingest_files``), which casts each schema group.
 """
 
 from __future__ import annotations
