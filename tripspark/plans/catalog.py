@@ -262,6 +262,23 @@ def q_raw_features(spark, sf_dir):
     return _round_log(raw_features(bronze(spark, sf_dir), as_of=AS_OF))
 
 
+def q_raw_features_as_of(spark, sf_dir):
+    """M10 with missing pickups (every 7th trip's pickup blanked): hour and
+    weekend come from ``as_of``, minutes fall back to 12.0 (D7, D9)."""
+    b = bronze(spark, sf_dir).withColumn(
+        "tpep_pickup_datetime",
+        F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("tpep_pickup_datetime")))
+    return _round_log(raw_features(b, as_of=AS_OF))
+
+
+def q_upload_features_a_no_dropoff(spark, sf_dir):
+    """M11 schema A without a dropoff column: the whole column of minutes is
+    the 12.0 default (the page's per-column rule)."""
+    text = _via_csv(spark, upload_a_frame(bronze(spark, sf_dir)).drop("dropoff_datetime"), "upload-a-nodrop")
+    out = upload_features(text, keep=["event_id"])
+    return _round_log(out.withColumn("event_id", F.col("event_id").try_cast("bigint")))
+
+
 def q_score_features_cast(spark, sf_dir):
     path = write_table(features_df(spark, sf_dir), scratch_path(spark, "features-csv"), fmt="csv")
     text = read_csv(spark, path)  # every column as text

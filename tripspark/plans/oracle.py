@@ -305,6 +305,25 @@ SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance,
        CASE WHEN dayofweek(coalesce(tpep_pickup_datetime, {as_of})) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
        VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
        fare_amount, total_amount, event_id
+FROM bronze"""
+    q["raw_features_as_of"] = with_("bronze", """
+b2 AS (SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN NULL ELSE tpep_pickup_datetime END
+                         AS tpep_pickup_datetime) FROM bronze)""") + f"""
+SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance,
+       coalesce(CASE WHEN tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
+                     THEN {_MINUTES} END, 12.0) AS trip_minutes,
+       CAST(passenger_count AS INTEGER) AS passenger_count,
+       CAST(hour(coalesce(tpep_pickup_datetime, {as_of})) AS INTEGER) AS hour,
+       CASE WHEN dayofweek(coalesce(tpep_pickup_datetime, {as_of})) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
+       fare_amount, total_amount, event_id
+FROM b2"""
+    q["upload_features_a_no_dropoff"] = with_("bronze") + """
+SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance, CAST(12.0 AS DOUBLE) AS trip_minutes,
+       CAST(1 AS INTEGER) AS passenger_count,
+       CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour,
+       CASE WHEN dayofweek(tpep_pickup_datetime) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       fare_amount AS trip_fare, event_id
 FROM bronze"""
     q["upload_features_a"] = with_("bronze") + f"""
 SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance,
