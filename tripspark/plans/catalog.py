@@ -391,6 +391,13 @@ def q_error_by_distance_bin_filled(spark, sf_dir):
     return quality.error_by_distance_bin_filled(p, actual="trip_fare")
 
 
+def q_avg_pred_by_distance_bin(spark, sf_dir):
+    """A17 without actual fares: average prediction per right-open bin,
+    all six bins kept."""
+    p = predictions_df(spark, sf_dir).drop("label")
+    return quality.error_by_distance_bin_filled(p, actual=None)
+
+
 def q_avg_pred_by_hour(spark, sf_dir):
     return quality.avg_pred_by_hour(predictions_df(spark, sf_dir))
 

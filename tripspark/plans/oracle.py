@@ -395,6 +395,14 @@ b AS (SELECT {_BIN_OPEN} AS dist_bin, abs(label - fare_pred) AS err FROM pred),
 g AS (SELECT dist_bin, count(*) AS n, round(avg(err), 6) AS mae FROM b WHERE dist_bin IS NOT NULL
       GROUP BY dist_bin)""") + """
 SELECT dim.dist_bin, CAST(dim.bin_order AS INTEGER) AS bin_order, coalesce(g.n, 0) AS n, g.mae
+FROM dim LEFT JOIN g ON dim.dist_bin = g.dist_bin"""
+    q["avg_pred_by_distance_bin"] = with_("pred", f"""
+dim AS (SELECT * FROM (VALUES (0, '0–1'), (1, '1–3'), (2, '3–5'), (3, '5–10'), (4, '10–20'), (5, '20+'))
+        AS t(bin_order, dist_bin)),
+b AS (SELECT {_BIN_OPEN} AS dist_bin, fare_pred FROM pred),
+g AS (SELECT dist_bin, count(*) AS n, round(avg(fare_pred), 6) AS avg_pred FROM b WHERE dist_bin IS NOT NULL
+      GROUP BY dist_bin)""") + """
+SELECT dim.dist_bin, CAST(dim.bin_order AS INTEGER) AS bin_order, coalesce(g.n, 0) AS n, g.avg_pred
 FROM dim LEFT JOIN g ON dim.dist_bin = g.dist_bin"""
     q["avg_pred_by_hour"] = with_("pred") + \
         "SELECT hour, round(avg(fare_pred), 6) AS avg_pred FROM pred GROUP BY hour"
