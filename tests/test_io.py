@@ -161,3 +161,23 @@ def test_tune_for_reads_input_size(spark, scratch):
         assert tune_for(spark, p)["spark.sql.shuffle.partitions"] == "200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_curate_with_tuning(spark, scratch):
+    from tripspark.plans.catalog import _write_raw_files
+    from tripspark.session import scale_conf
+
+    keys = list(scale_conf(1))
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        files = _write_raw_files(spark, "/root/testdata/sf0.001")
+        bronze = jobs.ingest(spark, files[0].split("/src_month=")[0], scratch("bronze"))
+        out = jobs.curate(spark, bronze, scratch("silver"), scratch("gold"), tune=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert R.read_table(spark, out["silver"]).count() == 950
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
