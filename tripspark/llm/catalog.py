@@ -7,18 +7,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.llm import quality_rules
+from tripspark.llm import packing, quality_rules, runtime, token_counts, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = runtime.scratch(spark, "token-files")
+    token_output.write(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"), end_id=1)
+    return token_output.read(spark, path)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return token_counts.section_counts(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_output": op2_token_output,
+    "op4_token_counts": op4_token_counts,
+    "op6_packing": op6_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
