@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.llm import packing, quality_rules, runtime, token_counts, token_output
+from tripspark.llm import license_scan, packing, quality_rules, runtime, token_counts, token_output, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = runtime.scratch(spark, "token-files")
     token_output.write(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"), end_id=1)
@@ -35,14 +39,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_output": op2_token_output,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
+    "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
 }
 
