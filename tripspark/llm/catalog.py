@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.llm import license_scan, packing, quality_rules, runtime, token_counts, token_output, url_filter
+from tripspark.llm import license_scan, near_dedup, packing, quality_rules, runtime, token_counts, token_output, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return token_counts.section_counts(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
@@ -50,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_output": op2_token_output,
+    "op3_near_dedup": op3_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_packing": op6_packing,
     "op9_url_filter": op9_url_filter,
