@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.llm import license_scan, near_dedup, packing, quality_rules, runtime, token_counts, token_output, url_filter
+from tripspark.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, runtime, token_counts, token_output, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_counts(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_near_dedup": op3_near_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
