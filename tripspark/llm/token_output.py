@@ -9,7 +9,7 @@ with numpy: a 256-entry table maps a control byte to its four lengths.
 Files: ``<path>/ids/part=<n>/`` hold the blocks as Parquet rows, so that any
 store Spark writes to will do and a task that is run twice commits once. Parts
 ascend by doc_id, blocks within a part by ``block``. ``<path>/ranks`` holds
-the rank table (one row per vocabulary id).
+the rank table (one row per id that occurs).
 
 Defined cases: a null text counts as empty and gives the end id alone; null
 ids sort first; documents with equal ids follow each other, ordered by text;
@@ -101,12 +101,12 @@ def _from_planes(blob: bytes, n: int, dtype: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
-_RAW_SCHEMA = "part int, block int, start_in_part long, doc_ids array<long>, counts array<int>, n_ids long, ids binary, freq array<long>"
+_RAW_SCHEMA = "part int, block int, start_in_part long, doc_ids array<long>, counts array<int>, n_ids long, ids binary, freq_ids array<int>, freq array<long>"
 
 
 def _encode(tokenizer_path: str, end_id: int):
     """Sorted documents -> blocks of raw ids; the last row of a task holds
-    the frequency of each id in it."""
+    the frequency of each id that occurs in it."""
 
     def run(batches):
         tok = tokens.tokenizer_for(tokenizer_path)
@@ -122,7 +122,8 @@ def _encode(tokenizer_path: str, end_id: int):
                 "start_in_part": pa.array([start], pa.int64()), "doc_ids": pa.array([docs], pa.list_(pa.int64())),
                 "counts": pa.array([[int(c) for c in counts]], pa.list_(pa.int32())),
                 "n_ids": pa.array([len(flat)], pa.int64()), "ids": pa.array([_planes(flat)], pa.binary()),
-                "freq": pa.array([freq.tolist() if last else None], pa.list_(pa.int64())),
+                "freq_ids": pa.array([np.flatnonzero(freq) if last else None], pa.list_(pa.int32())),
+                "freq": pa.array([freq[freq > 0] if last else None], pa.list_(pa.int64())),
             }), len(flat)
 
         for batch in batches:
@@ -163,9 +164,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     raw = runtime.stored(ordered.mapInArrow(_encode(tokenizer_path, end_id), _RAW_SCHEMA), "token-ids", compression="zstd")
 
     # at most one row per vocabulary id
-    freq = raw.where("freq IS NOT NULL").select(F.posexplode("freq").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
+    freq = raw.where("freq IS NOT NULL").select(F.explode(F.arrays_zip("freq_ids", "freq")).alias("f"))
+    freq = freq.groupBy(F.col("f.freq_ids").alias("id")).agg(F.sum("f.freq").alias("n"))
     ranked = sorted(((-r["n"], r["id"]) for r in freq.collect()))
-    rank_of = np.zeros(len(ranked), np.uint32)
+    rank_of = np.zeros(max((i for _, i in ranked), default=0) + 1, np.uint32)
     for rank, (_, i) in enumerate(ranked):
         rank_of[i] = rank
     table = [(rank, i, -n_) for rank, (n_, i) in enumerate(ranked)]
@@ -183,7 +185,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start_in_part", pa.int64()),
                                                               ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())]))
 
-    blocks = raw.drop("freq").where("n_ids > 0").mapInArrow(recode, _FILE_SCHEMA)
+    blocks = raw.drop("freq", "freq_ids").where("n_ids > 0").mapInArrow(recode, _FILE_SCHEMA)
     blocks.write.option("compression", "zstd").partitionBy("part").parquet(f"{path}/ids")
     runtime.remove(spark, raw.inputFiles()[0].rpartition("/")[0]) if raw.inputFiles() else None
 

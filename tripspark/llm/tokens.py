@@ -20,7 +20,7 @@ import pyarrow as pa
 
 from tripspark.llm import runtime, words
 
-MEMO_LIMIT = 900_000  # pieces kept by one worker process, and their characters
+MEMO_LIMIT = 1_500_000  # pieces kept by one worker process, and their characters
 MEMO_CHARS = 64 << 20
 
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -77,7 +77,8 @@ class PieceTokenizer:
         self.inner = _Codes("spaced" if self.spaced else "plain", self.fresh, self.counter)
         self.first = _Codes("plain", self.fresh, self.counter) if self.spaced else self.inner
         self.whole = _Codes("whole", self.fresh, self.counter)
-        self.parts: dict[str, list[int]] = {}
+        self.done = 0  # pieces with ids
+        self.tails: dict[str, list[int]] = {}
         self.flat = np.empty(1 << 16, self.dtype)
         self.start = np.zeros(1 << 12, np.int64)
         self.n_flat = 0
@@ -89,12 +90,13 @@ class PieceTokenizer:
 
     def _letters(self, word: str, spaced: bool) -> list[int]:
         """A run of letters, normalised: one pre-token of either tokenizer."""
-        key = " " + word if spaced else word
-        ids = self.parts.get(key)
-        if ids is None:
-            text = key.encode().decode("latin-1").translate(self.bytes_to_chars)
-            ids = self.parts[key] = [t.id for t in self.model.tokenize(text)]
-        return ids
+        text = (" " + word if spaced else word).encode().decode("latin-1").translate(self.bytes_to_chars)
+        return [t.id for t in self.model.tokenize(text)]
+
+    def _known(self, word: str, spaced: bool) -> list[int] | None:
+        """Ids of a piece that an earlier batch met."""
+        code = (self.inner if spaced or not self.spaced else self.first).get(word, self.done)
+        return self.flat[self.start[code]:self.start[code + 1]].tolist() if code < self.done else None
 
     def _piece(self, piece: str, spaced: bool) -> list[int]:
         head = word = piece.rstrip(_PUNCT)
@@ -102,13 +104,15 @@ class PieceTokenizer:
             word = word.lower() if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
         if not word.isalpha() or not head.isalpha():
             return self._whole(" " + piece if spaced else piece)
-        ids = self._letters(word, spaced)
         if len(head) == len(piece):
-            return ids
+            return self._letters(word, spaced)
+        ids = self._known(head, spaced)
+        if ids is None:
+            ids = self._letters(word, spaced)
         tail = piece[len(head):]
-        more = self.parts.get(tail)
+        more = self.tails.get(tail)
         if more is None:
-            more = self.parts[tail] = self._whole(tail)
+            more = self.tails[tail] = self._whole(tail)
         return ids + more
 
     def _add_fresh(self) -> None:
@@ -126,7 +130,7 @@ class PieceTokenizer:
             self.start = np.concatenate([self.start, np.zeros(max(n + 1, len(self.start)), np.int64)])
         self.flat[self.n_flat:need] = np.fromiter((i for r in rows for i in r), self.dtype, int(lens.sum()))
         self.start[first + 1:n + 1] = self.n_flat + np.cumsum(lens)
-        self.n_flat = need
+        self.n_flat, self.done = need, n
 
     # a batch -------------------------------------------------------------
 
@@ -159,7 +163,7 @@ class PieceTokenizer:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, end to end, and the rows' offsets
         into them. Null counts as empty."""
-        if self.counter[0] + len(self.parts) > MEMO_LIMIT or self.kept > MEMO_CHARS:
+        if self.counter[0] + len(self.tails) > MEMO_LIMIT or self.kept > MEMO_CHARS:
             self.reset()
         texts = column.to_pylist()
         odd = self._odd(*words.text_bytes(column)) if self.spaced else np.zeros(len(texts), np.int8)
