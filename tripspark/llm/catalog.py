@@ -7,7 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.llm import decontaminate, license_scan, near_dedup, packing, quality_rules, runtime, token_counts, token_output, url_filter
+from tripspark.llm import (
+    decontaminate,
+    license_scan,
+    lm_score,
+    near_dedup,
+    packing,
+    quality_rules,
+    runtime,
+    token_counts,
+    token_output,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +58,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))[0]
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
@@ -62,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
+    "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
 }
