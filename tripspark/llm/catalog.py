@@ -15,6 +15,7 @@ from tripspark.llm import (
     packing,
     quality_rules,
     runtime,
+    suffix_dedup,
     token_counts,
     token_output,
     url_filter,
@@ -58,6 +59,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal(_table(spark, sf_dir, "documents"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(_table(spark, sf_dir, "documents"))[0]
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
