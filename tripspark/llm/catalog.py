@@ -75,6 +75,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_output": op2_token_output,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": pipeline,
 }
 
 

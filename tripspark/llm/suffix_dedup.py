@@ -350,7 +350,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str):
 
 
 def _union(found) -> tuple[np.ndarray, np.ndarray]:
-    if not found:
+    if found is None or not len(found):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     start, length = (np.array([f[c] for f in found], np.int64) for c in ("start", "length"))
     zero = np.zeros(len(start), np.int64)
@@ -408,7 +408,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     @F.pandas_udf("string")
     def keep(text, found):
-        return text.combine(found, lambda t, f: t if f is None else kept_bytes(t.encode(), f)[0].decode("utf-8", "ignore"))
+        return text.combine(found, lambda t, f: t if f is None or t is None else kept_bytes(t.encode(), f)[0].decode("utf-8", "ignore"))
 
     cut_text = F.when(F.col("found").isNull(), F.col("text")).otherwise(keep("text", "found"))
     return joined.select(*[cut_text.alias(f) if f == text_col else F.col("__rest")[f].alias(f) for f in docs.schema.fieldNames()])
