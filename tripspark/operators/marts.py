@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tripspark.functions import weekend_from_day_name
 
 
-def hourly_stats(silver: DataFrame, digits: int | None = 6) -> DataFrame:
+def hourly_stats(silver: DataFrame, digits: int | None = None) -> DataFrame:
     """A1: trips, average distance and average total per pickup hour."""
     out = silver.groupBy("hour").agg(
         F.count(F.lit(1)).alias("trips"),
@@ -31,7 +31,7 @@ def top_pickup_zones(silver: DataFrame, n: int = 50) -> DataFrame:
             .orderBy(F.col("trips").desc(), F.col("PULocationID").asc()).limit(n))
 
 
-def weekday_vs_weekend(silver: DataFrame, digits: int | None = 6) -> DataFrame:
+def weekday_vs_weekend(silver: DataFrame, digits: int | None = None) -> DataFrame:
     """A3: trips and average total for weekday vs weekend pickups."""
     day_type = F.when(weekend_from_day_name(F.col("dow")) == 1, "weekend").otherwise("weekday")
     out = silver.groupBy(day_type.alias("day_type")).agg(

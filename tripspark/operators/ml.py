@@ -119,7 +119,7 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 
 def compare_models(models: dict[str, PipelineModel], splits: dict[str, DataFrame],
-                   digits: int | None = 6) -> DataFrame:
+                   digits: int | None = None) -> DataFrame:
     """M7: RMSE, MAE and R² per (model, split), long: (model, split,
     metric, value). Each (model, split) metric set is one aggregate."""
     parts = []

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripspark.functions import bin_order, chain_distance_bin, right_open_distance_bin
-from tripspark.operators.quantiles import as_row, exact_quantiles
+from tripspark.operators.quantiles import DEFAULT_MAX_CANDIDATES, as_row, exact_quantiles
 from tripspark.schemas import DIST_BIN_LABELS, REPORT_PROBS
 
 # percentile_approx accuracy of the reports (relative error 1/accuracy).
@@ -27,7 +27,7 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.select(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
-def feature_profile(df: DataFrame, digits: int | None = 6) -> DataFrame:
+def feature_profile(df: DataFrame, digits: int | None = None) -> DataFrame:
     """A5 + A8: row count and label / distance statistics in one pass."""
     return df.select(
         F.count(F.lit(1)).alias("rows"),
@@ -41,7 +41,8 @@ def feature_profile(df: DataFrame, digits: int | None = 6) -> DataFrame:
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = tuple(REPORT_PROBS),
-              accuracy: int = DEFAULT_ACCURACY, method: str = "approx") -> DataFrame:
+              accuracy: int = DEFAULT_ACCURACY, method: str = "approx",
+              max_candidates: int = DEFAULT_MAX_CANDIDATES) -> DataFrame:
     """Quantiles of several columns, long as (column, prob, value).
 
     ``method="approx"``: ``percentile_approx`` in one pass; the sketch is
@@ -50,7 +51,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = tuple
     narrowing passes (``tripspark.operators.quantiles``).
     """
     if method == "exact":
-        return exact_quantiles(df, cols, probs, accuracy=accuracy)
+        return exact_quantiles(df, cols, probs, accuracy=accuracy, max_candidates=max_candidates)
     if method != "approx":
         raise ValueError("method must be 'approx' or 'exact'")
     arr = F.array(*[F.lit(float(p)) for p in probs])
@@ -62,7 +63,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = tuple
             .select("column", F.col("col.prob").alias("prob"), F.col("col.value").alias("value")))
 
 
-def correlations(df: DataFrame, target: str, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
+def correlations(df: DataFrame, target: str, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """A10: Pearson correlation of ``target`` with each present column, as
     (column, corr), computed in a single aggregate."""
     cols = [c for c in cols if c in df.columns]
@@ -87,20 +88,24 @@ def with_errors(pred: DataFrame, label: str = "label", prediction: str = "fare_p
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "fare_pred",
-                       digits: int | None = 6, zero_variance: str = "nan") -> DataFrame:
+                       digits: int | None = None, zero_variance: str = "nan") -> DataFrame:
     """RMSE, MAE and R² in one aggregate (not a job per metric).
 
     R² = 1 - SSE / SST with SST = n * population variance of the label.
     For a constant label (SST = 0): ``zero_variance="nan"`` gives NaN (the
     upload page's rule); ``"evaluator"`` gives what 1 - SSE/0 evaluates to
     in ``RegressionEvaluator`` (-inf, or NaN when SSE is 0 too).
+
+    Rows without a label or a prediction take no part: ``n`` counts the
+    rows with both, and every metric is over these.
     """
     err = F.col(label) - F.col(prediction)
+    known = F.when(err.isNotNull(), F.col(label))
     agg = pred.select(
-        F.count(F.lit(1)).alias("n"),
+        F.count(err).alias("n"),
         F.sum(err * err).alias("sse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.var_pop(label) * F.count(F.col(label))).alias("sst"),
+        (F.var_pop(known) * F.count(known)).alias("sst"),
     )
     if zero_variance == "nan":
         degenerate = F.lit(float("nan"))
@@ -111,22 +116,22 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     r2 = F.when(F.col("sst") > 0, 1 - F.col("sse") / F.col("sst")).otherwise(degenerate)
     return agg.select(
         F.col("n"),
-        _r(F.sqrt(F.try_divide(F.col("sse"), F.col("n"))), digits).alias("rmse"),  # empty input: null
+        _r(F.sqrt(F.try_divide(F.col("sse"), F.col("n"))), digits).alias("rmse"),  # no row with both: null
         _r(F.col("mae"), digits).alias("mae"),
         _r(r2, digits).alias("r2"),
     )
 
 
 def residual_summary(pred: DataFrame, probs: Sequence[float] = tuple(REPORT_PROBS),
-                     accuracy: int = DEFAULT_ACCURACY, digits: int | None = 6,
-                     method: str = "approx") -> DataFrame:
+                     accuracy: int = DEFAULT_ACCURACY, digits: int | None = None,
+                     method: str = "approx", max_candidates: int = DEFAULT_MAX_CANDIDATES) -> DataFrame:
     """Residual mean, sample stddev and quantiles, one row."""
     df = with_errors(pred) if "resid" not in pred.columns else pred
     names = [f"resid_q{int(round(p * 100))}" for p in probs]
     moments = df.select(_r(F.mean("resid"), digits).alias("resid_mean"),
                         _r(F.stddev_samp("resid"), digits).alias("resid_std"))
     if method == "exact":
-        qrow = as_row(exact_quantiles(df, ["resid"], probs, accuracy=accuracy), "resid", probs, names)
+        qrow = as_row(exact_quantiles(df, ["resid"], probs, accuracy=accuracy, max_candidates=max_candidates), "resid", probs, names)
         return moments.crossJoin(qrow)  # two one-row aggregates
     q = F.percentile_approx("resid", F.array(*[F.lit(float(p)) for p in probs]), accuracy)
     out = df.select(_r(F.mean("resid"), digits).alias("resid_mean"),
@@ -135,7 +140,7 @@ def residual_summary(pred: DataFrame, probs: Sequence[float] = tuple(REPORT_PROB
     return out.select("resid_mean", "resid_std", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def calibration(pred: DataFrame, digits: int | None = 6) -> DataFrame:
+def calibration(pred: DataFrame, digits: int | None = None) -> DataFrame:
     """corr(prediction, label), mean |resid|, sqrt(mean resid²)."""
     resid = F.col("label") - F.col("fare_pred")
     return pred.select(
@@ -145,7 +150,7 @@ def calibration(pred: DataFrame, digits: int | None = 6) -> DataFrame:
     )
 
 
-def error_by(pred: DataFrame, key: Column | str, name: str | None = None, digits: int | None = 6,
+def error_by(pred: DataFrame, key: Column | str, name: str | None = None, digits: int | None = None,
              extra: Sequence[Column] = ()) -> DataFrame:
     """N, MAE and bias (mean residual) per slice."""
     resid = F.col("label") - F.col("fare_pred")
@@ -159,21 +164,25 @@ def error_by(pred: DataFrame, key: Column | str, name: str | None = None, digits
     )
 
 
-def quantile_splits(df: DataFrame, col: str, n_buckets: int = 5, relative_error: float = 0.01) -> DataFrame:
+def quantile_splits(df: DataFrame, col: str, n_buckets: int = 5, relative_error: float = 0.01,
+                    accuracy: int = DEFAULT_ACCURACY, max_candidates: int = DEFAULT_MAX_CANDIDATES) -> DataFrame:
     """Interior split points of ``n_buckets`` quantile buckets, as a one-row
     DataFrame with an array column ``splits`` (computed on executors).
-    ``relative_error=0`` gives exact splits (bounded narrowing passes)."""
+    ``relative_error=0`` gives exact splits (bounded narrowing passes, with
+    ``accuracy`` and ``max_candidates``)."""
+    if relative_error < 0:
+        raise ValueError("relative_error must not be negative")
     probs = [i / n_buckets for i in range(1, n_buckets)]
     if relative_error == 0:
-        long = exact_quantiles(df, [col], probs)
+        long = exact_quantiles(df, [col], probs, accuracy, max_candidates)
         return long.agg(F.sort_array(F.collect_list("value")).alias("splits"))
-    accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 2**31 - 1
+    accuracy = max(1, int(round(1.0 / relative_error)))
     return df.select(F.percentile_approx(col, F.array(*[F.lit(p) for p in probs]), accuracy)
                      .alias("splits"))
 
 
 def quantile_buckets(df: DataFrame, col: str, out: str = "dist_bucket", n_buckets: int = 5,
-                     relative_error: float = 0.01) -> DataFrame:
+                     relative_error: float = 0.01, **search) -> DataFrame:
     """M6: quantile bucket index per row, as ``QuantileDiscretizer`` +
     ``Bucketizer`` assign it: equal split points collapse into one, and
     bucket ``i`` holds ``splits[i] <= x < splits[i+1]``.
@@ -181,7 +190,7 @@ def quantile_buckets(df: DataFrame, col: str, out: str = "dist_bucket", n_bucket
     The splits are one row joined by broadcast (size fixed by
     ``n_buckets``), so rows never travel to the driver.
     """
-    splits = quantile_splits(df, col, n_buckets, relative_error).select(
+    splits = quantile_splits(df, col, n_buckets, relative_error, **search).select(
         F.array_distinct(F.col("splits")).alias("_splits"))
     x = F.col(col)
     bucket = F.when(x.isNull(), F.lit(None)).otherwise(
@@ -190,14 +199,14 @@ def quantile_buckets(df: DataFrame, col: str, out: str = "dist_bucket", n_bucket
 
 
 def error_by_quantile_bucket(pred: DataFrame, n_buckets: int = 5, relative_error: float = 0.01,
-                             digits: int | None = 6) -> DataFrame:
+                             digits: int | None = None, **search) -> DataFrame:
     """Error slices by distance quantile bucket, with mean distance."""
-    b = quantile_buckets(pred, "trip_distance", "dist_bucket", n_buckets, relative_error)
+    b = quantile_buckets(pred, "trip_distance", "dist_bucket", n_buckets, relative_error, **search)
     return error_by(b, "dist_bucket", digits=digits,
                     extra=[_r(F.avg("trip_distance"), digits).alias("avg_dist")])
 
 
-def error_by_distance_bin(pred: DataFrame, digits: int | None = 6) -> DataFrame:
+def error_by_distance_bin(pred: DataFrame, digits: int | None = None) -> DataFrame:
     """MAE and n by the fixed ``when``-chain distance bin, with the
     bin's display position."""
     resid = F.col("label") - F.col("fare_pred")
@@ -213,7 +222,7 @@ def bin_dimension(spark) -> DataFrame:
 
 
 def error_by_distance_bin_filled(pred: DataFrame, actual: str | None = "trip_fare",
-                                 prediction: str = "fare_pred", digits: int | None = 6) -> DataFrame:
+                                 prediction: str = "fare_pred", digits: int | None = None) -> DataFrame:
     """Per right-open bin from 0, MAE when actuals exist, else the
     average prediction; all six bins are returned, empty ones with n = 0
     and a null value. Rows without a bin (null or negative distance) are
@@ -231,25 +240,27 @@ def error_by_distance_bin_filled(pred: DataFrame, actual: str | None = "trip_far
             .select("dist_bin", "bin_order", F.coalesce("n", F.lit(0)).alias("n"), name))
 
 
-def avg_pred_by_hour(pred: DataFrame, digits: int | None = 6) -> DataFrame:
+def avg_pred_by_hour(pred: DataFrame, digits: int | None = None) -> DataFrame:
     """Average prediction per hour."""
     return pred.groupBy("hour").agg(_r(F.avg("fare_pred"), digits).alias("avg_pred"))
 
 
-def histogram(df: DataFrame, col: str, n_bins: int = 60, digits: int | None = 6) -> DataFrame:
+def histogram(df: DataFrame, col: str, n_bins: int = 60, digits: int | None = None) -> DataFrame:
     """Equal-width histogram over [min, max] of all rows.
 
     ``bin = least(floor((x - min) / width), n_bins - 1)``, so the maximum
     falls in the last bin (closed on the right, as numpy does). Every bin
     is returned, empty ones with count 0: the bin ids come from
     ``range(n_bins)``, whose size is the parameter, not the data.
+    Null and NaN values take no part.
     """
     spark = df.sparkSession
     x = F.col(col)
+    df = df.where(x.isNotNull() & ~F.isnan(x))
     bounds = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"))
     width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / n_bins).otherwise(F.lit(1.0))
     bounds = bounds.select("lo", "hi", width.alias("width"))
-    binned = (df.where(x.isNotNull() & ~F.isnan(x)).join(F.broadcast(bounds), how="cross")
+    binned = (df.join(F.broadcast(bounds), how="cross")
               .select(F.least(F.floor((x - F.col("lo")) / F.col("width")), F.lit(n_bins - 1))
                       .cast("int").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))

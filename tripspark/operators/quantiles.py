@@ -3,23 +3,21 @@
 The exact q-quantile of n values is the ceil(q * n)-th smallest (the rule
 ``percentile_approx`` follows when its sketch is exact, and DuckDB's
 ``quantile_disc`` too). A sketch exact for all n would need memory that
-grows with the data, so the value is found by narrowing instead:
-
-1. one pass: ``count`` and a ``percentile_approx`` sketch of accuracy
-   ``accuracy`` (memory fixed by that number) give values ``lo <= answer
-   <= hi`` for every target;
-2. one pass of ``count_if`` checks each bracket (rows below ``lo``, rows
-   inside) and so turns the target into "the k-th smallest of the m
-   candidates in [lo, hi]"; a bracket that fails the check widens to the
-   full range, so a wrong sketch can cost passes but never a wrong value;
-3. while a bracket holds more than ``max_candidates`` rows it is narrowed
-   again by a sketch over its candidates only (each round divides m by
-   about ``accuracy / 6``);
-4. the last pass is a lazy ``percentile_approx`` over the candidates with
-   an accuracy above their count, which is exact, and whose memory is
-   bounded by ``max_candidates``.
-
-Steps 1-3 are small aggregate jobs (one row back each); all targets of all
+grows with the data, so the value is found by narrowing an open interval:
+
+1. a ``percentile_approx`` sketch of accuracy ``accuracy`` (memory fixed by
+   that number) over the values strictly inside the interval gives two
+   values ``lo <= hi`` around the wanted rank;
+2. one pass counts the values below ``lo``, equal to ``lo``, between the
+   two, and equal to ``hi``. If the wanted rank falls on a run of equal
+   values, that value is the answer; otherwise the search goes on strictly
+   inside the part that holds the rank. Every round leaves out at least one
+   run of equal values, so it always ends, however the values repeat;
+3. once at most ``max_candidates`` values are left inside, a lazy
+   ``percentile_approx`` with an accuracy above their number is exact, and
+   its memory is bounded by ``max_candidates``.
+
+Steps 1-2 are small aggregate jobs (one row back each); all targets of all
 columns share each pass.
 """
 
@@ -42,88 +40,80 @@ class _Target:
     col: str
     prob: float
     rank: int            # 1-based rank wanted among non-null values
-    lo: float | None = None
-    hi: float | None = None
-    below: int = 0       # non-null values < lo
-    inside: int = 0      # values in [lo, hi]
-
-    def between(self) -> Column:
-        c = F.col(self.col).cast("double")
-        cond = c.isNotNull()
-        if self.lo is not None:
-            cond = cond & (c >= F.lit(self.lo))
-        if self.hi is not None:
-            cond = cond & (c <= F.lit(self.hi))
+    inside: int          # values strictly inside (low, high)
+    low: float | None = None
+    high: float | None = None
+    below: int = 0       # values at or below low
+    value: float | None = None
+    found: bool = False
+
+    def x(self) -> Column:
+        return F.col(self.col).cast("double")
+
+    def within(self) -> Column:
+        cond = self.x().isNotNull()
+        if self.low is not None:
+            cond = cond & (self.x() > F.lit(self.low))
+        if self.high is not None:
+            cond = cond & (self.x() < F.lit(self.high))
         return cond
 
-    def resolved(self) -> bool:
-        """A bracket with one value (a heavily repeated value) is the answer."""
-        return self.lo is not None and self.lo == self.hi
-
     def inner_prob(self) -> float:
         return (self.rank - self.below - 0.5) / self.inside
 
 
-def _bracket_pass(df: DataFrame, targets: list[_Target], accuracy: int, first: bool) -> None:
-    """Sketch each target's neighbourhood; set lo/hi from it."""
+def _sketch_pass(df: DataFrame, targets: list[_Target], accuracy: int) -> list[tuple[float, float]]:
+    """Two values inside each target's interval, around its rank."""
     eps = 3.0 / accuracy
     exprs = []
     for i, t in enumerate(targets):
-        p = t.prob if first else t.inner_prob()
-        probs = F.array(F.lit(max(0.0, p - eps)), F.lit(min(1.0, p + eps)))
-        vals = F.when(t.between(), F.col(t.col).cast("double"))
-        exprs.append(F.percentile_approx(vals, probs, accuracy).alias(f"b{i}"))
+        probs = F.array(F.lit(max(0.0, t.inner_prob() - eps)), F.lit(min(1.0, t.inner_prob() + eps)))
+        exprs.append(F.percentile_approx(F.when(t.within(), t.x()), probs, accuracy).alias(f"b{i}"))
     row = df.select(*exprs).first()
-    for i, t in enumerate(targets):
-        lo, hi = row[f"b{i}"]
-        t.lo, t.hi = lo, hi
+    return [tuple(row[f"b{i}"]) for i in range(len(targets))]
 
 
-def _count_pass(df: DataFrame, targets: list[_Target]) -> None:
-    """Rows below and inside each bracket; widen brackets that miss."""
+def _count_pass(df: DataFrame, targets: list[_Target], edges: list[tuple[float, float]]) -> None:
+    """Settle each target whose rank falls on an edge value; move the others
+    to the part of their interval that holds the rank."""
     exprs = []
-    for i, t in enumerate(targets):
-        c = F.col(t.col).cast("double")
-        below = c < F.lit(t.lo) if t.lo is not None else F.lit(False)
-        exprs += [F.count_if(c.isNotNull() & below).alias(f"l{i}"),
-                  F.count_if(t.between()).alias(f"m{i}")]
+    for i, (t, (lo, hi)) in enumerate(zip(targets, edges)):
+        for name, cond in (("l", t.x() < F.lit(lo)), ("a", t.x() == F.lit(lo)),
+                           ("m", (t.x() > F.lit(lo)) & (t.x() < F.lit(hi))),
+                           ("z", (t.x() == F.lit(hi)) & F.lit(lo != hi))):
+            exprs.append(F.count_if(t.within() & cond).alias(f"{name}{i}"))
     row = df.select(*exprs).first()
-    for i, t in enumerate(targets):
-        below, inside = row[f"l{i}"], row[f"m{i}"]
-        if below < t.rank <= below + inside:
-            t.below, t.inside = below, inside
-        else:  # the sketch missed: search the previous range again
-            t.lo = t.hi = None
-            t.below, t.inside = 0, None  # recount below
-
-
-def _narrow(df: DataFrame, targets: list[_Target], totals: dict[str, int], accuracy: int,
-            max_candidates: int, max_rounds: int) -> None:
-    """Steps 1-3: narrow every target to at most ``max_candidates`` rows."""
-    big = [t for t in targets if t.inside > max_candidates]
-    first = True
-    for _ in range(max_rounds):
-        if not big:
-            return
-        _bracket_pass(df, big, accuracy, first)
-        _count_pass(df, big)
-        for t in big:
-            if t.inside is None:
-                t.inside = totals[t.col]
-        first = False
-        big = [t for t in big if t.inside > max_candidates and not t.resolved()]
-    if big:
-        raise RuntimeError("exact quantile search did not converge; raise max_candidates or accuracy")
+    for i, (t, (lo, hi)) in enumerate(zip(targets, edges)):
+        less, at_lo, mid, at_hi = (row[f"{n}{i}"] for n in "lamz")
+        rank = t.rank - t.below
+        if rank <= less:
+            t.high, t.inside = lo, less
+        elif rank <= less + at_lo:
+            t.value, t.found = lo, True
+        elif rank <= less + at_lo + mid:
+            t.below += less + at_lo
+            t.low, t.high, t.inside = lo, hi, mid
+        elif rank <= less + at_lo + mid + at_hi:
+            t.value, t.found = hi, True
+        else:
+            t.below += less + at_lo + mid + at_hi
+            t.low, t.inside = hi, t.inside - (less + at_lo + mid + at_hi)
+
+
+def _narrow(df: DataFrame, targets: list[_Target], accuracy: int, max_candidates: int) -> None:
+    """Narrow every target to a value, or to ``max_candidates`` values."""
+    while big := [t for t in targets if not t.found and t.inside > max_candidates]:
+        _count_pass(df, big, _sketch_pass(df, big, accuracy))
 
 
 def _final_value(t: _Target, final_accuracy: int) -> Column:
-    vals = F.when(t.between(), F.col(t.col).cast("double"))
-    return (F.lit(t.lo) if t.resolved()
-            else F.percentile_approx(vals, F.lit(t.inner_prob()), final_accuracy))
+    if t.found:
+        return F.lit(t.value)
+    return F.percentile_approx(F.when(t.within(), t.x()), F.lit(t.inner_prob()), final_accuracy)
 
 
 def kth_smallest(df: DataFrame, col: str, k: int, accuracy: int = DEFAULT_ACCURACY,
-                 max_candidates: int = DEFAULT_MAX_CANDIDATES, max_rounds: int = 16,
+                 max_candidates: int = DEFAULT_MAX_CANDIDATES,
                  materialize: bool = True) -> tuple[int, float | None]:
     """(number of non-null values, exact k-th smallest as double or None if
     there are fewer than k). Runs the passes eagerly."""
@@ -132,32 +122,30 @@ def kth_smallest(df: DataFrame, col: str, k: int, accuracy: int = DEFAULT_ACCURA
     total = df.select(F.count(F.col(col))).first()[0]
     if total < k or k < 1:
         return total, None
-    t = _Target(col, k / total, k, inside=total)
-    _narrow(df, [t], {col: total}, accuracy, max_candidates, max_rounds)
+    t = _Target(col, k / total, k, total)
+    _narrow(df, [t], accuracy, max_candidates)
     return total, df.select(_final_value(t, 2 * max_candidates + 1)).first()[0]
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     accuracy: int = DEFAULT_ACCURACY,
                     max_candidates: int = DEFAULT_MAX_CANDIDATES,
-                    max_rounds: int = 16, materialize: bool = True) -> DataFrame:
+                    materialize: bool = True) -> DataFrame:
     """Exact quantiles as (column, prob, value double); value is null for a
     column without non-null values. See the module docstring.
 
-    ``materialize``: the projected columns are checkpointed (reliably, to
-    the shared ``spark.checkpoint.dir``) before the passes, so each pass
-    reads them instead of recomputing the input's lineage (and a lost
-    executor does not send the search back to the source).
+    ``materialize``: the projected columns are written to the shared
+    ``spark.checkpoint.dir`` before the passes, so each pass reads them
+    instead of recomputing the input's lineage (and a lost executor does
+    not send the search back to the source).
     """
     cols, probs = list(cols), [float(p) for p in probs]
     if materialize:
         df = checkpointed(df.select(*cols))
     counts = df.select(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    targets = [_Target(c, p, max(1, math.ceil(p * counts[c]))) for c in cols for p in probs
+    targets = [_Target(c, p, max(1, math.ceil(p * counts[c])), counts[c]) for c in cols for p in probs
                if counts[c] > 0]
-    for t in targets:
-        t.inside = counts[t.col]
-    _narrow(df, targets, {c: counts[c] for c in cols}, accuracy, max_candidates, max_rounds)
+    _narrow(df, targets, accuracy, max_candidates)
     final_accuracy = 2 * max_candidates + 1
     exprs = [F.struct(F.lit(t.col).alias("column"), F.lit(t.prob).alias("prob"),
                       _final_value(t, final_accuracy).alias("value")) for t in targets]
@@ -165,7 +153,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     for c, p in missing:
         exprs.append(F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"),
                               F.lit(None).cast("double").alias("value")))
-    return df.select(F.explode(F.array(*exprs)).alias("q")).select("q.column", "q.prob", "q.value")
+    one = df.agg(*[e.alias(f"q{i}") for i, e in enumerate(exprs)], F.count(F.lit(1)))
+    return one.select(F.explode(F.array(*[F.col(f"q{i}") for i in range(len(exprs))])).alias("q")) \
+        .select("q.column", "q.prob", "q.value")
 
 
 def as_row(long: DataFrame, col: str, probs: Sequence[float], names: Sequence[str]) -> DataFrame:

@@ -32,6 +32,9 @@ from tripspark.sources.sinks import (
 
 AS_OF = "2024-06-01 00:00:00"
 RAW_FILES_PER_BATCH = 4
+DIGITS = 6  # reports are rounded here, never in the library
+# small enough that the check data goes through the narrowing search
+SEARCH = {"accuracy": 500, "max_candidates": 200}
 # Source files per month: a month's rows are spread over this many files
 # (by event_id), so no single write task holds a whole (possibly hot) month.
 RAW_PARTS_PER_MONTH = 4
@@ -152,7 +155,7 @@ def q_silver_scan(spark, sf_dir):
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    report = marts.hourly_stats(silver_df(spark, sf_dir))
+    report = marts.hourly_stats(silver_df(spark, sf_dir), digits=DIGITS)
     path = write_report_csv(report, scratch_path(spark, "hourly-csv"))
     return read_csv(spark, path, schema=report.schema)
 
@@ -205,7 +208,7 @@ def q_silver(spark, sf_dir):
 
 
 def q_hourly_stats(spark, sf_dir):
-    return marts.hourly_stats(silver_df(spark, sf_dir))
+    return marts.hourly_stats(silver_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_top_pu_zones(spark, sf_dir):
@@ -213,7 +216,7 @@ def q_top_pu_zones(spark, sf_dir):
 
 
 def q_wday_vs_wend(spark, sf_dir):
-    return marts.weekday_vs_weekend(silver_df(spark, sf_dir))
+    return marts.weekday_vs_weekend(silver_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_vendor_counts(spark, sf_dir):
@@ -310,24 +313,24 @@ def q_null_counts(spark, sf_dir):
 
 
 def q_feature_profile(spark, sf_dir):
-    return quality.feature_profile(features_df(spark, sf_dir))
+    return quality.feature_profile(features_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_feature_quantiles(spark, sf_dir):
-    return quality.quantiles(features_df(spark, sf_dir), ["label", "trip_distance"], method="exact")
+    return quality.quantiles(features_df(spark, sf_dir), ["label", "trip_distance"], method="exact", **SEARCH)
 
 
 def q_silver_quantiles(spark, sf_dir):
-    return quality.quantiles(silver_df(spark, sf_dir), ["fare_amount", "trip_minutes"], method="exact")
+    return quality.quantiles(silver_df(spark, sf_dir), ["fare_amount", "trip_minutes"], method="exact", **SEARCH)
 
 
 def q_label_correlations(spark, sf_dir):
     cols = ["trip_distance", "passenger_count", "hour", "is_weekend", "trip_minutes", "log_distance"]
-    return quality.correlations(features_df(spark, sf_dir), "label", cols)
+    return quality.correlations(features_df(spark, sf_dir), "label", cols, digits=DIGITS)
 
 
 def q_silver_correlations(spark, sf_dir):
-    return quality.correlations(silver_df(spark, sf_dir), "fare_amount", ["trip_distance", "trip_minutes"])
+    return quality.correlations(silver_df(spark, sf_dir), "fare_amount", ["trip_distance", "trip_minutes"], digits=DIGITS)
 
 
 _TOP_COLS = ["label", "trip_distance", "passenger_count", "hour", "is_weekend", "event_id"]
@@ -347,63 +350,91 @@ def q_prediction_errors(spark, sf_dir):
 
 
 def q_regression_metrics(spark, sf_dir):
-    return quality.regression_metrics(predictions_df(spark, sf_dir), zero_variance="evaluator")
+    return quality.regression_metrics(predictions_df(spark, sf_dir), zero_variance="evaluator", digits=DIGITS)
 
 
 def q_regression_metrics_formula(spark, sf_dir):
     p = predictions_df(spark, sf_dir).withColumnRenamed("label", "trip_fare")
-    return quality.regression_metrics(p, label="trip_fare", zero_variance="nan")
+    return quality.regression_metrics(p, label="trip_fare", zero_variance="nan", digits=DIGITS)
 
 
 def q_residual_summary(spark, sf_dir):
-    return quality.residual_summary(predictions_df(spark, sf_dir), method="exact")
+    return quality.residual_summary(predictions_df(spark, sf_dir), method="exact", digits=DIGITS, **SEARCH)
 
 
 def q_calibration(spark, sf_dir):
-    return quality.calibration(predictions_df(spark, sf_dir))
+    return quality.calibration(predictions_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_error_by_hour(spark, sf_dir):
-    return quality.error_by(predictions_df(spark, sf_dir), "hour")
+    return quality.error_by(predictions_df(spark, sf_dir), "hour", digits=DIGITS)
 
 
 def q_error_by_weekend(spark, sf_dir):
-    return quality.error_by(predictions_df(spark, sf_dir), "is_weekend")
+    return quality.error_by(predictions_df(spark, sf_dir), "is_weekend", digits=DIGITS)
 
 
 def q_quantile_buckets(spark, sf_dir):
     b = quality.quantile_buckets(predictions_df(spark, sf_dir), "trip_distance",
-                                 relative_error=0.0)
+                                 relative_error=0.0, **SEARCH)
     return b.select("event_id", "trip_distance", "dist_bucket")
 
 
 def q_error_by_quantile_bucket(spark, sf_dir):
     return quality.error_by_quantile_bucket(predictions_df(spark, sf_dir),
-                                            relative_error=0.0)
+                                            relative_error=0.0, digits=DIGITS, **SEARCH)
 
 
 def q_error_by_distance_bin(spark, sf_dir):
-    return quality.error_by_distance_bin(predictions_df(spark, sf_dir))
+    return quality.error_by_distance_bin(predictions_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_error_by_distance_bin_filled(spark, sf_dir):
     p = predictions_df(spark, sf_dir).withColumnRenamed("label", "trip_fare")
-    return quality.error_by_distance_bin_filled(p, actual="trip_fare")
+    return quality.error_by_distance_bin_filled(p, actual="trip_fare", digits=DIGITS)
 
 
 def q_avg_pred_by_distance_bin(spark, sf_dir):
     """A17 without actual fares: average prediction per right-open bin,
     all six bins kept."""
     p = predictions_df(spark, sf_dir).drop("label")
-    return quality.error_by_distance_bin_filled(p, actual=None)
+    return quality.error_by_distance_bin_filled(p, actual=None, digits=DIGITS)
 
 
 def q_avg_pred_by_hour(spark, sf_dir):
-    return quality.avg_pred_by_hour(predictions_df(spark, sf_dir))
+    return quality.avg_pred_by_hour(predictions_df(spark, sf_dir), digits=DIGITS)
 
 
 def q_residual_histogram(spark, sf_dir):
-    return quality.histogram(quality.with_errors(predictions_df(spark, sf_dir)), "resid", 60)
+    return quality.histogram(quality.with_errors(predictions_df(spark, sf_dir)), "resid", 60, digits=DIGITS)
+
+
+def q_quantiles_repeated_values(spark, sf_dir):
+    """A9 where values repeat: a two-valued column, cent amounts, and ranks
+    at the very edge of a run of equal values."""
+    f = features_df(spark, sf_dir).select(
+        (F.col("event_id") % 2).cast("double").alias("two_valued"),
+        F.floor(F.col("label")).cast("double").alias("whole_fare"))
+    return quality.quantiles(f, ["two_valued", "whole_fare"], probs=[0.25, 0.5, 0.501, 0.75, 0.99], method="exact", **SEARCH)
+
+
+def _with_gaps(spark, sf_dir):
+    """Predictions with missing labels (every 5th row) and predictions
+    (every 7th)."""
+    p = predictions_df(spark, sf_dir)
+    blank = lambda c, k: F.when(F.col("event_id") % k != 0, F.col(c)).alias(c)
+    return p.select("event_id", blank("label", 5), blank("fare_pred", 7))
+
+
+def q_regression_metrics_nulls(spark, sf_dir):
+    return quality.regression_metrics(_with_gaps(spark, sf_dir), digits=DIGITS)
+
+
+def q_residual_histogram_nan(spark, sf_dir):
+    """A21 with null and NaN residuals in the input."""
+    p = quality.with_errors(_with_gaps(spark, sf_dir))
+    p = p.withColumn("resid", F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("resid")))
+    return quality.histogram(p, "resid", 20, digits=DIGITS)
 
 
 def q_top_errors(spark, sf_dir):
@@ -476,13 +507,13 @@ def q_dt_predictions(spark, sf_dir):
 def q_lr_metrics(spark, sf_dir):
     """M7 for the linear model alone: RMSE, MAE, R² on train and test."""
     train, test = _split(spark, sf_dir)
-    return ml.compare_models({"LinearRegression": ml.fit_linear(train)}, {"train": train, "test": test})
+    return ml.compare_models({"LinearRegression": ml.fit_linear(train)}, {"train": train, "test": test}, digits=DIGITS)
 
 
 def q_model_metrics(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     models = {"DecisionTreeRegressor": ml.fit_tree(train), "LinearRegression": ml.fit_linear(train)}
-    return ml.compare_models(models, {"train": train, "test": test})
+    return ml.compare_models(models, {"train": train, "test": test}, digits=DIGITS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -14,8 +14,8 @@ from __future__ import annotations
 import re
 
 from tripspark.plans.catalog import AS_OF
+from tripspark.schemas import FEATS
 
-FEATS = ["trip_distance", "log_distance", "trip_minutes", "passenger_count", "hour", "is_weekend"]
 
 _BRONZE = """
 bronze_src AS (
@@ -135,10 +135,10 @@ _BATCH = ("CAST((dense_rank() OVER (ORDER BY strftime(tpep_pickup_datetime, '%Y-
           "AS BIGINT)")
 
 
-def _quantiles_long(source: str, cols: list[str]) -> str:
+def _quantiles_long(source: str, cols: list[str], probs=(0.5, 0.9, 0.95, 0.99)) -> str:
     parts = []
     for c in cols:
-        for p in (0.5, 0.9, 0.95, 0.99):
+        for p in probs:
             parts.append(f"SELECT '{c}' AS \"column\", CAST({p} AS DOUBLE) AS prob, "
                          f"CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM {source}")
     return "\nUNION ALL\n".join(parts)
@@ -416,6 +416,22 @@ dim AS (SELECT CAST(range AS INTEGER) AS bin FROM range(60))""") + """
 SELECT dim.bin, round(lo + dim.bin * width, 6) AS bin_lo, round(lo + (dim.bin + 1) * width, 6) AS bin_hi,
        coalesce(binned.n, 0) AS n
 FROM dim CROSS JOIN bw LEFT JOIN binned ON dim.bin = binned.bin"""
+    q["residual_histogram_nan"] = with_("pred", """
+r AS (SELECT label - fare_pred AS resid FROM pred
+      WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0),
+bounds AS (SELECT min(resid) AS lo, max(resid) AS hi FROM r),
+bw AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 20 ELSE 1.0 END AS width FROM bounds),
+binned AS (SELECT CAST(least(floor((resid - lo) / width), 19) AS INTEGER) AS bin, count(*) AS n
+           FROM r CROSS JOIN bw GROUP BY 1),
+dim AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))""") + """
+SELECT dim.bin, round(lo + dim.bin * width, 6) AS bin_lo, round(lo + (dim.bin + 1) * width, 6) AS bin_hi,
+       coalesce(binned.n, 0) AS n
+FROM dim CROSS JOIN bw LEFT JOIN binned ON dim.bin = binned.bin"""
+    q["regression_metrics_nulls"] = with_("pred", """
+known AS (SELECT * FROM pred WHERE event_id % 5 <> 0 AND event_id % 7 <> 0)""") + _metrics("known", "label")
+    q["quantiles_repeated_values"] = with_("features", """
+f AS (SELECT CAST(event_id % 2 AS DOUBLE) AS two_valued, CAST(floor(label) AS DOUBLE) AS whole_fare FROM features)""") + \
+        _quantiles_long("f", ["two_valued", "whole_fare"], [0.25, 0.5, 0.501, 0.75, 0.99])
     q["top_errors"] = with_("pred") + """
 SELECT trip_distance, trip_minutes, passenger_count, hour, is_weekend, label AS trip_fare, fare_pred,
        abs(label - fare_pred) AS abs_error, event_id
