@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripspark.operators import ml, sampling
 from tripspark.operators.scoring import score
@@ -12,22 +11,21 @@ from tripspark.streaming.ingest import run_ingest
 from tripspark.streaming.scoring import run_scoring
 
 SF = "/root/testdata/sf0.001"
-EXTRA = T.StructType([T.StructField("event_id", T.LongType())])
 
 
 def test_stream_ingest_restart_adds_nothing_and_picks_up_new_files(spark, scratch):
     files = _write_raw_files(spark, SF)
     src = files[0].split("/src_month=")[0]
     bronze, ckpt = scratch("bronze"), scratch("ckpt")
-    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
+    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4)
     first = read_bronze(spark, bronze)
     n1, batches = first.count(), first.select("ingest_batch").distinct().count()
     assert n1 == 1020 and batches == 4
-    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
+    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4)
     assert read_bronze(spark, bronze).count() == n1
     extra = first.limit(7).drop("ingest_batch").withColumn("event_id", F.col("event_id") + 10**12)
     extra.coalesce(1).write.parquet(f"{src}/src_month=2099-01/src_part=0")
-    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4, extra=EXTRA)
+    run_ingest(spark, src, bronze, ckpt, files_per_trigger=4)
     assert read_bronze(spark, bronze).count() == n1 + 7
 
 

@@ -15,7 +15,7 @@ from tripspark.functions import (
 )
 from tripspark.schemas import (
     DEFAULT_PASSENGER_COUNT, DEFAULT_TRIP_MINUTES, DOUBLE_FEATS, DROPOFF_CANDIDATES, FEATS,
-    FEATURE_BOUNDS, INT_FEATS, PICKUP_CANDIDATES,
+    FEATURE_BOUNDS, INT_FEATS, PICKUP_CANDIDATES, ROW_ID,
 )
 
 
@@ -72,7 +72,7 @@ def usable_feature_row(silver: DataFrame) -> Column:
     return cond
 
 
-def build_features(silver: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:
+def build_features(silver: DataFrame, keep: Sequence[str] = (ROW_ID, "event_id")) -> DataFrame:
     """Silver -> feature table: bounds, weekend flag, log distance, label.
 
     ``keep`` passes row keys through (absent ones are ignored). Rows with a
@@ -136,11 +136,13 @@ def raw_features(df: DataFrame, as_of: dt.datetime | str | None = None,
     * ``trip_minutes``: from the timestamps when both exist, else a supplied
       ``trip_minutes`` column (``prefer="timestamps"``); ``prefer="supplied"``
       reverses that; null after both -> 12.0 (D9, per row);
-    * hour / weekend from pickup, or from ``as_of`` when pickup is null (D7);
-      ``as_of`` is a parameter so reruns agree (no ``current_timestamp``);
+    * hour / weekend from pickup, or from ``as_of`` when pickup is null (D7).
+      Without ``as_of`` the time of the call is taken, once for all rows; give
+      it where reruns have to agree;
     * absent ``passenger_count`` -> 1 (P6).
 
-    Output: the six features first, then every other input column (P11).
+    Output: the six features first, then every other input column, then the
+    derived ``pickup_ts``, ``dropoff_ts`` and ``dow`` (1 = Sunday) (P11).
     """
     require_columns(df, ["trip_distance"], "raw input")
     dtypes = {f.name: f.dataType for f in df.schema.fields}
@@ -152,11 +154,9 @@ def raw_features(df: DataFrame, as_of: dt.datetime | str | None = None,
     supplied = F.col("trip_minutes").try_cast("double") if "trip_minutes" in df.columns else F.lit(None).cast("double")
     minutes = F.coalesce(from_ts, supplied) if prefer == "timestamps" else F.coalesce(supplied, from_ts)
     minutes = F.coalesce(minutes, F.lit(DEFAULT_TRIP_MINUTES))
-    if as_of is None:
-        when = pick
-    else:
-        fallback = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
-        when = F.coalesce(pick, fallback)
+    as_of = dt.datetime.now(dt.timezone.utc) if as_of is None else as_of
+    fallback = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
+    when = F.coalesce(pick, fallback)
     passengers = (F.col("passenger_count") if "passenger_count" in df.columns
                   else F.lit(DEFAULT_PASSENGER_COUNT))
     feats = {
@@ -167,8 +167,9 @@ def raw_features(df: DataFrame, as_of: dt.datetime | str | None = None,
         "hour": hour_of_day(when),
         "is_weekend": weekend_from_day_number(day_of_week(when)),
     }
-    rest = [F.col(c) for c in df.columns if c not in FEATS]
-    return cast_features(df.select(*[e.alias(n) for n, e in feats.items()], *rest))
+    derived = {"pickup_ts": pick, "dropoff_ts": drop, "dow": day_of_week(when)}
+    rest = [F.col(c) for c in df.columns if c not in FEATS and c not in derived]
+    return cast_features(df.select(*[e.alias(n) for n, e in feats.items()], *rest, *[e.alias(n) for n, e in derived.items()]))
 
 
 def upload_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -202,8 +203,7 @@ def upload_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         hour, weekend = hour_of_day(pick), weekend_from_day_number(day_of_week(pick))
     else:
         raise MissingColumnsError(
-            "provide columns ['hour', 'is_weekend'] or a pickup timestamp "
-            f"(one of {PICKUP_CANDIDATES})")
+            f"the upload has neither hour and is_weekend nor one of the pickup columns {PICKUP_CANDIDATES}")
 
     if "trip_minutes" in cols:
         minutes = F.col("trip_minutes")
@@ -225,7 +225,3 @@ def upload_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         out.append(F.col("trip_fare").try_cast("double").alias("trip_fare"))
     out += [F.col(k.lower()) for k in keep if k.lower() in cols]
     return cast_features(df.select(*out))
-
-
-def weekend_flag_by_name(dow: Column) -> Column:
-    return weekend_from_day_name(dow)

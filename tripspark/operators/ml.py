@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspark.operators.features import _not_missing
 from tripspark.operators.quality import regression_metrics
+from tripspark.operators.sampling import row_key
 from tripspark.schemas import FEATS, SEED, TREE_MAX_DEPTH, TREE_MIN_INSTANCES
 
 
@@ -95,11 +96,12 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = No
     return out.select(*keep, pred_col)
 
 
-def scaled_columns(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("event_id",)) -> DataFrame:
+def scaled_columns(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """The scaler's output as six ``<feature>_scaled`` double columns."""
     fitted_assembler, fitted_scaler = model.stages[0], model.stages[1]
     out = fitted_scaler.transform(fitted_assembler.transform(df))
     arr = vector_to_array(F.col("features"))
+    keep = [row_key(df)] if keep is None else keep
     return out.select(*keep, *[arr[i].alias(f"{c}_scaled") for i, c in enumerate(FEATS)])
 
 

@@ -10,20 +10,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripspark.functions import hash_order_key, hash_percent
+from tripspark.operators.features import MissingColumnsError
 from tripspark.operators.quantiles import smallest_n
-from tripspark.schemas import SEED, TRAIN_PERCENT
+from tripspark.schemas import ROW_ID, SEED, TRAIN_PERCENT
 
 
-def split_flag(df: DataFrame, key: str = "event_id", train_percent: int = TRAIN_PERCENT,
+def row_key(df: DataFrame, key: str | None = None) -> str:
+    """The column that identifies a row: ``key``, else the id the ingest
+    assigned, else the source's ``event_id``."""
+    for name in ([key] if key else [ROW_ID, "event_id"]):
+        if name in df.columns:
+            return name
+    raise MissingColumnsError(f"no row key: name one, or keep {ROW_ID!r} from the ingest")
+
+
+def split_flag(df: DataFrame, key: str | None = None, train_percent: int = TRAIN_PERCENT,
                seed: int | None = None) -> DataFrame:
     """X3 (hash form): ``is_train`` from the key's hash bucket 0..99."""
-    return df.withColumn("is_train", hash_percent(F.col(key), seed) < train_percent)
+    return df.withColumn("is_train", hash_percent(F.col(row_key(df, key)), seed) < train_percent)
 
 
-def hash_split(df: DataFrame, key: str = "event_id", train_percent: int = TRAIN_PERCENT,
+def hash_split(df: DataFrame, key: str | None = None, train_percent: int = TRAIN_PERCENT,
                seed: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Disjoint train/test frames that together hold every row."""
-    p = hash_percent(F.col(key), seed)
+    p = hash_percent(F.col(row_key(df, key)), seed)
     return df.where(p < train_percent), df.where(p >= train_percent)
 
 
@@ -32,12 +42,12 @@ def random_split(df: DataFrame, weights=(0.8, 0.2), seed: int = SEED):
     return df.randomSplit(list(weights), seed=seed)
 
 
-def hash_sample(df: DataFrame, percent: float, key: str = "event_id", seed: int | None = None) -> DataFrame:
+def hash_sample(df: DataFrame, percent: float, key: str | None = None, seed: int | None = None) -> DataFrame:
     """X1/X2 (hash form): rows whose key hashes below ``percent`` of 100.
     Map-only, no shuffle."""
     if not 0 <= percent <= 100:
         raise ValueError("percent must be within [0, 100]")
-    return df.where(hash_percent(F.col(key), seed) < percent)
+    return df.where(hash_percent(F.col(row_key(df, key)), seed) < percent)
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
@@ -48,11 +58,12 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFr
     return df.sample(False, fraction, seed=seed)
 
 
-def fixed_size_sample(df: DataFrame, n: int, key: str = "event_id", seed: int | None = None) -> DataFrame:
+def fixed_size_sample(df: DataFrame, n: int, key: str | None = None, seed: int | None = None) -> DataFrame:
     """``min(n, rows)`` rows, chosen by the order of a key hash (the
     limit is the feature). The first 13 hex digits of the hash (52 bits,
     exact as a double) lead the order, so a large ``n`` is cut by a
     threshold instead of a top-n funnel (``smallest_n``)."""
+    key = row_key(df, key)
     digest = hash_order_key(F.col(key), seed)
     lead = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return smallest_n(df, n, [digest, F.col(key)], lead)

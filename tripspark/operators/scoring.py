@@ -15,7 +15,7 @@ from tripspark.operators import ml
 from tripspark.operators.features import cast_features, raw_features, require_columns, resolve
 from tripspark.schemas import FEATS
 from tripspark.sources.readers import read_any
-from tripspark.sources.sinks import write_table
+from tripspark.sources.sinks import check_format, write_table
 
 
 def score(model: PipelineModel, feats: DataFrame, prediction_col: str = "fare_pred",
@@ -43,7 +43,7 @@ def features_for_scoring(df: DataFrame, mode: str = "features", as_of: dt.dateti
         return df.select(*[F.col(c).alias(renames.get(c, c)) for c in df.columns])
     if mode == "raw":
         return raw_features(df, as_of=as_of)
-    raise ValueError("mode must be 'features' or 'raw'")
+    raise ValueError(f"unknown input mode {mode!r}: a feature table is 'features', trips are 'raw'")
 
 
 def score_batch(spark: SparkSession, input_path: str, output_path: str, model_path: str,
@@ -53,9 +53,8 @@ def score_batch(spark: SparkSession, input_path: str, output_path: str, model_pa
 
     The output format is checked before anything is read.
     """
-    if fmt.lower() not in ("parquet", "csv", "delta"):
-        raise ValueError("fmt must be delta|parquet|csv")
-    raw = read_any(spark, input_path, input_fmt)
+    check_format(fmt)
+    raw = read_any(spark, input_path, input_fmt, infer_schema=True)  # CSV: columns passed through keep their types
     feats = features_for_scoring(raw, mode, as_of)
     scored = score(ml.load(model_path), feats)
     return write_table(scored, output_path, fmt=fmt)

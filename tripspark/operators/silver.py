@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tripspark.functions import as_timestamp, day_name, hour_of_day, minutes_between, year_month
-from tripspark.schemas import BRONZE_ALIASES, SILVER_DERIVED, SILVER_KEY, SILVER_TYPES
+from tripspark.schemas import BRONZE_ALIASES, ROW_ID, SILVER_DERIVED, SILVER_KEY, SILVER_TYPES
 
 TIMESTAMP_COLUMNS = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
 
@@ -108,16 +108,22 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def silver(bronze: DataFrame, key: Sequence[str] = tuple(SILVER_KEY),
-           order: Sequence[str] = ("event_id",), unique_order: bool = True) -> DataFrame:
+           order: Sequence[str] = (ROW_ID, "event_id"), unique_order: bool | None = None) -> DataFrame:
     """Bronze -> Silver: harmonize, cast, filter, de-duplicate, derive.
 
     ``order`` names the tie-break columns that pick the surviving duplicate;
     columns in it that are absent are ignored (the remaining columns still
-    make the choice deterministic). By default ``order`` is the row id
-    ``event_id``, unique per Bronze row (``unique_order``).
+    make the choice deterministic). ``unique_order`` says that ``order`` is
+    one column without nulls or repeats. By default that holds for the row id
+    that the ingest assigns, and for nothing else: a column of the source may
+    well be called an id and repeat, and then a total order over all columns
+    decides.
     """
     df = clean(typed(harmonize_names(bronze)))
     order = [c for c in order if c in df.columns]
+    if unique_order is None:
+        unique_order = order[:1] == [ROW_ID]
+        order = order[:1] if unique_order else order
     return derive(dedupe(df, key, order, unique_order=unique_order and len(order) == 1))
 
 

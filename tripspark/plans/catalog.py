@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from tripspark.operators import marts, ml, quality, sampling
 from tripspark.operators.features import (
@@ -20,7 +19,7 @@ from tripspark.operators.features import (
 )
 from tripspark.operators.scoring import score_batch
 from tripspark.operators.silver import harmonize_names, rejection_audit, silver, typed
-from tripspark.schemas import FEATS
+from tripspark.schemas import FEATS, ROW_ID
 from tripspark.session import checkpointed, scratch_path
 from tripspark.sources.fixtures import (
     bronze_trips, upload_a_frame, upload_b_frame, with_fixed_prediction,
@@ -46,7 +45,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(bronze(spark, sf_dir))
+    # the fixture's event_id is unique
+    return silver(bronze(spark, sf_dir), order=("event_id",), unique_order=True)
 
 
 def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,11 +180,72 @@ def q_bronze_stream(spark, sf_dir):
     files = _write_raw_files(spark, sf_dir)
     source = files[0].split("/src_month=")[0]
     path = run_ingest(spark, source, scratch_path(spark, "bronze-stream"),
-                      scratch_path(spark, "bronze-stream-ckpt"), files_per_trigger=RAW_FILES_PER_BATCH,
-                      extra=T.StructType([T.StructField("event_id", T.LongType())]))
+                      scratch_path(spark, "bronze-stream-ckpt"), files_per_trigger=RAW_FILES_PER_BATCH)
     return read_bronze(spark, path).drop("ingest_batch")
 
 
+def q_bronze_ingest_incremental(spark, sf_dir):
+    """K1: half of the files, the other half, then all of them again with
+    another batch size: every row once."""
+    files = _write_raw_files(spark, sf_dir)
+    path = scratch_path(spark, "bronze-incremental")
+    half = len(files) // 2
+    for part, size in ((files[:half], 4), (files[half:], 4), (files, 3)):
+        ingest_files(spark, part, path, files_per_batch=size)
+    return read_bronze(spark, path).drop("ingest_batch")
+
+
+def q_bronze_batch_then_stream(spark, sf_dir):
+    """History by the batch job, then a stream over the same folder: the
+    stream adds the files the table does not hold, and overwrites nothing."""
+    from tripspark.streaming.ingest import run_ingest
+
+    files = _write_raw_files(spark, sf_dir)
+    path = scratch_path(spark, "bronze-mixed")
+    ingest_files(spark, files[:len(files) // 2], path)
+    run_ingest(spark, files[0].split("/src_month=")[0], path, scratch_path(spark, "bronze-mixed-ckpt"))
+    return read_bronze(spark, path).drop("ingest_batch")
+
+
+def q_bronze_extra_columns(spark, sf_dir):
+    """Two undeclared columns: ``tip`` is in some files only, ``rate`` is a
+    bigint in one batch and a double in the next."""
+    b = bronze(spark, sf_dir)
+    raw = scratch_path(spark, "raw-extra")
+    even, odd = b.where("event_id % 2 = 0"), b.where("event_id % 2 = 1")
+    even.withColumn("rate", F.col("event_id") % 6).write.parquet(f"{raw}/a")
+    odd.withColumn("rate", (F.col("event_id") % 6) / 2).withColumn("tip", F.col("event_id") % 9 / 4).write.parquet(f"{raw}/b")
+    path = scratch_path(spark, "bronze-extra")
+    for part in ("a", "b"):
+        ingest_files(spark, list_files(spark, f"{raw}/{part}"), path, files_per_batch=64)
+    return read_bronze(spark, path).drop("ingest_batch")
+
+
+def q_silver_without_source_id(spark, sf_dir):
+    """A22 on trips without an id of their own: the ingest's row id picks the
+    survivor (of rows that differ in the fare alone, hence left out)."""
+    raw = scratch_path(spark, "raw-noid")
+    bronze(spark, sf_dir).drop("event_id").write.parquet(raw)
+    path = scratch_path(spark, "bronze-noid")
+    ingest_files(spark, list_files(spark, raw), path, files_per_batch=64, row_id=ROW_ID)
+    return silver(read_bronze(spark, path)).drop(ROW_ID, "fare_amount", "ingest_batch")
+
+
+def q_silver_rerun(spark, sf_dir):
+    """K2: curate, then again from a Bronze without its last month: Silver
+    holds the months of the second Bronze."""
+    from tripspark.plans import jobs
+
+    b = bronze(spark, sf_dir)
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    last = b.agg(F.max(month)).first()[0]
+    silver_path, gold = scratch_path(spark, "silver-rerun"), scratch_path(spark, "gold-rerun")
+    for frame in (b, b.where(month < F.lit(last))):
+        path = write_table(frame, scratch_path(spark, "bronze-rerun"))
+        jobs.curate(spark, path, silver_path, gold)
+    return read_table(spark, silver_path).withColumn("ym", F.col("ym").cast("string"))
+
+
 def q_stream_scores(spark, sf_dir):
     """M12 in micro-batches: a saved model scores a feature stream."""
     from tripspark.streaming.scoring import run_scoring
@@ -229,7 +290,7 @@ def q_filter_audit(spark, sf_dir):
     Two aggregates: one over the typed Bronze rows (Silver rules) and one
     over Silver (its row count, the feature rules and the rows kept)."""
     b = bronze(spark, sf_dir)
-    s = silver(b)
+    s = silver(b, order=("event_id",), unique_order=True)
     stage1 = rejection_audit(b)
     passed, aggs = None, []
     for name, keep in feature_predicates():
@@ -516,6 +577,39 @@ def q_model_metrics(spark, sf_dir):
     return ml.compare_models(models, {"train": train, "test": test}, digits=DIGITS)
 
 
+def q_dt_invariants(spark, sf_dir):
+    """M4, checked by what a regression tree must fulfil: its leaves hold at
+    least 50 training rows each and predict their mean."""
+    train, _ = _split(spark, sf_dir)
+    model = ml.fit_tree(train)
+    model.stages[-1].setLeafCol("leaf")
+    leaves = model.transform(train).groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean"), F.min("prediction").alias("low"), F.max("prediction").alias("high"))
+    return leaves.agg(F.sum("n").alias("train_rows"), (F.min("n") >= 50).alias("leaves_large"),
+                      (F.max(F.abs(F.col("mean") - F.col("low"))) < 1e-6).alias("leaves_predict_mean"),
+                      (F.max(F.col("high") - F.col("low")) == 0).alias("one_value_per_leaf"))
+
+
+def q_model_metrics_invariants(spark, sf_dir):
+    """M7: twelve values, RMSE at least MAE for each model and split."""
+    m = q_model_metrics(spark, sf_dir)
+    wide = m.groupBy("model", "split").pivot("metric", ["rmse", "mae", "r2"]).agg(F.first("value"))
+    return wide.agg(F.count(F.lit(1)).alias("model_splits"), F.min(F.col("rmse") >= F.col("mae")).alias("rmse_not_below_mae"),
+                    F.min(F.col("r2") <= 1).alias("r2_at_most_one"))
+
+
+def q_sample_bernoulli_invariants(spark, sf_dir):
+    """A subset without repeats, of about the wanted share (within six
+    standard deviations)."""
+    p = predictions_df(spark, sf_dir).select("event_id")
+    part = sampling.bernoulli_sample(p, 0.05, seed=42)
+    n = p.count()
+    outside = part.join(p, "event_id", "left_anti").count()
+    spread = 6 * (0.05 * 0.95 * n) ** 0.5
+    return part.agg((F.count(F.lit(1)) == F.count_distinct("event_id")).alias("no_repeats"), F.lit(outside == 0).alias("subset"),
+                    (F.abs(F.count(F.lit(1)) - F.lit(0.05 * n)) <= F.lit(spread)).alias("share_fits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -14,44 +14,53 @@ from pyspark import StorageLevel
 from pyspark.sql import SparkSession, functions as F
 
 from tripspark.operators import marts, ml, quality, sampling
-from tripspark.operators.features import build_features
+from tripspark.operators.features import build_features, upload_features
+from tripspark.operators.scoring import score
 from tripspark.operators.silver import silver
-from tripspark.schemas import SEED
-from tripspark.session import tune_for
-from tripspark.sources.readers import read_table
-from tripspark.sources.sinks import ingest_folder, read_bronze, write_report_csv, write_table
+from tripspark.schemas import FEATS, FEATURE_COLUMNS, ROW_ID, SEED
+from tripspark.session import restore, tune_for
+from tripspark.sources.readers import read_csv, read_table
+from tripspark.sources.sinks import capped, ingest_folder, read_bronze, write_report_csv, write_table
 
 
 def ingest(spark: SparkSession, pattern: str, bronze_path: str, files_per_batch: int = 4) -> str:
-    """Monthly files -> Bronze, in batches (see also the streaming form)."""
-    ingest_folder(spark, pattern, bronze_path, files_per_batch)
+    """Monthly files -> Bronze, in batches (see also the streaming form).
+    Files the table already holds are skipped; every row gets a row id."""
+    ingest_folder(spark, pattern, bronze_path, files_per_batch, row_id=ROW_ID)
     return bronze_path
 
 
 def curate(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: str,
-           top_zones: int = 50, tune: bool = False) -> dict[str, str]:
-    """Bronze -> Silver (partitioned by month, per-month overwrite) -> marts.
+           top_zones: int = 50, tune: bool = False, months: Sequence[str] | None = None) -> dict[str, str]:
+    """Bronze -> Silver (partitioned by month) -> marts.
 
+    Silver is replaced as a whole, so it never holds a month that Bronze no
+    longer has. ``months`` rewrites these months alone and leaves the others.
     Marts are computed from the stored Silver, so they agree with it.
-    ``tune`` sizes the shuffle settings from the Bronze size first.
+    ``tune`` sizes the shuffle settings from the Bronze size first and puts
+    the old ones back afterwards.
     """
-    if tune:
-        tune_for(spark, bronze_path)
-    s = silver(read_bronze(spark, bronze_path))
-    write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=True, rebalance=True)
-    stored = read_table(spark, silver_path)
-    out = {"silver": silver_path}
-    for name, df in (("hourly_stats", marts.hourly_stats(stored)),
-                     ("top_pu_zones", marts.top_pickup_zones(stored, top_zones)),
-                     ("wday_vs_wend", marts.weekday_vs_weekend(stored))):
-        out[name] = write_table(df, f"{gold_dir}/{name}")
-    return out
+    before = tune_for(spark, bronze_path) if tune else {}
+    try:
+        s = silver(read_bronze(spark, bronze_path))
+        if months:
+            s = s.where(F.col("ym").isin(list(months)))
+        write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=bool(months), rebalance=True)
+        stored = read_table(spark, silver_path, merge_schema=True)
+        out = {"silver": silver_path}
+        for name, df in (("hourly_stats", marts.hourly_stats(stored)),
+                         ("top_pu_zones", marts.top_pickup_zones(stored, top_zones)),
+                         ("wday_vs_wend", marts.weekday_vs_weekend(stored))):
+            out[name] = write_table(df, f"{gold_dir}/{name}")
+        return out
+    finally:
+        restore(spark, before)
 
 
 def features(spark: SparkSession, silver_path: str, out_path: str,
              months: Sequence[str] | None = None) -> str:
     """Silver (optionally some months: partition pruning) -> feature table."""
-    return write_table(build_features(read_table(spark, silver_path, months=months)), out_path)
+    return write_table(build_features(read_table(spark, silver_path, months=months, merge_schema=True)), out_path)
 
 
 def train(spark: SparkSession, features_path: str, artifacts_dir: str, split: str = "hash") -> dict[str, str]:
@@ -76,13 +85,14 @@ def train(spark: SparkSession, features_path: str, artifacts_dir: str, split: st
         te.unpersist()
 
 
-TOP_ERROR_COLUMNS = ["event_id", "trip_distance", "trip_minutes", "passenger_count", "hour", "is_weekend",
+TOP_ERROR_COLUMNS = [ROW_ID, "event_id", "trip_distance", "trip_minutes", "passenger_count", "hour", "is_weekend",
                      "label", "fare_pred"]
 
 
 def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
-                      sample_fraction: float | None = None, seed: int = SEED) -> dict[str, str]:
-    """Error slices of a predictions table, each a small single-file CSV.
+                      sample_fraction: float | None = None, seed: int = SEED, scatter_percent: float = 1) -> dict[str, str]:
+    """Error slices of a predictions table, each a small single-file CSV,
+    and the chart feed: a sample of ``scatter_percent`` of the rows.
 
     ``sample_fraction`` keeps the option to report on a sample; by default
     every row is used. The predictions are persisted for the several
@@ -102,13 +112,15 @@ def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
             "by_distance": (quality.error_by_quantile_bucket(pred), ["dist_bucket"]),
             "by_distance_bin": (quality.error_by_distance_bin(pred), ["bin_order"]),
             "residual_histogram": (quality.histogram(quality.with_errors(pred), "resid", 60), ["bin"]),
+            "scatter": (sampling.hash_sample(pred, scatter_percent, seed=seed)
+                        .select("trip_distance", "label", "fare_pred"), None),
             "avg_pred_by_hour": (quality.avg_pred_by_hour(pred), ["hour"]),
             "by_distance_bin_filled": (quality.error_by_distance_bin_filled(pred, actual="label"),
                                        ["bin_order"]),
             "top_errors": (quality.top_rows(
                 quality.with_errors(pred), "abs_error", 20,
                 [c for c in TOP_ERROR_COLUMNS if c in pred.columns] + ["abs_error"],
-                [c for c in ("event_id", "trip_distance", "trip_minutes") if c in pred.columns]), None),
+                [c for c in (ROW_ID, "event_id", "trip_distance", "trip_minutes") if c in pred.columns]), None),
         }
         return {name: write_report_csv(df, f"{out_dir}/{name}", order_by=order)
                 for name, (df, order) in reports.items()}
@@ -116,6 +128,59 @@ def prediction_report(spark: SparkSession, predictions_path: str, out_dir: str,
         pred.unpersist()
 
 
+def feature_qa(spark: SparkSession, features_path: str, out_dir: str, silver_path: str | None = None) -> dict[str, str]:
+    """Quality report of a feature table (and of Silver, if given): nulls,
+    profile, quantiles, correlations and the extreme rows."""
+    feats = read_table(spark, features_path)
+    keys = [c for c in (ROW_ID, "event_id") if c in feats.columns]
+    show = [*FEATURE_COLUMNS, *keys]
+    reports = {
+        "null_counts": quality.null_counts(feats),
+        "profile": quality.feature_profile(feats),
+        "quantiles": quality.quantiles(feats, ["label", "trip_distance"]),
+        "correlations": quality.correlations(feats, "label", [c for c in FEATURE_COLUMNS if c != "label"]),
+        "top_fares": quality.top_rows(feats, "label", 5, show, keys),
+        "top_distances": quality.top_rows(feats, "trip_distance", 5, show, keys),
+    }
+    if silver_path is not None:
+        trips = read_table(spark, silver_path, merge_schema=True)
+        reports["silver_quantiles"] = quality.quantiles(trips, ["fare_amount", "trip_minutes"])
+        reports["silver_correlations"] = quality.correlations(trips, "fare_amount", ["trip_distance", "trip_minutes"])
+    return {name: write_report_csv(df, f"{out_dir}/{name}") for name, df in reports.items()}
+
+
+def score_upload(spark: SparkSession, upload_path: str, model_path: str, out_dir: str, keep: Sequence[str] = (),
+                 export_rows: int = 10000, key: str | None = None) -> dict[str, str]:
+    """An uploaded CSV -> features -> saved model -> predictions, a capped
+    export and the page's reports. With a ``trip_fare`` column the reports
+    hold errors against it, without one average predictions only.
+
+    Metrics are over all rows; the cap is the export's alone. ``key`` orders
+    the export (default: its first column in ``keep``).
+    """
+    rows = upload_features(read_csv(spark, upload_path), keep=keep)
+    valid = ml.valid_rows(rows, label=None)
+    pred = ml.load(model_path)
+    out = {"predictions": f"{out_dir}/predictions"}
+    scored = score(pred, valid)
+    has_fare = "trip_fare" in scored.columns
+    if has_fare:
+        scored = scored.withColumn("abs_error", F.abs(F.col("trip_fare") - F.col("fare_pred")))
+    write_table(scored, out["predictions"])
+    stored = read_table(spark, out["predictions"])
+    key = key or (keep[0] if keep else None)
+    if key:
+        numeric = stored.withColumn("_key", F.col(key).try_cast("double"))
+        out["export"] = write_report_csv(capped(numeric, "_key", export_rows).drop("_key"), f"{out_dir}/export")
+    reports = {"avg_pred_by_hour": quality.avg_pred_by_hour(stored),
+               "by_distance_bin": quality.error_by_distance_bin_filled(stored, actual="trip_fare" if has_fare else None)}
+    if has_fare:
+        reports["metrics"] = quality.regression_metrics(stored, label="trip_fare")
+        reports["top_errors"] = quality.top_rows(stored.where("abs_error IS NOT NULL"), "abs_error", 20, stored.columns, list(FEATS))
+    out.update({name: write_report_csv(df, f"{out_dir}/{name}") for name, df in reports.items()})
+    return out
+
+
 def smoke(spark: SparkSession, path: str, n: int = 5) -> int:
     """S7 + K4: the session starts and a table round-trips."""
     write_table(spark.range(n), path)

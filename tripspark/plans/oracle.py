@@ -228,6 +228,23 @@ def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_ingest"] = with_("bronze") + f"SELECT *, {_BATCH} AS ingest_batch FROM bronze"
     q["bronze_stream"] = with_("bronze") + "SELECT * FROM bronze"
+    q["bronze_ingest_incremental"] = q["bronze_stream"]
+    q["bronze_batch_then_stream"] = q["bronze_stream"]
+    q["bronze_extra_columns"] = with_("bronze") + """
+SELECT *, CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 6 AS DOUBLE) ELSE (event_id % 6) / 2 END AS rate,
+       CASE WHEN event_id % 2 = 1 THEN (event_id % 9) / 4 END AS tip
+FROM bronze"""
+    q["dt_invariants"] = with_("features") + f"""
+SELECT count(*) AS train_rows, true AS leaves_large, true AS leaves_predict_mean, true AS one_value_per_leaf
+FROM features WHERE {_hash_pct("event_id", None)} < 80"""
+    q["model_metrics_invariants"] = \
+        "SELECT CAST(4 AS BIGINT) AS model_splits, true AS rmse_not_below_mae, true AS r2_at_most_one"
+    q["sample_bernoulli_invariants"] = "SELECT true AS no_repeats, true AS subset, true AS share_fits"
+    q["silver_without_source_id"] = with_("silver") + f"SELECT {_SILVER_COLS} FROM silver"
+    q["silver_without_source_id"] = f"SELECT * EXCLUDE (fare_amount, event_id) FROM ({q['silver_without_source_id']})"
+    q["silver_rerun"] = with_("silver") + f"""
+SELECT {_SILVER_COLS} FROM silver
+WHERE ym < (SELECT max(strftime(tpep_pickup_datetime, '%Y-%m')) FROM bronze)"""
     q["bronze_ingest_drift"] = with_("bronze", """
 ranked AS (SELECT *, dense_rank() OVER (ORDER BY strftime(tpep_pickup_datetime, '%Y-%m')) - 1 AS month_rank
            FROM bronze)""") + """
@@ -304,7 +321,8 @@ SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance,
        CAST(hour(coalesce(tpep_pickup_datetime, {as_of})) AS INTEGER) AS hour,
        CASE WHEN dayofweek(coalesce(tpep_pickup_datetime, {as_of})) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
        VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
-       fare_amount, total_amount, event_id
+       fare_amount, total_amount, event_id, tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts,
+       CAST(dayofweek(coalesce(tpep_pickup_datetime, {as_of})) + 1 AS INTEGER) AS dow
 FROM bronze"""
     q["raw_features_as_of"] = with_("bronze", """
 b2 AS (SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN NULL ELSE tpep_pickup_datetime END
@@ -316,7 +334,8 @@ SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance,
        CAST(hour(coalesce(tpep_pickup_datetime, {as_of})) AS INTEGER) AS hour,
        CASE WHEN dayofweek(coalesce(tpep_pickup_datetime, {as_of})) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
        VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID,
-       fare_amount, total_amount, event_id
+       fare_amount, total_amount, event_id, tpep_pickup_datetime AS pickup_ts, tpep_dropoff_datetime AS dropoff_ts,
+       CAST(dayofweek(coalesce(tpep_pickup_datetime, {as_of})) + 1 AS INTEGER) AS dow
 FROM b2"""
     q["upload_features_a_no_dropoff"] = with_("bronze") + """
 SELECT trip_distance, round(ln(1 + trip_distance), 10) AS log_distance, CAST(12.0 AS DOUBLE) AS trip_minutes,

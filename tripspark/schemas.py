@@ -50,6 +50,10 @@ SEED = 42
 TRAIN_PERCENT = 80
 # -----------------------------------------------------------------------------
 
+# Row id that the Bronze ingest assigns (file number and row number), carried
+# through the layers.
+ROW_ID = "row_id"
+
 BRONZE_SCHEMA = T.StructType([
     T.StructField("VendorID", T.LongType()),
     T.StructField("tpep_pickup_datetime", T.TimestampType()),

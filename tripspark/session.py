@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_MADE: list[str] = []  # locations handed out by scratch_path
 
 
 def build_session(master: str | None = None, app_name: str = "tripspark",
@@ -68,19 +69,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared folder."""
-    return f"{shared_dir(spark)}/tripspark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tripspark/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable, eager checkpoint of ``df`` in the shared checkpoint
-    folder; the result reads the written files, not ``df``'s lineage.
-
-    The write runs as a second job, but that job skips the shuffle map
-    stages the first one already ran; only the work after the last
-    shuffle repeats. Persisting ``df`` to avoid that measured slower.
-    """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder as Parquet and read back: the
+    lineage is cut, readers prune columns, and a lost executor re-reads
+    files. :func:`clear_scratch` removes what a session has written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete everything this process has put under the shared folder with
+    :func:`scratch_path`; returns the number of locations. For the end of a
+    job: DataFrames that still read them no longer work."""
+    jvm = spark.sparkContext._jvm
+    n = len(_MADE)
+    while _MADE:
+        hpath = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    return n
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -92,30 +105,37 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
-def scale_conf(total_bytes: int, partition_bytes: int = 256 << 20, min_partitions: int = 200) -> dict[str, str]:
+def scale_conf(total_bytes: int, partition_bytes: int = 1 << 30, min_partitions: int = 200,
+               max_partitions: int = 20_000, scan_bytes: int = 256 << 20) -> dict[str, str]:
     """SQL settings sized for a job over ``total_bytes`` of input.
 
-    Scan splits and post-shuffle partitions aim at ``partition_bytes``
-    (a partition that fits an executor core's memory with room to sort);
-    the initial shuffle partition count covers the whole input at that
-    size, and AQE merges the small ones and splits skewed ones at run
-    time.
+    Shuffle partitions aim at ``partition_bytes`` and stay in the low tens of
+    thousands: the number of shuffle blocks is map tasks times partitions, and
+    the driver keeps track of them. Beyond that, partitions grow and AQE splits
+    the large ones; it merges the small ones where much has been filtered out.
     """
-    n = max(min_partitions, -(-total_bytes // partition_bytes))
+    n = min(max_partitions, max(min_partitions, -(-total_bytes // partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max(scan_bytes, min(partition_bytes, total_bytes // max_partitions))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(scan_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }
 
 
-def tune_for(spark: SparkSession, path: str, **kw) -> dict[str, str]:
-    """Apply ``scale_conf`` for the input at ``path`` to the session."""
+def tune_for(spark: SparkSession, path: str, **kw) -> dict[str, str | None]:
+    """Apply ``scale_conf`` for the input at ``path`` to the session; returns
+    the settings as they were, for :func:`restore`."""
     conf = scale_conf(input_bytes(spark, path), **kw)
+    before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    return conf
+    return before
+
+
+def restore(spark: SparkSession, before: dict[str, str | None]) -> None:
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -49,15 +49,28 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_any(spark: SparkSession, path: str, fmt: str | None = None, **kw) -> DataFrame:
-    """Explicit ``fmt``, else by suffix (``.csv`` -> CSV, otherwise
-    Parquet). No catch-all fallback: a failing read reports its own error."""
+    """Explicit ``fmt``, else the table format if the folder has a table
+    log, CSV by suffix, otherwise Parquet. No catch-all fallback: a failing
+    read reports its own error, and a folder with a log is never read as bare
+    Parquet (that would bring back files the log has removed). ``kw`` goes to
+    the CSV reader and is refused for other formats."""
     if fmt is None:
-        fmt = "csv" if path.lower().rstrip("/").endswith(".csv") else "parquet"
+        if path_exists(spark, f"{path.rstrip('/')}/_delta_log"):
+            fmt = "delta"
+        else:
+            fmt = "csv" if path.lower().rstrip("/").endswith(".csv") else "parquet"
     if fmt == "csv":
         return read_csv(spark, path, **kw)
+    if any(v for k, v in kw.items() if k != "infer_schema"):
+        raise ValueError(f"options {sorted(kw)} are for CSV, the input is {fmt}")
     return read_table(spark, path, fmt)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Sorted data files matching a glob (or under a folder), skipping
     hidden and ``_``-prefixed entries."""
@@ -75,7 +88,7 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
             for child in fs.listStatus(status.getPath()):
                 walk(child)
         else:
-            out.append(status.getPath().toString())
+            out.append(plain_path(status.getPath().toString()))
 
     for st in fs.globStatus(hpath) or []:
         walk(st)
@@ -136,6 +149,11 @@ def conform(df: DataFrame, schema: T.StructType = BRONZE_SCHEMA, source: str = "
     return df.select(*cols, *extra)
 
 
+#: Room for the file numbers of one batch in a row id.
+MAX_BATCH_FILES = 4096
+ROW_BITS = 30  # rows of one file
+
+
 def _merged_read(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """One scan of all files when their schemas merge (same types, columns
     possibly missing); None when Parquet refuses to merge them."""
@@ -147,25 +165,56 @@ def _merged_read(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
         raise
 
 
-def read_batch(spark: SparkSession, paths: Sequence[str], schema: T.StructType = BRONZE_SCHEMA) -> DataFrame:
+def plain_path(path: str) -> str:
+    """One spelling for a file, however it was listed."""
+    return "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
+def _with_row_id(df: DataFrame, name: str, paths: Sequence[str], first_file: int) -> DataFrame:
+    """Add a bigint that is unique over all files: the file's number and the
+    row's place in the file."""
+    jvm = df.sparkSession.sparkContext._jvm
+    uri = lambda p: plain_path(jvm.org.apache.hadoop.fs.Path(p).toUri().toString())  # noqa: E731  as file_path is encoded
+    number = F.create_map(*[x for i, p in enumerate(sorted(paths)) for x in (F.lit(uri(p)), F.lit(first_file + i))])
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+    return df.select("*", (F.element_at(number, file).cast("bigint") * F.lit(1 << ROW_BITS) + F.col("_metadata.row_index")).alias(name))
+
+
+def read_batch(spark: SparkSession, paths: Sequence[str], schema: T.StructType = BRONZE_SCHEMA,
+               row_id: str | None = None, first_file: int = 0) -> DataFrame:
     """One batch of Parquet files that may disagree in schema.
 
     Fast path: the batch's footers merge (one schema job) and the whole
     batch is one scan, conformed to ``schema``. When types conflict
     (e.g. bigint in one file, double in another), files are grouped by
-    their own footer schema; each group is one scan, conformed, and the
-    groups are combined with ``unionByName(allowMissingColumns=True)``.
-    Footer reads are bounded by the batch size.
+    their own footer schema; each group is one scan, conformed; columns that
+    ``schema`` does not declare take the widest type of the groups, and a
+    column without a common type is refused by name. Footer reads are bounded
+    by the batch size.
     """
+    from tripspark.sources.manifest import wider
+
+    if len(paths) > MAX_BATCH_FILES:
+        raise ValueError(f"more than {MAX_BATCH_FILES} files in a batch")
+    tag = (lambda df, files: _with_row_id(df, row_id, paths, first_file)) if row_id else (lambda df, files: df)
     merged = _merged_read(spark, paths)
     if merged is not None:
-        return conform(merged, schema, source=", ".join(paths))
+        return conform(tag(merged, paths), schema, source=", ".join(paths))
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for p in paths:
         s = spark.read.parquet(p).schema
         groups.setdefault(s.json(), (s, []))[1].append(p)
+    parts = [conform(tag(spark.read.schema(s).parquet(*files), files), schema, source=", ".join(files)) for s, files in groups.values()]
+    types: dict[str, T.DataType] = {}
+    for part, (_, files) in zip(parts, groups.values()):
+        for f in part.schema.fields:
+            both = wider(types.get(f.name, f.dataType), f.dataType)
+            if both is None:
+                raise TypeError(f"{', '.join(files)}: column {f.name} has type {f.dataType.simpleString()}, "
+                                f"another file of the batch has {types[f.name].simpleString()}")
+            types[f.name] = both
     out = None
-    for s, files in groups.values():
-        part = conform(spark.read.schema(s).parquet(*files), schema, source=", ".join(files))
+    for part in parts:
+        part = part.select(*[F.col(f"`{f.name}`").cast(types[f.name]).alias(f.name) for f in part.schema.fields])
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

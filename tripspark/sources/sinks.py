@@ -8,18 +8,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tripspark.operators.quantiles import smallest_n
-from tripspark.sources.readers import list_files, plan_batches, read_batch, read_table
+from tripspark.operators.sampling import row_key
+from tripspark.sources import manifest
+from tripspark.sources.readers import list_files, plain_path, plan_batches, read_batch, read_table
 from tripspark.schemas import BRONZE_SCHEMA
 
 FORMATS = ("parquet", "csv", "delta")
 
 
-def _check_fmt(fmt: str) -> str:
+def check_format(fmt: str) -> str:
     fmt = fmt.lower()
     if fmt not in FORMATS:
-        raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
+        raise ValueError(f"cannot write {fmt!r}, only {', '.join(FORMATS)}")
     return fmt
 
 
@@ -42,7 +45,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
       multi-file;
     * ``csv`` always writes a header.
     """
-    fmt = _check_fmt(fmt)
+    fmt = check_format(fmt)
     if rebalance:
         df = df.hint("rebalance", *(partition_by or []))
     if files:
@@ -64,40 +67,74 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def append(df: DataFrame, path: str) -> str:
-    """K1: append files to a Parquet table. Columns new to the table are
-    allowed; readers use ``mergeSchema`` (see ``read_bronze``)."""
+    """K1: append files to a plain Parquet table. Columns new to the table
+    are allowed; read with ``merge_schema``. (Bronze tables are appended to
+    by ``ingest_files``, which never adds a file twice.)"""
     df.write.mode("append").parquet(path)
     return path
 
 
+def fit_to_table(df: DataFrame, table: T.StructType, source: str) -> DataFrame:
+    """Columns that the table knows, in the wider of both types; a column
+    whose types have no common one is refused."""
+    known = {f.name: f.dataType for f in table.fields}
+    cols = []
+    for f in df.schema.fields:
+        have = known.get(f.name)
+        dtype = f.dataType if have is None else manifest.wider(have, f.dataType)
+        if dtype is None:
+            raise TypeError(f"{source}: column {f.name} has type {f.dataType.simpleString()}, "
+                            f"the table holds {have.simpleString()}")
+        cols.append(F.col(f"`{f.name}`") if dtype == f.dataType else F.col(f"`{f.name}`").cast(dtype).alias(f.name))
+    return df.select(*cols)
+
+
+def write_batch(spark: SparkSession, files: Sequence[str], bronze_path: str, batch: int, origin: str,
+                row_id: str | None = None) -> None:
+    """One batch of files into its own folder, then into the manifest."""
+    before = manifest.rows(spark, bronze_path)
+    df = read_batch(spark, files, row_id=row_id, first_file=sum(len(r["files"]) for r in before))
+    df = fit_to_table(df, manifest.table_schema(before), ", ".join(files))
+    df.write.mode("overwrite").parquet(f"{bronze_path}/ingest_batch={batch}")
+    manifest.record(spark, bronze_path, batch, origin, list(files), df.schema)
+
+
 def ingest_files(spark: SparkSession, paths: Sequence[str], bronze_path: str,
-                 files_per_batch: int = 4, start_batch: int = 0) -> list[int]:
-    """S1 + K1: ingest sorted files in batches of ``files_per_batch`` into
-    the Bronze table. Each batch is one distributed write into its own
-    ``ingest_batch=<i>`` folder, replaced on rerun: a job restarted after a
-    failure rewrites the batches instead of appending them a second time.
-    Returns the batch ids written.
-
-    For continuous arrival use ``tripspark.streaming.ingest_stream``,
-    whose checkpoint makes reruns no-ops.
+                 files_per_batch: int = 4, row_id: str | None = None) -> list[int]:
+    """S1 + K1: append sorted files to the Bronze table in batches of
+    ``files_per_batch``.
+
+    The table's manifest says which files it holds: these are skipped, so a
+    rerun adds nothing whatever its batch size, and new files get numbers
+    behind the last finished batch. A batch that a failure cut short is not
+    in the manifest; its files are ingested again into the same folder.
+    ``row_id`` names a bigint column to add (file number and row number),
+    unique in the table. Returns the batch ids written.
     """
+    if not paths:
+        raise FileNotFoundError("no input files found")
+    done = manifest.finished_files(spark, bronze_path)
+    new = sorted({plain_path(p) for p in paths} - done)
     written = []
-    for i, batch in enumerate(plan_batches(paths, files_per_batch), start=start_batch):
-        read_batch(spark, batch).write.mode("overwrite").parquet(f"{bronze_path}/ingest_batch={i}")
-        written.append(i)
+    for batch, files in enumerate(plan_batches(new, files_per_batch) if new else [], start=manifest.next_batch(spark, bronze_path)):
+        write_batch(spark, files, bronze_path, batch, manifest.BATCH_JOB, row_id)
+        written.append(batch)
     return written
 
 
-def ingest_folder(spark: SparkSession, pattern: str, bronze_path: str, files_per_batch: int = 4) -> list[int]:
-    return ingest_files(spark, list_files(spark, pattern), bronze_path, files_per_batch)
+def ingest_folder(spark: SparkSession, pattern: str, bronze_path: str, files_per_batch: int = 4,
+                  row_id: str | None = None) -> list[int]:
+    return ingest_files(spark, list_files(spark, pattern), bronze_path, files_per_batch, row_id)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The Bronze table with all schema versions merged; ``ingest_batch``
-    comes from the folder names."""
-    df = read_table(spark, path, merge_schema=True)
-    if "ingest_batch" in df.columns:
-        df = df.withColumn("ingest_batch", F.col("ingest_batch").cast("bigint"))
+    comes from the folder names. Only batches in the manifest are read."""
+    df = manifest.read(spark, path)
+    if df is None:  # a plain Parquet table
+        df = read_table(spark, path, merge_schema=True)
+        if "ingest_batch" in df.columns:
+            df = df.withColumn("ingest_batch", F.col("ingest_batch").cast("bigint"))
     return df
 
 
@@ -109,17 +146,18 @@ def write_report_csv(df: DataFrame, path: str, order_by: Sequence[str] | None =
     return write_table(df, path, fmt="csv", single_file=True)
 
 
-def export_predictions(df: DataFrame, path: str, key: str = "event_id", n: int = 10000) -> str:
+def export_predictions(df: DataFrame, path: str, key: str | None = None, n: int = 10000) -> str:
     """The first ``n`` rows by ``key`` as one CSV (the cap is the
     feature: a download-sized extract). Only about ``n`` rows reach the
     single writing task (see ``capped``)."""
     return write_report_csv(capped(df, key, n), path)
 
 
-def capped(df: DataFrame, key: str = "event_id", n: int = 10000) -> DataFrame:
+def capped(df: DataFrame, key: str | None = None, n: int = 10000) -> DataFrame:
     """A keyed, reproducible replacement for an unordered ``limit``:
     the first ``n`` rows by a numeric ``key`` (large ``n`` goes through
     the threshold search of ``smallest_n``)."""
+    key = row_key(df, key)
     return smallest_n(df, n, [F.col(key)], F.col(key))
 
 

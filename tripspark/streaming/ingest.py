@@ -5,69 +5,59 @@ The batch loop "read 4 files, append" becomes a file stream with
 records which files were taken, so a rerun over the same folder adds no
 rows, and new files are picked up by the next run.
 
-Each micro-batch is written to its own ``ingest_batch=<id>`` folder with
-overwrite: if a batch is retried after a failure (foreachBatch is
-at-least-once), the retry replaces its own output instead of appending a
-second copy.
-
-A file stream reads every file with one declared schema. Renamed columns
-are covered (aliases are in the schema), and so are stored types that the
-Parquet reader widens (int -> bigint/double, float -> double), but not a
-bigint stored where double is declared: such history goes through the
-batch ingest (``sinks.ingest_files``), which casts each schema group.
+The stream only decides which files make a micro-batch; their rows are read
+by the same code as in the batch job (``sinks.write_batch``), so renamed,
+drifting and undeclared columns are handled alike and no column is lost. Each
+micro-batch goes to its own folder, numbered in a range that belongs to the
+checkpoint: batches of the batch job or of another stream are never
+overwritten, and a retried micro-batch (foreachBatch is at-least-once)
+replaces its own output. Files that the table's manifest already lists are
+skipped.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tripspark.schemas import BRONZE_ALIASES, BRONZE_SCHEMA
-from tripspark.sources.readers import conform
-
-
-def stream_schema(extra: T.StructType | None = None) -> T.StructType:
-    """Bronze schema plus alias columns (e.g. ``vendor_id``) and any
-    ``extra`` fields, so files using either name are read."""
-    fields = list(BRONZE_SCHEMA.fields)
-    names = {f.name for f in fields}
-    for alias, canonical in BRONZE_ALIASES.items():
-        dtype = BRONZE_SCHEMA[canonical].dataType
-        if alias not in names:
-            fields.append(T.StructField(alias, dtype))
-            names.add(alias)
-    for f in (extra.fields if extra else []):
-        if f.name not in names:
-            fields.append(f)
-            names.add(f.name)
-    return T.StructType(fields)
+from tripspark.schemas import BRONZE_SCHEMA
+from tripspark.sources import manifest
+from tripspark.sources.readers import plain_path
+from tripspark.sources.sinks import write_batch
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
-                  files_per_trigger: int = 4, extra: T.StructType | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  files_per_trigger: int = 4, available_now: bool = True, row_id: str | None = None) -> StreamingQuery:
     """Start the ingest stream; with ``available_now`` it stops by itself
     once every file present at start is ingested (``awaitTermination``)."""
-    source = (spark.readStream.schema(stream_schema(extra))
+    source = (spark.readStream.schema(BRONZE_SCHEMA)
               .option("maxFilesPerTrigger", files_per_trigger)
               .option("recursiveFileLookup", "true")
-              .parquet(source_dir))
+              .parquet(source_dir)
+              .select("_metadata.file_path"))  # no data column is read here
+    first = manifest.first_batch(spark, bronze_path, checkpoint)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # both names are in the stream schema; conform folds the alias in
-        out = conform(batch, BRONZE_SCHEMA, source=f"micro-batch {batch_id}")
-        out.write.mode("overwrite").parquet(f"{bronze_path}/ingest_batch={batch_id}")
+    def take(batch: DataFrame, batch_id: int) -> None:
+        # at most files_per_trigger names
+        files = {plain_path(unquote(r["file_path"])) for r in batch.distinct().collect()}
+        done = {r["batch"]: r["files"] for r in manifest.rows(spark, bronze_path)}
+        if first + batch_id in done and done[first + batch_id]:
+            return  # written before; only the stream's own commit was lost
+        new = sorted(files - {f for names in done.values() for f in names})
+        if new:
+            write_batch(spark, new, bronze_path, first + batch_id, checkpoint, row_id)
 
-    writer = source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def run_ingest(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
-               files_per_trigger: int = 4, extra: T.StructType | None = None) -> str:
+               files_per_trigger: int = 4, row_id: str | None = None) -> str:
     """Run the stream over what is there now and wait for it to finish."""
-    q = ingest_stream(spark, source_dir, bronze_path, checkpoint, files_per_trigger, extra)
+    q = ingest_stream(spark, source_dir, bronze_path, checkpoint, files_per_trigger, row_id=row_id)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
