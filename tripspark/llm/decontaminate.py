@@ -162,6 +162,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """The documents that repeat no benchmark item, with their own columns."""
-    found = leaks(docs, benchmark, id_col, text_col, **names).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct()
-    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    return docs.join(found, docs[id_col].cast("long").eqNullSafe(F.col("__d")) & (key == F.col("__t")), "left_anti")
+    found = leaks(docs, benchmark, id_col, text_col, **names).select("doc_id", "text_key").distinct()
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("d"), F.xxhash64(text).alias("t"))
+    clean_rows = rows.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")), "left_anti")
+    return clean_rows.select("row.*")

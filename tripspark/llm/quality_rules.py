@@ -129,28 +129,26 @@ def passes(c: Column, rules=RULES) -> Column:
     return ok
 
 
-def judge(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts, ``base_failed`` and ``kept`` for each document.
+def base_failed(c: Column) -> Column:
+    """Fewer than 20 words, or more than 30 % of the words lie in repeated
+    eight-word windows."""
+    return (c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"])
+
 
-    base_failed: fewer than 20 words, or more than 30 % of the words lie in
-    repeated eight-word windows.
-    """
+def judge(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Counts, ``base_failed`` and ``kept`` for each document."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     c = F.col("c")
-    failed = (c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"])
     out = docs.select(docs[id_col].alias("doc_id"), counts(text).alias("c"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return out.select("doc_id", *[c[n].alias(n) for n in names], failed.alias("base_failed"),
-                      (~failed & passes(c, rules)).alias("kept"))
+    return out.select("doc_id", *[c[n].alias(n) for n in names], base_failed(c).alias("base_failed"),
+                      (~base_failed(c) & passes(c, rules)).alias("kept"))
 
 
 def keep(docs: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
     """The documents that pass, with their own columns."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    names = docs.columns
-    c = F.col("__counts")
-    failed = (c["n_words"] < 20) | (100 * c["n_repeat_words"] > 30 * c["n_words"])
-    return docs.withColumn("__counts", counts(text)).where(~failed & passes(c, rules)).select(*[f"`{n}`" for n in names])
+    return docs.where(_let(counts(text), lambda c: ~base_failed(c) & passes(c, rules)))
 
 
 def oracle_sql(rules=RULES) -> str:

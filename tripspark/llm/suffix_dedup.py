@@ -157,9 +157,11 @@ def _find_segments(batches):
         held.clear()
         count = 0
         order = np.lexsort((start, tkey, did, content, key))
-        again = np.zeros(len(order), bool)
-        k, c = key[order], content[order]
-        again[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+        k, c, d, t, s = (x[order] for x in (key, content, did, tkey, start))
+        same = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+        twin = np.concatenate([[False], same & (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (s[1:] == s[:-1])])
+        again = np.concatenate([[False], same])[~twin]  # a twin is the same place, in a repeated row
+        order = order[~twin]
         keep, drop = order[~again], order[again]
         d, t, s, n = _merged(did[drop], tkey[drop], start[drop], length[drop])
         spread = words.mix(d.view(np.uint64) * np.uint64(31) + s.view(np.uint64)) >> np.uint64(1)
@@ -193,9 +195,14 @@ def _settle(batches):
     and whether it has been sent.
     """
     schema = pa.schema([*_KEYS, ("start", pa.int64()), ("length", pa.int32()), ("key", pa.int64()), ("place", pa.int32())])
-    carry, sent = None, False
+    carry, sent, last = None, False, None
     for batch in batches:
         table = np.array([np.asarray(batch.column(i)).astype(np.int64) for i in range(7)]).reshape(7, -1)
+        if table.shape[1]:  # the same place twice is a repeated row of the documents
+            twin = np.zeros(table.shape[1], bool)
+            twin[1:] = (table[:5, 1:] == table[:5, :-1]).all(0)
+            twin[0] = last is not None and bool((table[:5, 0] == last).all())
+            last, table = table[:5, -1], table[:, ~twin]
         is_span = table[5] < 0
         ready, table = table[:, is_span], table[:, ~is_span]
         begun = carry is not None

@@ -91,7 +91,7 @@ def unpack_block(blob: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 
 def _planes(ids: np.ndarray) -> bytes:
     """Low bytes, then high bytes (, ...): compresses better than whole ids."""
-    return np.ascontiguousarray(ids.view(np.uint8).reshape(len(ids), -1).T).tobytes()
+    return np.ascontiguousarray(ids.view(np.uint8).reshape(len(ids), ids.itemsize).T).tobytes()
 
 
 def _from_planes(blob: bytes, n: int, dtype: np.dtype) -> np.ndarray:
