@@ -17,7 +17,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripspark.operators.features import _not_missing
-from tripspark.operators.quality import regression_metrics
+from tripspark.operators.quality import error_sums, metrics_of
 from tripspark.operators.sampling import row_key
 from tripspark.schemas import FEATS, SEED, TREE_MAX_DEPTH, TREE_MIN_INSTANCES
 
@@ -123,21 +123,24 @@ def coefficients(spark: SparkSession, model: PipelineModel) -> DataFrame:
 def compare_models(models: dict[str, PipelineModel], splits: dict[str, DataFrame],
                    digits: int | None = None) -> DataFrame:
     """M7: RMSE, MAE and R² per (model, split), long: (model, split,
-    metric, value). Each (model, split) metric set is one aggregate."""
-    parts = []
-    for mname, model in models.items():
+    metric, value). Every split is read once: all models score the same rows,
+    and one aggregate by split holds the sums of all of them."""
+    data = None
+    for name, rows in splits.items():
+        part = valid_rows(rows).select(*FEATS, "label", F.lit(name).alias("split"))
+        data = part if data is None else data.unionByName(part)
+    scored: list[str] = []
+    for i, model in enumerate(models.values()):
         pred_col = model.stages[-1].getOrDefault("predictionCol")
-        for sname, data in splits.items():
-            m = regression_metrics(model.transform(valid_rows(data)), "label", pred_col, digits)
-            parts.append(m.select(
-                F.lit(mname).alias("model"), F.lit(sname).alias("split"),
-                F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value"))
-                                    for k in ("rmse", "mae", "r2")])).alias("m"))
-                .select("model", "split", "m.metric", "m.value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        data = model.transform(data).select(*FEATS, "label", "split", *scored, F.col(pred_col).alias(f"p{i}"))
+        scored.append(f"p{i}")
+    sums = data.groupBy("split").agg(*[F.struct(*[c.alias(n) for n, c in error_sums("label", p).items()]).alias(p) for p in scored])
+    rows = []
+    for name, p in zip(models, scored):
+        for metric, c in zip(("rmse", "mae", "r2"), metrics_of(lambda n, p=p: F.col(p)[n])):
+            c = c if digits is None else F.round(c, digits)
+            rows.append(F.struct(F.lit(name).alias("model"), F.lit(metric).alias("metric"), c.cast("double").alias("value")))
+    return sums.select("split", F.explode(F.array(*rows)).alias("m")).select("m.model", "split", "m.metric", "m.value")
 
 
 def save(model: PipelineModel, path: str) -> str:

@@ -99,27 +99,28 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     Rows without a label or a prediction take no part: ``n`` counts the
     rows with both, and every metric is over these.
     """
+    agg = pred.select(*[c.alias(n) for n, c in error_sums(label, prediction).items()])
+    rmse, mae, r2 = metrics_of(F.col, zero_variance)
+    return agg.select("n", _r(rmse, digits).alias("rmse"), _r(mae, digits).alias("mae"), _r(r2, digits).alias("r2"))
+
+
+def error_sums(label: str, prediction: str) -> dict[str, Column]:
+    """The aggregates behind RMSE, MAE and R², over rows with both values."""
     err = F.col(label) - F.col(prediction)
     known = F.when(err.isNotNull(), F.col(label))
-    agg = pred.select(
-        F.count(err).alias("n"),
-        F.sum(err * err).alias("sse"),
-        F.avg(F.abs(err)).alias("mae"),
-        (F.var_pop(known) * F.count(known)).alias("sst"),
-    )
+    return {"n": F.count(err), "sse": F.sum(err * err), "mae": F.avg(F.abs(err)), "sst": F.var_pop(known) * F.count(known)}
+
+
+def metrics_of(get, zero_variance: str = "nan") -> tuple[Column, Column, Column]:
+    """RMSE, MAE and R² from the aggregates, which ``get(name)`` returns."""
     if zero_variance == "nan":
         degenerate = F.lit(float("nan"))
     elif zero_variance == "evaluator":
-        degenerate = F.when(F.col("sse") > 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
+        degenerate = F.when(get("sse") > 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
     else:
         raise ValueError("zero_variance must be 'nan' or 'evaluator'")
-    r2 = F.when(F.col("sst") > 0, 1 - F.col("sse") / F.col("sst")).otherwise(degenerate)
-    return agg.select(
-        F.col("n"),
-        _r(F.sqrt(F.try_divide(F.col("sse"), F.col("n"))), digits).alias("rmse"),  # no row with both: null
-        _r(F.col("mae"), digits).alias("mae"),
-        _r(r2, digits).alias("r2"),
-    )
+    r2 = F.when(get("sst") > 0, 1 - get("sse") / get("sst")).otherwise(degenerate)
+    return F.sqrt(F.try_divide(get("sse"), get("n"))), get("mae"), r2  # no row with both: null
 
 
 def residual_summary(pred: DataFrame, probs: Sequence[float] = tuple(REPORT_PROBS),
