@@ -85,17 +85,17 @@ def _write_drift_files(spark: SparkSession, sf_dir: str) -> str:
          .withColumn("src_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
          .withColumn("src_part", F.col("event_id") % RAW_PARTS_PER_MONTH))
     months = sorted(r.src_month for r in b.select("src_month").distinct().collect())
-    for rank, month in enumerate(months):
-        m = b.where(F.col("src_month") == month).drop("src_month")
-        if rank % 4 == 0:
+    for group in range(4):  # one write for all months of a kind
+        m = b.where(F.col("src_month").isin(months[group::4]))
+        if group == 0:
             m = m.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
-        elif rank % 4 == 1:
+        elif group == 1:
             m = m.withColumn("airport_fee", (F.col("event_id") % 3).cast("double") * 1.25)
-        elif rank % 4 == 2:
+        elif group == 2:
             m = (m.withColumn("passenger_count", F.col("passenger_count").cast("int"))
                  .withColumn("VendorID", F.col("VendorID").cast("int"))
                  .withColumnRenamed("VendorID", "vendor_id"))
-        m.repartition("src_part").write.partitionBy("src_part").parquet(f"{raw}/src_month={month}")
+        m.repartition("src_month", "src_part").write.partitionBy("src_month", "src_part").parquet(f"{raw}/kind={group}")
     return raw
 
 
