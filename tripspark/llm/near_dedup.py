@@ -7,16 +7,18 @@ count of leading zeros (6 bits) and the ten bits after the leading one.
 Candidates. Documents with equal shingle sets are one class from the start.
 Bands of ``ROWS`` compressed registers are bucket keys. A link of similarity
 0.75 shares none of the 32 bands with a probability of about 5e-6. A bucket
-gives a star (its pivot with each other member), never all its pairs. Pairs
+gives stars (one pivot, or three in small buckets, with each other member),
+never all its pairs. Pairs
 whose collision-corrected register estimate is below ``SURE_BELOW`` (over six
 standard deviations under the threshold) are dropped; all others are checked
 on their full sets.
 
-Rest. A second round of stars uses the best linked member of each bucket that
-still spans several components as pivot. Members of buckets that span several
-components even then go through a prefix filter, which is exact: sets of the
-wanted similarity share one of the rarest shingles of each. Only pairs of
-different components are compared, so a group of copies is not multiplied out.
+Rest. Where the other members of a bucket are not in one component, a second
+round of stars uses the best linked of them as pivot. Those that are not in
+one component even then go through a prefix filter, which is exact: sets of
+the wanted similarity share one of the rarest shingles of each. Only pairs not
+known to be in one component are compared, so a group of copies is not
+multiplied out.
 
 Defined cases: null or empty text: no shingles, linked with nothing, its own
 component. A null id counts as larger than any id; a group of null ids has a
@@ -37,6 +39,7 @@ SHINGLE = 5
 REGISTERS, MANTISSA = 128, 10
 ROWS = 4  # registers per band
 SURE_BELOW = 0.5
+SMALL = 16  # members of a bucket that gets three pivots; a larger one gets one
 NUM, DEN = 3, 4  # the similarity threshold as a fraction
 EMPTY = np.uint16(0xFFFF)
 
@@ -111,12 +114,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, sid, n): one row per band that is not empty."""
+    """(band, cid, n): one row per band that is not empty."""
     width = 2 * ROWS
-    part = lambda i: F.substring("regs", i * width + 1, width)
     i = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1))).alias("i")
-    rows = classes.select("sid", "n", "regs", i).select("sid", "n", "i", F.substring(F.col("regs"), F.col("i") * width + 1, F.lit(width)).alias("key"))
-    return rows.where(F.col("key") != F.lit(b"\xff" * width)).select(F.xxhash64("i", "key").alias("band"), "sid", "n")
+    rows = classes.select("cid", "n", "regs", i).select("cid", "n", "i", F.substring(F.col("regs"), F.col("i") * width + 1, F.lit(width)).alias("key"))
+    return rows.where(F.col("key") != F.lit(b"\xff" * width)).select(F.xxhash64("i", "key").alias("band"), "cid", "n")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -124,125 +126,137 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return F.least(a, b) * DEN >= F.greatest(a, b) * NUM
 
 
+def _pairs(frame: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of ``cid`` and ``pivot`` with fitting sizes."""
+    found = frame.where((F.col("cid") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("np")))
+    return found.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) that the registers do not rule out."""
-    regs = classes.select("sid", "regs")
-    joined = (pairs.join(regs.withColumnsRenamed({"sid": "a", "regs": "ra"}), "a")
-              .join(regs.withColumnsRenamed({"sid": "b", "regs": "rb"}), "b").select("a", "b", "ra", "rb"))
+    regs = classes.select("cid", "regs")
+    joined = (pairs.join(regs.withColumnsRenamed({"cid": "a", "regs": "ra"}), "a")
+              .join(regs.withColumnsRenamed({"cid": "b", "regs": "rb"}), "b").select("a", "b", "ra", "rb"))
 
     def run(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
             yield batch.select([0, 1]).filter(pa.array(estimate(x, y) >= SURE_BELOW))
 
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets reach the similarity."""
-    joined = (pairs.join(texts.withColumnsRenamed({"sid": "b", "text": "tb"}), "b")
-              .join(texts.withColumnsRenamed({"sid": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb"))
+    joined = (pairs.join(texts.withColumnsRenamed({"cid": "b", "text": "tb"}), "b")
+              .join(texts.withColumnsRenamed({"cid": "a", "text": "ta"}), "a").select("a", "b", "ta", "tb"))
 
     def run(batches):
-        seen: dict[bytes, np.ndarray] = {}  # the pivot of neighbouring rows is the same
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            a = np.array(batch.column(0))
+            new = np.ones(len(a), bool)  # rows come sorted by a: its set is made once
+            new[1:] = a[1:] != a[:-1]
+            va, oa = _sets(batch.column(2).filter(pa.array(new)))
             vb, ob = _sets(batch.column(3))
-            new = [i for i, s in enumerate(a) if s not in seen and s not in a[:i][-1:]]
-            va, oa = _sets(batch.column(2).take(pa.array(new, pa.int64())))
-            if len(seen) > 64:
-                seen.clear()
-                new = [i for i, s in enumerate(a) if s not in a[:i][-1:]]
-                va, oa = _sets(batch.column(2).take(pa.array(new, pa.int64())))
-            for j, i in enumerate(new):
-                seen[a[i]] = va[oa[j]:oa[j + 1]]
-            ok = []
-            for i, s in enumerate(a):
-                x, y = seen[s], vb[ob[i]:ob[i + 1]]
-                common = int(np.isin(y, x, assume_unique=True).sum()) if len(x) and len(y) else 0
-                ok.append(common * DEN >= NUM * (len(x) + len(y) - common) and common > 0)
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    return joined.mapInArrow(run, "a binary, b binary")
+            ok = np.zeros(len(a), bool)
+            for i, j in enumerate((np.cumsum(new) - 1).tolist()):
+                x, y = va[oa[j]:oa[j + 1]], vb[ob[i]:ob[i + 1]]
+                if len(x) and len(y):  # both sorted
+                    at = np.searchsorted(x, y)
+                    common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
+                    ok[i] = common > 0 and common * DEN >= NUM * (len(x) + len(y) - common)
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _prefix_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs (a, b) of different components that can reach the
-    similarity, by the prefix filter with the rarest shingles first."""
+    """All pairs (a, b) with different labels that can reach the similarity,
+    by the prefix filter with the rarest shingles first.
+
+    Two sets of n and m shingles need ``need = ceil(3/7 (n + m))`` in common.
+    In any one order of all shingles the first that they share is therefore
+    among the first n - need + 1 of one and m - need + 1 of the other.
+    """
 
     def explode(batches):
         for batch in batches:
             values, offs = _sets(batch.column(1))
             n = np.diff(offs)
-            yield pa.RecordBatch.from_pydict({"sid": batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))),
+            yield pa.RecordBatch.from_pydict({"cid": batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))),
                                               "n": pa.array(np.repeat(n, n)), "s": pa.array(values.view(np.int64))})
 
-    items = runtime.stored(texts.select("sid", "text").mapInArrow(explode, "sid binary, n long, s long"), "shingles")
+    items = runtime.stored(texts.select("cid", "text").mapInArrow(explode, "cid long, n long, s long"), "shingles")
     freq = items.groupBy("s").agg(F.count("*").alias("f"))
-    order = Window.partitionBy("sid").orderBy("f", "s")
-    # an overlap of ceil(3/4 n) is needed at least, so one of the n - that + 1 rarest is shared
+    order = Window.partitionBy("cid").orderBy("f", "s")
     prefix = (items.join(freq, "s").withColumn("r", F.row_number().over(order))
               .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1).where("f > 1")
-              .select("s", "sid", "n").join(labels, "sid"))
+              .select("s", "cid", "n", "r").join(labels, "cid"))
     prefix = runtime.stored(prefix, "prefixes")
-    per = prefix.groupBy("s", "component").agg(F.count("*").alias("c"))
-    main = per.groupBy("s").agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
+    per = prefix.groupBy("s", "label").agg(F.count("*").alias("c"))
+    main = per.groupBy("s").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).where("k > 1")
     here = prefix.join(main, "s")
-    small = here.where("component <> main").select("s", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    other = here.select("s", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    found = small.join(other, "s").where((F.col("ca") != F.col("cb")) & _sizes_fit(F.col("na"), F.col("nb")))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _labels(sids: DataFrame, links: DataFrame) -> DataFrame:
-    """(sid, component) for all of ``sids``."""
-    found = graph.components(links).withColumnRenamed("node", "sid")
-    return sids.join(found, "sid", "left").select("sid", F.coalesce("component", "sid").alias("component"))
-
-
-def links(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Verified links (a, b) between classes; every link of the similarity
-    joins the same components as these do. ``rows``: a stored sketch."""
-    some = rows.where("sid IS NOT NULL")
-    classes = runtime.stored(some.groupBy("sid").agg(F.max("n_shingles").alias("n"), F.max("regs").alias("regs"), F.min(F.struct("doc_id", "text_key")).alias("one")), "classes")
+    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "r", "label")]
+    small = here.where("label <> main").select("s", *side("a"))
+    other = here.select("s", *side("b"))
+    need = F.ceil((F.col("na") + F.col("nb")) * NUM / (NUM + DEN))
+    early = (F.col("ra") <= F.col("na") - need + 1) & (F.col("rb") <= F.col("nb") - need + 1)
+    found = small.join(other, "s").where((F.col("labela") != F.col("labelb")) & early & _sizes_fit(F.col("na"), F.col("nb")))
+    return found.select(F.least("cida", "cidb").alias("a"), F.greatest("cida", "cidb").alias("b")).distinct()
+
+
+def _labels(cids: DataFrame, links: DataFrame) -> DataFrame:
+    """(cid, label): equal labels mean one component, by two looks at the
+    least neighbour. (Different labels may still be one component: then a
+    pair is checked that need not be.)"""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("m")).select("cid", F.least("cid", "m").alias("m"))
+    far = near.select(F.col("cid").alias("m"), F.col("m").alias("mm"))
+    known = near.join(far, "m", "left").select("cid", F.coalesce("mm", "m").alias("label"))
+    return cids.join(known, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"))
+
+
+def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Verified links (a, b) between classes (by cid); every link of the
+    similarity joins the same components as these do."""
     bands = _bands(classes)
-    shared = bands.groupBy("band").agg(F.min("sid").alias("pivot"), F.min_by("n", "sid").alias("np"), F.count("*").alias("k")).where("k > 1").select("band", "pivot", "np", "k")
-    members = runtime.stored(bands.join(shared, "band"), "buckets")
+    shared = bands.groupBy("band").agg(F.min("cid").alias("p0"), F.min_by("n", "cid").alias("n0"), F.max("cid").alias("p1"), F.max_by("n", "cid").alias("n1"),
+                                       F.min_by("cid", F.xxhash64("cid")).alias("p2"), F.min_by("n", F.xxhash64("cid")).alias("n2"), F.count("*").alias("k"))
+    members = runtime.stored(bands.join(shared.where("k > 1"), "band"), "buckets")
 
     # the members' texts
-    wanted = members.select("sid").distinct().join(classes.select("sid", "one.doc_id", "one.text_key"), "sid")
+    wanted = members.select("cid").distinct().join(classes.select("cid", "one.doc_id", "one.text_key"), "cid")
     text = docs[text_col].cast("string")
     source = docs.select(docs[id_col].cast("long").alias("d"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), text.alias("text"))
     texts = runtime.stored(source.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")))
-                           .select("sid", "text").groupBy("sid").agg(F.min("text").alias("text")), "texts", compression="zstd")
-
-    def star(frame: DataFrame) -> DataFrame:
-        pairs = frame.where((F.col("sid") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("np")))
-        return pairs.select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
-
-    first = runtime.stored(_verified(_estimated(star(members), classes), texts), "links")
-    sids = members.select("sid").distinct()
-    labels = runtime.stored(_labels(sids, first), "labels")
-
-    def open_buckets(frame: DataFrame, labelled: DataFrame) -> DataFrame:
-        """Members of buckets of three and more in several components."""
-        at = frame.where("k > 2").join(labelled, "sid")
-        several = at.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("band")
+                           .select("cid", "text").dropDuplicates(["cid"]), "texts", compression="zstd")
+
+    # of up to four members, three pivots meet all pairs there are
+    pivots = F.array(*[F.struct(F.col(f"p{i}").alias("pivot"), F.col(f"n{i}").alias("np")) for i in range(3)])
+    used = F.explode(F.slice(pivots, 1, F.when(F.col("k") <= SMALL, 3).otherwise(1))).alias("p")
+    star = members.select("cid", "n", used).select("cid", "n", "p.pivot", "p.np")
+    first = runtime.stored(_verified(_estimated(_pairs(star), classes), texts), "links")
+    cids = members.select("cid").distinct()
+
+    def still_open(frame: DataFrame, linked: DataFrame) -> DataFrame:
+        """Members that were no pivot, of buckets where these carry several
+        labels."""
+        at = frame.join(_labels(cids, linked), "cid")
+        several = at.groupBy("band").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("band")
         return at.join(several, "band", "left_semi")
 
-    degree = first.select(F.col("a").alias("sid")).unionByName(first.select(F.col("b").alias("sid"))).groupBy("sid").agg(F.count("*").alias("deg"))
-    left = runtime.stored(open_buckets(members, labels).select("band", "sid", "n", "k", "component"), "open")
-    ranked = left.join(degree, "sid", "left").select("*", F.struct(F.coalesce("deg", F.lit(0)), "sid").alias("rank"))
-    best = ranked.groupBy("band").agg(F.max_by(F.struct("sid", "n", "component"), "rank").alias("p"))
-    again = left.join(best, "band").where("component <> p.component").select("sid", "n", F.col("p.sid").alias("pivot"), F.col("p.n").alias("np"))
-    left_texts = runtime.stored(texts.join(left.select("sid").distinct(), "sid", "left_semi"), "open-texts", compression="zstd")
-    second = runtime.stored(first.unionByName(_verified(_estimated(star(again), classes), left_texts)), "links")
-
-    labels = runtime.stored(_labels(sids, second), "labels")
-    left = open_buckets(left.select("band", "sid", "n", "k"), labels)
-    rest = runtime.stored(left.select("sid").distinct(), "rest")
-    rest_texts = left_texts.join(rest, "sid", "left_semi")
-    third = _verified(_estimated(_prefix_pairs(rest_texts, labels.join(rest, "sid", "left_semi")), classes), rest_texts)
+    rest = members.where(f"cid <> p0 AND (k > {SMALL} OR k > 4 AND cid <> p1 AND cid <> p2)").select("band", "cid", "n")
+    left = runtime.stored(still_open(rest, first), "open")
+    degree = first.select(F.col("a").alias("cid")).unionByName(first.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("deg"))
+    ranked = left.join(degree, "cid", "left").select("*", F.struct(F.coalesce("deg", F.lit(0)), "cid").alias("rank"))
+    best = ranked.groupBy("band").agg(F.max_by("cid", "rank").alias("pivot"), F.max_by("n", "rank").alias("np"), F.max_by("label", "rank").alias("lp"))
+    again = left.join(best, "band")
+    left_texts = runtime.stored(texts.join(left.select("cid").distinct(), "cid", "left_semi"), "open-texts", compression="zstd")
+    second = runtime.stored(first.unionByName(_verified(_estimated(_pairs(again.where("label <> lp")), classes), left_texts)), "links")
+
+    last = runtime.stored(still_open(again.where("cid <> pivot").select("band", "cid", "n"), second).select("cid", "label").distinct(), "rest")
+    last_texts = left_texts.join(last, "cid", "left_semi")
+    third = _verified(_estimated(_prefix_pairs(last_texts, last), classes), last_texts)
     return runtime.stored(second.unionByName(third), "links")
 
 
@@ -251,9 +265,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text_key (xxhash64 of the text), one row per input row."""
     runtime.prepare(docs.sparkSession)
     rows = runtime.stored(sketch(docs, id_col, text_col), "sketch")
-    found = graph.components(links(docs, rows, id_col, text_col)).withColumnRenamed("node", "sid")
-    one = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("low"))
-    one = one.join(found, "sid", "left").select("sid", "low", F.coalesce("component", "sid").alias("component"))
+    some = rows.where("sid IS NOT NULL")
+    # one class per set; its number is fixed by writing the table
+    classes = some.groupBy("sid").agg(F.max("n_shingles").alias("n"), F.max("regs").alias("regs"), F.min("doc_id").alias("low"),
+                                      F.min(F.struct("doc_id", "text_key")).alias("one"))
+    classes = runtime.stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    found = graph.components(links(docs, classes, id_col, text_col)).withColumnRenamed("node", "cid")
+    one = classes.select("sid", "cid", "low").join(found, "cid", "left").select("sid", "low", F.coalesce("component", "cid").alias("component"))
     lowest = one.groupBy("component").agg(F.min("low").alias("component_id"))
     by_set = one.join(lowest, "component").select("sid", "component_id")
     out = rows.join(by_set, "sid", "left")
@@ -264,9 +282,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with their own columns: one of each group
     (of repeated rows, too)."""
-    names = docs.columns
-    found = components(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct()
-    keyed = docs.withColumn("__x", F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
-    kept = keyed.join(found, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__d")) & (F.col("__x") == F.col("__t")))
-    first = F.row_number().over(Window.partitionBy(F.col("__d"), F.col("__t")).orderBy(F.lit(1)))
-    return kept.withColumn("__r", first).where("__r = 1").select(*[f"`{n}`" for n in names])
+    found = components(docs, id_col, text_col).where("kept").select("doc_id", "text_key").distinct()
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("d"), F.xxhash64(text).alias("t"))
+    kept = rows.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")))
+    first = F.row_number().over(Window.partitionBy("d", "t").orderBy(F.lit(1)))
+    return kept.select("row", first.alias("r")).where("r = 1").select("row.*")

@@ -5,12 +5,11 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from tripspark.session import shared_dir
+from tripspark.session import scratch_path
 
 ARROW_CONF = {
     # an Arrow batch is handed to Python whole, so its bytes are bounded
@@ -38,8 +37,9 @@ def process_cache(name: str) -> dict:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, which ``session.clear_scratch``
+    removes at the end of a job."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def stored(df: DataFrame, name: str, **options) -> DataFrame:

@@ -161,7 +161,9 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     n = partitions or runtime.shuffle_partitions(spark)
     ordered = (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
                .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
-    raw = runtime.stored(ordered.mapInArrow(_encode(tokenizer_path, end_id), _RAW_SCHEMA), "token-ids", compression="zstd")
+    raw_path = runtime.scratch(spark, "token-ids")
+    ordered.mapInArrow(_encode(tokenizer_path, end_id), _RAW_SCHEMA).write.option("compression", "zstd").parquet(raw_path)
+    raw = spark.read.schema(_RAW_SCHEMA).parquet(raw_path)
 
     # at most one row per vocabulary id
     freq = raw.where("freq IS NOT NULL").select(F.explode(F.arrays_zip("freq_ids", "freq")).alias("f"))
@@ -187,7 +189,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
 
     blocks = raw.drop("freq", "freq_ids").where("n_ids > 0").mapInArrow(recode, _FILE_SCHEMA)
     blocks.write.option("compression", "zstd").partitionBy("part").parquet(f"{path}/ids")
-    runtime.remove(spark, raw.inputFiles()[0].rpartition("/")[0]) if raw.inputFiles() else None
+    runtime.remove(spark, raw_path)
 
 
 def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
