@@ -101,7 +101,7 @@ def _unpack_keys(blob: bytes, n: int) -> np.ndarray:
     return np.cumsum(diff, dtype=np.uint64)
 
 
-def _cells(id_col: str):
+def _cells():
     def run(batches):
         part = TaskContext.get().partitionId() << 32
         made = 0
@@ -307,7 +307,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     spark = docs.sparkSession
     runtime.prepare(spark)
     frame = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    cells = runtime.stored(frame.mapInArrow(_cells(id_col), _CELLS), "lm-cells", compression="zstd")
+    cells = runtime.stored(frame.mapInArrow(_cells(), _CELLS), "lm-cells", compression="zstd")
     size = cells.agg(F.sum("n_tokens").alias("n"), F.sum(F.when(F.col("role") > 0, F.size("doc_ids"))).alias("texts"),
                      F.sum(F.when(F.col("role") == TRAIN, F.size("doc_ids"))).alias("core")).first()
     if not size["n"]:
