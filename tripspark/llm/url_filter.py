@@ -70,8 +70,8 @@ def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
     """(word, n) over the visible text of all pages; words of letters only."""
     text = F.lower(F.regexp_replace(F.coalesce(pages[html_col], F.lit("")), MARKUP, " "))
     seeds = pages.sparkSession.createDataFrame([(w, SEED_ROWS) for words in SEED_WORDS.values() for w in words], "word string, n long")
-    words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    return words.groupBy("word").agg(F.count("*").alias("n")).unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
+    words = pages.select(F.explode(F.split(text, r"[^\p{L}]+")).alias("word"), F.lit(1).cast("long").alias("n")).where("word <> ''")
+    return words.unionByName(seeds).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def viterbi(label: str, count: dict[str, int], total: float) -> list[str]:
@@ -129,7 +129,7 @@ def judge(pages: DataFrame, rules=RULES, fit_rows: int = FIT_ROWS, id_col: str =
 
     hosts = base.select("host").distinct()
     pieces = hosts.select("host", F.explode(F.filter(F.split("host", r"[^\p{L}]+"), lambda t: t != "")).alias("label"))
-    split = runtime.stored(split_labels(pieces.select("label").distinct(), word_counts(pages, html_col)), "labels")
+    split = runtime.stored(split_labels(pieces.select("label").distinct(), runtime.stored(word_counts(pages, html_col), "word-counts")), "labels")
     host_tokens = pieces.join(split, "label").select("host", F.explode("words").alias("w")).select("host", F.concat(F.lit("h:"), "w").alias("token"))
     host_tokens = runtime.stored(host_tokens, "host-tokens")
     shapes = base.select("shape").distinct()
