@@ -39,7 +39,8 @@ SHINGLE = 5
 REGISTERS, MANTISSA = 128, 10
 ROWS = 4  # registers per band
 SURE_BELOW = 0.5
-SMALL = 16  # members of a bucket that gets three pivots; a larger one gets one
+SMALL = 6  # members of a bucket that gets three pivots; a larger one gets one
+SHARED = 1  # shingles that two prefixes have to share
 NUM, DEN = 3, 4  # the similarity threshold as a fraction
 EMPTY = np.uint16(0xFFFF)
 
@@ -99,6 +100,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """doc_id, text_key, n_shingles, sid (identity of the set), regs."""
 
     def run(batches):
+        runtime.release_caches()
         for batch in batches:
             values, offs = _sets(batch.column(2))
             row = np.repeat(np.arange(batch.num_rows), np.diff(offs))
@@ -175,8 +177,9 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
     by the prefix filter with the rarest shingles first.
 
     Two sets of n and m shingles need ``need = ceil(3/7 (n + m))`` in common.
-    In any one order of all shingles the first that they share is therefore
-    among the first n - need + 1 of one and m - need + 1 of the other.
+    In any one order of all shingles the first ``SHARED`` that they share are
+    therefore among the first n - need + SHARED of one and m - need + SHARED
+    of the other: that many shared shingles of these prefixes make a pair.
     """
 
     def explode(batches):
@@ -190,19 +193,22 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
     freq = items.groupBy("s").agg(F.count("*").alias("f"))
     order = Window.partitionBy("cid").orderBy("f", "s")
     prefix = (items.join(freq, "s").withColumn("r", F.row_number().over(order))
-              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1).where("f > 1")
+              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + SHARED).where("f > 1")
               .select("s", "cid", "n", "r").join(labels, "cid"))
     prefix = runtime.stored(prefix, "prefixes")
     per = prefix.groupBy("s", "label").agg(F.count("*").alias("c"))
     main = per.groupBy("s").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).where("k > 1")
-    here = prefix.join(main, "s")
-    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "r", "label")]
-    small = here.where("label <> main").select("s", *side("a"))
+    here = prefix.join(main, "s").withColumn("is_main", F.col("label") == F.col("main"))
+    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "r", "label", "is_main")]
+    small = here.where("NOT is_main").select("s", *side("a"))
     other = here.select("s", *side("b"))
     need = F.ceil((F.col("na") + F.col("nb")) * NUM / (NUM + DEN))
-    early = (F.col("ra") <= F.col("na") - need + 1) & (F.col("rb") <= F.col("nb") - need + 1)
-    found = small.join(other, "s").where((F.col("labela") != F.col("labelb")) & early & _sizes_fit(F.col("na"), F.col("nb")))
-    return found.select(F.least("cida", "cidb").alias("a"), F.greatest("cida", "cidb").alias("b")).distinct()
+    wanted = F.least(need, F.lit(SHARED))
+    early = (F.col("ra") <= F.col("na") - need + wanted) & (F.col("rb") <= F.col("nb") - need + wanted)
+    once = F.col("is_mainb") | (F.col("cida") < F.col("cidb"))
+    found = small.join(other, "s").where((F.col("labela") != F.col("labelb")) & early & once & _sizes_fit(F.col("na"), F.col("nb")))
+    pair = found.select(F.least("cida", "cidb").alias("a"), F.greatest("cida", "cidb").alias("b"), wanted.alias("wanted"))
+    return pair.groupBy("a", "b", "wanted").agg(F.count("*").alias("c")).where("c >= wanted").select("a", "b")
 
 
 def _labels(cids: DataFrame, links: DataFrame) -> DataFrame:
@@ -235,7 +241,8 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
     pivots = F.array(*[F.struct(F.col(f"p{i}").alias("pivot"), F.col(f"n{i}").alias("np")) for i in range(3)])
     used = F.explode(F.slice(pivots, 1, F.when(F.col("k") <= SMALL, 3).otherwise(1))).alias("p")
     star = members.select("cid", "n", used).select("cid", "n", "p.pivot", "p.np")
-    first = runtime.stored(_verified(_estimated(_pairs(star), classes), texts), "links")
+    tried = runtime.stored(_pairs(star), "pairs")
+    first = runtime.stored(_verified(_estimated(tried, classes), texts), "links")
     cids = members.select("cid").distinct()
 
     def still_open(frame: DataFrame, linked: DataFrame) -> DataFrame:
@@ -252,11 +259,14 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
     best = ranked.groupBy("band").agg(F.max_by("cid", "rank").alias("pivot"), F.max_by("n", "rank").alias("np"), F.max_by("label", "rank").alias("lp"))
     again = left.join(best, "band")
     left_texts = runtime.stored(texts.join(left.select("cid").distinct(), "cid", "left_semi"), "open-texts", compression="zstd")
-    second = runtime.stored(first.unionByName(_verified(_estimated(_pairs(again.where("label <> lp")), classes), left_texts)), "links")
+    more = runtime.stored(_pairs(again.where("label <> lp")).join(tried, ["a", "b"], "left_anti"), "pairs")
+    tried = tried.unionByName(more)
+    second = runtime.stored(first.unionByName(_verified(_estimated(more, classes), left_texts)), "links")
 
     last = runtime.stored(still_open(again.where("cid <> pivot").select("band", "cid", "n"), second).select("cid", "label").distinct(), "rest")
     last_texts = left_texts.join(last, "cid", "left_semi")
-    third = _verified(_estimated(_prefix_pairs(last_texts, last), classes), last_texts)
+    # these pairs are alike enough for the estimate to rule out next to none
+    third = _verified(_prefix_pairs(last_texts, last).join(tried, ["a", "b"], "left_anti"), last_texts)
     return runtime.stored(second.unionByName(third), "links")
 
 
