@@ -36,6 +36,15 @@ def process_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def release_caches() -> None:
+    """Free what :func:`process_cache` holds: tasks that do not need it make
+    room, as a worker process goes from one stage to the next."""
+    holder = sys.modules.get("_llm_process_cache")
+    for value in vars(holder).values() if holder else ():
+        if isinstance(value, dict):
+            value.clear()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, which ``session.clear_scratch``
     removes at the end of a job."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 
 from tripspark.llm import runtime, words
 
-MEMO_LIMIT = 1_500_000  # pieces kept by one worker process, and their characters
+MEMO_LIMIT = 1_200_000  # pieces kept by one worker process, and their characters
 MEMO_CHARS = 64 << 20
 
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
