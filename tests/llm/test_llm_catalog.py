@@ -38,7 +38,7 @@ def test_query_over_whole_tables(spark, name):
         want = duckdb.sql(f"SELECT {key} FROM '{SF}/{table}.parquet'").fetchall()
         assert sorted((r[key],) for r in rows) == sorted(want)
     elif name in ("op4_token_counts", "op6_packing"):
-        assert len({r.doc_id for r in rows}) == duckdb.sql(f"SELECT count(DISTINCT doc_id) FROM '{SF}/documents.parquet'").fetchone()[0]
+        assert len({r.doc_id for r in rows}) == duckdb.sql(f"SELECT count(DISTINCT doc_id) FROM '{SF}/documents.parquet'").fetchall()[0][0]
 
 
 def test_quality_rules_equal_their_sql(spark):
