@@ -156,8 +156,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     exact = exact.where(F.col("c") * DEN >= (F.col("t") - F.col("c")) * NUM).where("c > 0")
     similarity = F.col("c") / (F.col("t") - F.col("c"))
     best = exact.groupBy("doc_id", "text_key", "item_id").agg(F.max(F.struct(similarity.alias("similarity"), (-F.col("start")).alias("start"), "n", (-F.col("hamming")).alias("h"))).alias("best"))
-    return best.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.start")).alias("start_word"),
-                       F.col("best.n").alias("n_words"), (-F.col("best.h")).alias("hamming"), "text_key")
+    return best.select("doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.start")).cast("long").alias("start_word"),
+                       F.col("best.n").cast("long").alias("n_words"), (-F.col("best.h")).cast("long").alias("hamming"), "text_key")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
