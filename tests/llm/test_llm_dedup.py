@@ -76,6 +76,17 @@ def test_large_group_of_loose_copies(spark):
     assert len({r.component_id for r in got}) > 3
 
 
+def test_quartets_of_short_texts(spark):
+    """Four texts that share their buckets, of which two are linked: these
+    may be the two that are no pivot."""
+    rows = []
+    for i in range(80):
+        base = " ".join(f"q{i}w{j}" for j in range(7))
+        rows += [(4 * i + j, base + "".join(f" q{i}{tail}{x}" for x in range(n)), "en", "s", 1) for j, (tail, n) in enumerate([("a", 3), ("b", 0), ("c", 1), ("d", 3)])]
+    got = near_dedup.components(corpus.frame(spark, rows, extra=False)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute_components(rows))
+
+
 def test_one_document_of_each_group_stays(spark):
     df = corpus.frame(spark, ROWS)
     kept = near_dedup.keep_one(df)

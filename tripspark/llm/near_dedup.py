@@ -237,7 +237,7 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
     texts = runtime.stored(source.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")))
                            .select("cid", "text").dropDuplicates(["cid"]), "texts", compression="zstd")
 
-    # of up to four members, three pivots meet all pairs there are
+    # the pivots may coincide: of four members, two that are no pivot may be left
     pivots = F.array(*[F.struct(F.col(f"p{i}").alias("pivot"), F.col(f"n{i}").alias("np")) for i in range(3)])
     used = F.explode(F.slice(pivots, 1, F.when(F.col("k") <= SMALL, 3).otherwise(1))).alias("p")
     star = members.select("cid", "n", used).select("cid", "n", "p.pivot", "p.np")
@@ -252,7 +252,7 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
         several = at.groupBy("band").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("band")
         return at.join(several, "band", "left_semi")
 
-    rest = members.where(f"cid <> p0 AND (k > {SMALL} OR k > 4 AND cid <> p1 AND cid <> p2)").select("band", "cid", "n")
+    rest = members.where(f"cid <> p0 AND (k > {SMALL} OR k > 3 AND cid <> p1 AND cid <> p2)").select("band", "cid", "n")
     left = runtime.stored(still_open(rest, first), "open")
     degree = first.select(F.col("a").alias("cid")).unionByName(first.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("deg"))
     ranked = left.join(degree, "cid", "left").select("*", F.struct(F.coalesce("deg", F.lit(0)), "cid").alias("rank"))
