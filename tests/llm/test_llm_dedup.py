@@ -177,6 +177,27 @@ def test_removal_equals_brute_force(spark, seed, monkeypatch):
     assert sorted((tuple(r) for r in got), key=key) == sorted(brute_removal(rows), key=key)
 
 
+def test_passage_in_many_documents(spark, monkeypatch):
+    """One passage between texts of their own: its edges must not all be
+    sorted in one piece."""
+    rng = random.Random(6)
+    passage = corpus.prose(rng, 40)
+    rows = [(i, corpus.prose(rng, 12) + passage + corpus.prose(rng, 12), "en", "s", 1) for i in range(150)]
+    rows += [(200 + i, corpus.prose(rng, 8) + passage[30:170] + corpus.prose(rng, 8), "en", "s", 1) for i in range(20)] + rows[:2]
+    monkeypatch.setattr(suffix_dedup, "HOT", 10)
+    sizes = []
+
+    def measured(docs, segs, pieces=suffix_dedup.pieces):
+        out = pieces(docs, segs)
+        sizes.append(max([r["count"] for r in out.groupBy("key").count().collect()], default=0))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "pieces", measured)
+    got = suffix_dedup.removal(corpus.frame(spark, rows, extra=False)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute_removal(rows))
+    assert sizes and max(sizes) <= 20
+
+
 def test_cut_texts(spark):
     rows = distinct_null_ids(ROWS)
     df = corpus.frame(spark, rows)

@@ -43,6 +43,7 @@ RIGHT = SPAN - K - LEFT + 1  # and bytes behind it
 BLOCK = 2 << 20  # bytes anchored at a time
 CHUNK = 400_000  # segments a task compares before it sends them
 SHARD = 48 << 20  # bytes sorted at a time
+HOT = 4096  # segments of one anchor that are sorted together at most
 NULL_ID = (1 << 63) - 1
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _KEYS = [("did", pa.int64()), ("tkey", pa.int64())]
@@ -144,34 +145,33 @@ def _merged(did, tkey, start, length):
 _CANDIDATES = "key long, content long, did long, tkey long, start long, length int, place int"
 
 
+def _without_repeats(held: list[tuple]) -> pa.RecordBatch:
+    """Candidates without those that repeat an earlier one of ``held``. Such a
+    repeat is sent as a span (length < 0), under a key that spreads spans
+    evenly."""
+    did, tkey, start, length, place, key, content = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((start, tkey, did, content, key))
+    k, c, d, t, s = (x[order] for x in (key, content, did, tkey, start))
+    same = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
+    twin = np.concatenate([[False], same & (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (s[1:] == s[:-1])])
+    again = np.concatenate([[False], same])[~twin]  # a twin is the same place, in a repeated row
+    order = order[~twin]
+    keep, drop = order[~again], order[again]
+    d, t, s, n = _merged(did[drop], tkey[drop], start[drop], length[drop])
+    spread = words.mix(d.view(np.uint64) * np.uint64(31) + s.view(np.uint64)) >> np.uint64(1)
+    return pa.RecordBatch.from_pydict({
+        "key": pa.array(np.concatenate([key[keep], spread]).view(np.int64)), "content": pa.array(np.concatenate([content[keep].view(np.int64), np.zeros(len(d), np.int64)])),
+        "did": pa.array(np.concatenate([did[keep], d])), "tkey": pa.array(np.concatenate([tkey[keep], t])),
+        "start": pa.array(np.concatenate([start[keep], s])), "length": pa.array(np.concatenate([length[keep], -n]).astype(np.int32)),
+        "place": pa.array(np.concatenate([place[keep], np.zeros(len(d), np.int64)]).astype(np.int32))})
+
+
 def _find_segments(batches):
     """Documents -> segments, without those that repeat an earlier one of the
-    same task. Such a repeat is sent as a span (length < 0), under a key that
-    spreads spans evenly."""
+    same task."""
     runtime.release_caches()
     held: list[tuple] = []
     count = 0
-
-    def flush():
-        nonlocal count
-        did, tkey, start, length, place, key, content = (np.concatenate(c) for c in zip(*held))
-        held.clear()
-        count = 0
-        order = np.lexsort((start, tkey, did, content, key))
-        k, c, d, t, s = (x[order] for x in (key, content, did, tkey, start))
-        same = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
-        twin = np.concatenate([[False], same & (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (s[1:] == s[:-1])])
-        again = np.concatenate([[False], same])[~twin]  # a twin is the same place, in a repeated row
-        order = order[~twin]
-        keep, drop = order[~again], order[again]
-        d, t, s, n = _merged(did[drop], tkey[drop], start[drop], length[drop])
-        spread = words.mix(d.view(np.uint64) * np.uint64(31) + s.view(np.uint64)) >> np.uint64(1)
-        return pa.RecordBatch.from_pydict({
-            "key": pa.array(np.concatenate([key[keep], spread]).view(np.int64)), "content": pa.array(np.concatenate([content[keep].view(np.int64), np.zeros(len(d), np.int64)])),
-            "did": pa.array(np.concatenate([did[keep], d])), "tkey": pa.array(np.concatenate([tkey[keep], t])),
-            "start": pa.array(np.concatenate([start[keep], s])), "length": pa.array(np.concatenate([length[keep], -n]).astype(np.int32)),
-            "place": pa.array(np.concatenate([place[keep], np.zeros(len(d), np.int64)]).astype(np.int32))})
-
     for did, tkey, data, offs, shift in _blocks(batches):
         got = segments(data, offs)
         if got is None:
@@ -180,9 +180,10 @@ def _find_segments(batches):
         held.append((did[row], tkey[row], start + shift, length, place, key, content))
         count += len(row)
         if count >= CHUNK:
-            yield flush()
+            yield _without_repeats(held)
+            held, count = [], 0
     if held:
-        yield flush()
+        yield _without_repeats(held)
 
 
 _FOUND = "did long, tkey long, start long, length int, key long, place int"
@@ -260,6 +261,29 @@ def _fetch(batches):
                                               "start": pa.array(starts, pa.int64()), "bytes": pa.array(pieces, pa.binary())}, schema=schema)
 
 
+def _fetch_windows(batches):
+    """Documents with segments of common anchors -> each window of these as a
+    candidate of its own, known by a 128-bit hash, without those that repeat
+    an earlier one of the same task."""
+    held: list[tuple] = []
+    count = 0
+    for batch in batches:
+        for did, tkey, text, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            data = (text or "").encode()
+            for seg in found:
+                start = np.arange(seg["start"], seg["start"] + seg["length"] - SPAN + 1)
+                n = len(start)
+                marks = b"".join(hashlib.blake2b(data[a:a + SPAN], digest_size=16).digest() for a in start.tolist())
+                key, content = np.frombuffer(marks, np.uint64).reshape(n, 2).T
+                held.append((np.full(n, did), np.full(n, tkey), start, np.full(n, SPAN), np.zeros(n, np.int64), key, content))
+                count += n
+                if count >= CHUNK:
+                    yield _without_repeats(held)
+                    held, count = [], 0
+    if held:
+        yield _without_repeats(held)
+
+
 def repeated_windows(pieces: list[bytes], did: np.ndarray, tkey: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(piece, place) of each SPAN-byte window of the pieces that also starts
     earlier, by document and place, in a piece."""
@@ -338,6 +362,26 @@ def _sort_shard(batches):
         yield out
 
 
+def _at_documents(docs: DataFrame, segs: DataFrame) -> DataFrame:
+    several = segs.groupBy("did", "tkey").agg(F.collect_list(F.struct("start", "length", "place", "key")).alias("found"))
+    return docs.join(several, ["did", "tkey"]).select("did", "tkey", "text", "found")
+
+
+def pieces(docs: DataFrame, segs: DataFrame) -> DataFrame:
+    """The segments' bytes, keyed for :func:`_sort_shard`."""
+    return _at_documents(docs, segs).mapInArrow(_fetch, _PIECES)
+
+
+def _hot_spans(docs: DataFrame, segs: DataFrame) -> DataFrame:
+    """Spans of segments whose anchor has too many for one task: their windows
+    meet by content, so a task gets a common one once from each task and no
+    key has more rows than that."""
+    n = runtime.shuffle_partitions(docs.sparkSession)
+    windows = _at_documents(docs, segs).mapInArrow(_fetch_windows, _CANDIDATES)
+    return (windows.repartition(n, "key").sortWithinPartitions("key", "content", "did", "tkey", "start").mapInArrow(_settle, _FOUND)
+            .where("place < 0").select("did", "tkey", "start", "length"))
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(did, tkey, start, length): what repeats, as spans that may overlap.
     ``docs`` has did, tkey, text."""
@@ -346,10 +390,14 @@ def spans(docs: DataFrame) -> DataFrame:
     found = (docs.mapInArrow(_find_segments, _CANDIDATES).repartition(n, "key")
              .sortWithinPartitions("key", "content", "did", "tkey", "start").mapInArrow(_settle, _FOUND))
     found = runtime.stored(found, "segments")
-    several = found.where("place >= 0").groupBy("did", "tkey").agg(F.collect_list(F.struct("start", "length", "place", "key")).alias("found"))
-    pieces = docs.join(several, ["did", "tkey"]).select("did", "tkey", "text", "found").mapInArrow(_fetch, _PIECES)
-    edges = pieces.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_shard, "did long, tkey long, start long, length int")
-    return found.where("place < 0").select("did", "tkey", "start", "length").unionByName(edges)
+    segs = found.where("place >= 0")
+    hot = runtime.stored(segs.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("key"), "hot-anchors")
+    out = found.where("place < 0").select("did", "tkey", "start", "length")
+    if not hot.isEmpty():  # at most one in HOT segments: small enough to send
+        out = out.unionByName(_hot_spans(docs, segs.join(F.broadcast(hot), "key", "left_semi")))
+        segs = segs.join(F.broadcast(hot), "key", "left_anti")
+    edges = pieces(docs, segs).repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_shard, "did long, tkey long, start long, length int")
+    return out.unionByName(edges)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str):
