@@ -361,6 +361,27 @@ def test_scores_equal_plain_bayes(spark):
         assert r.score == pytest.approx(odds, abs=1e-6)
 
 
+def test_words_of_any_length(spark):
+    """A counted word longer than the prefix by which it is looked up, and an
+    unseen string of that length, stay whole."""
+    word = "donaudampfschifffahrtsgesellschaft"
+    counts = spark.createDataFrame([(word, 3), ("free", 90), (word[:24] + "x", 5)], "word string, n long")
+    labels = spark.createDataFrame([(word,), ("free" + word,), ("q" * 40,)], "label string")
+    got = {r.label: r.words for r in url_filter.split_labels(labels, counts).collect()}
+    assert got == {word: [word], "free" + word: ["free", word], "q" * 40: ["q" * 40]}
+
+
+def test_viterbi_equals_all_splits():
+    rng = random.Random(2)
+    for _ in range(300):
+        label = "".join(rng.choice("ab") for _ in range(rng.randrange(1, 9)))
+        count = {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 5))): rng.randrange(1, 60) for _ in range(5)}
+        cost = lambda ws: sum(math.log(99) - math.log(count[w]) if w in count else math.log(99) + len(w) * math.log(10) for w in ws)
+        every = [[label[a:b] for a, b in zip([0, *cuts], [*cuts, len(label)])] for m in range(1 << len(label) - 1)
+                 for cuts in [[i + 1 for i in range(len(label) - 1) if m >> i & 1]]]
+        assert abs(cost(url_filter.viterbi(label, count, 99)) - min(map(cost, every))) < 1e-9
+
+
 def test_viterbi_splits_words():
     count = {"free": 50, "bets": 30, "be": 20, "ts": 1, "cheap": 9, "pills": 9}
     assert url_filter.viterbi("freebets", count, 200) == ["free", "bets"]

@@ -42,7 +42,7 @@ SEED_WORDS = {
 }
 SEED_ROWS = 50
 FIT_ROWS = 20_000
-MAX_WORD = 24  # letters of the longest word the splitter considers
+PREFIX = 24  # letters by which longer words are looked up
 MARKUP = r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&\w+;"
 
 
@@ -78,14 +78,20 @@ def viterbi(label: str, count: dict[str, int], total: float) -> list[str]:
     """The most probable words of a label. A word seen n times costs
     -log(n / total); an unseen string of k letters -log(1 / (total * 10**k)).
     Ties go to the longer last word."""
-    floor = math.log(max(total, 1.0))
+    floor, letter = math.log(max(total, 1.0)), math.log(10)
+    lengths = sorted({len(w) for w in count}, reverse=True)
     best, back = [0.0] + [math.inf] * len(label), [0] * (len(label) + 1)
+    low = 0  # where the best unseen string starts
     for j in range(1, len(label) + 1):
-        for i in range(max(0, j - MAX_WORD), j):
-            n = count.get(label[i:j])
-            cost = best[i] + (floor - math.log(n) if n else floor + (j - i) * math.log(10))
-            if cost < best[j] - 1e-12:
-                best[j], back[j] = cost, i
+        if best[j - 1] - (j - 1) * letter < best[low] - low * letter - 1e-12:
+            low = j - 1
+        best[j], back[j] = best[low] + floor + (j - low) * letter, low
+        for k in lengths:
+            n = count.get(label[j - k:j]) if k <= j else None
+            if n:
+                cost = best[j - k] + floor - math.log(n)
+                if cost < best[j] - 1e-12 or (cost < best[j] + 1e-12 and j - k < back[j]):
+                    best[j], back[j] = cost, j - k
     words, j = [], len(label)
     while j > 0:
         words.append(label[back[j]:j])
@@ -98,9 +104,13 @@ def split_labels(labels: DataFrame, counts: DataFrame) -> DataFrame:
     total = float(counts.agg(F.sum("n")).first()[0] or 0)
     n = F.length("label")
     spans = F.explode(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), n - i + 1)), lambda k: F.substring(F.col("label"), i, k)))))
+        F.sequence(F.lit(1), F.least(F.lit(PREFIX), n - i + 1)), lambda k: F.substring(F.col("label"), i, k)))))
     parts = labels.where(n > 0).select("label", spans.alias("word")).distinct()
     known = parts.join(counts, "word", "left").select("label", "word", F.coalesce("n", F.lit(0)).alias("n"))
+    long_words = counts.where(F.length("word") > PREFIX).select(F.substring("word", 1, PREFIX).alias("start"), F.col("word").alias("whole"), "n")
+    longer = (parts.where(F.length("word") == PREFIX).join(long_words, F.col("word") == F.col("start"))
+              .where(F.contains("label", "whole")).select("label", F.col("whole").alias("word"), "n").distinct())
+    known = known.unionByName(longer)
 
     def split(frame: pd.DataFrame) -> pd.DataFrame:
         label = frame["label"].iloc[0]
