@@ -19,11 +19,11 @@ ARROW_CONF = {
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches and ship this subpackage's code by value, so that
+    """Bound Arrow batches and ship the library's code by value, so that
     executors need no copy of the repository."""
     for key, value in ARROW_CONF.items():
         spark.conf.set(key, value)
-    prefix = __name__.rpartition(".")[0]
+    prefix = __name__.partition(".")[0]
     for name, module in list(sys.modules.items()):
         if (name == prefix or name.startswith(prefix + ".")) and module is not None:
             cloudpickle.register_pickle_by_value(module)
