@@ -19,11 +19,16 @@ COLUMNS = {
     "op8_lm_score": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
     "op9_url_filter": {"page_id", "host", "path", "rule", "verdict"},
     "op10_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    "op11_simhash_dedup": {"doc_id", "fingerprint", "component_id"},
+    "op12_ranked_search": {"item_id", "rank", "doc_id", "score"},
+    "op13_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
 }
 ONE_ROW_EACH = {"op2_token_output": "documents", "op3_near_dedup": "documents", "op7_suffix_dedup": "documents", "op8_lm_score": "documents",
-                "op9_url_filter": "pages", "op10_quality_rules": "documents"}
+                "op9_url_filter": "pages", "op10_quality_rules": "documents",
+                "op11_simhash_dedup": "documents"}
 INTEGERS = {"doc_id", "page_id", "item_id", "start", "n_tokens", "ids_crc32", "n_shingles", "component_id", "length", "doc_tokens", "sequence_id", "offset",
-            "n_bytes", "n_removed", "n_spans", "n_known", "train_tokens", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"}
+            "n_bytes", "n_removed", "n_spans", "n_known", "train_tokens", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "vec_id", "n", "deviation"}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -41,9 +46,11 @@ def test_query_over_whole_tables(spark, name):
         assert len({r.doc_id for r in rows}) == duckdb.sql(f"SELECT count(DISTINCT doc_id) FROM '{SF}/documents.parquet'").fetchall()[0][0]
 
 
-def test_quality_rules_equal_their_sql(spark):
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
+def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    want = con.sql(catalog.oracle_sql()["op10_quality_rules"])
-    got = catalog.QUERIES["op10_quality_rules"](spark, SF).select(*want.columns)
+    for table in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.sql(catalog.oracle_sql()[name])
+    got = catalog.QUERIES[name](spark, SF).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())

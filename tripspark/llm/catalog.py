@@ -14,11 +14,14 @@ from tripspark.llm import (
     near_dedup,
     packing,
     quality_rules,
+    ranked_search,
     runtime,
+    simhash_dedup,
     suffix_dedup,
     token_counts,
     token_output,
     url_filter,
+    whitening,
 )
 
 
@@ -75,6 +78,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.components(_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,9 +107,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_quality_rules": op10_quality_rules,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": quality_rules.oracle_sql()}
+    return {"op10_quality_rules": quality_rules.oracle_sql(), "op12_ranked_search": ranked_search.oracle_sql()}

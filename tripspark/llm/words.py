@@ -49,13 +49,14 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offs: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends (byte offsets) of all words, and for each row the
-    number of words before it (length rows + 1)."""
+    number of words before it (length rows + 1). ``between``: for each byte,
+    whether it lies between words."""
     n = len(data)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offs), np.int64)
-    ink = ~SPACE[data]
+    ink = ~between[data]
     cut = np.zeros(n + 1, bool)
     cut[offs] = True
     first = ink.copy()
