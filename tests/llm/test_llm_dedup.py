@@ -258,3 +258,52 @@ def test_settling_batches_of_any_size():
                     spans |= {(r[2], r[4] + z) for z in range(150)}
         assert sorted((r["did"], r["start"], r["length"], r["key"]) for r in out if r["place"] >= 0) == sorted(first)
         assert {(r["did"], r["start"] + z) for r in out if r["place"] < 0 for z in range(r["length"])} == spans
+
+
+def test_parities_never_rule_out_a_link():
+    rng = np.random.default_rng(6)
+    for n in (3, 40, 700, 5000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, 1, n // 14, n // 8, n // 7):
+            other = np.unique(np.concatenate([base[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)]))
+            both = np.concatenate([base, other])
+            x, y = near_dedup.parities(both, np.repeat([0, 1], [n, len(other)]), 2)
+            differing = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+            common = len(np.intersect1d(base, other))
+            assert differing <= n + len(other) - 2 * common
+            if 4 * common >= 3 * (n + len(other) - common):
+                assert near_dedup.can_link(n, len(other), differing)
+
+
+def test_two_thousand_loose_copies(spark):
+    """Most pairs of the crowd are near the threshold, on either side."""
+    rng = random.Random(18)
+    base = corpus.prose(rng, 120).split()
+    rows = []
+    for i in range(2000):
+        copy = list(base)
+        for _ in range(rng.randrange(2, 12)):
+            copy[rng.randrange(len(copy))] = "y" + str(rng.randrange(10**6))
+        rows.append((i, " ".join(copy), "en", "s", 1))
+    got = {r.doc_id: r.component_id for r in near_dedup.components(corpus.frame(spark, rows, extra=False)).collect()}
+    sets = [shingles(r[1]) for r in rows]
+    number = {}
+    m = np.zeros((len(rows), len(set().union(*sets))), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [number.setdefault(x, len(number)) for x in s]] = 1
+    common, n = m @ m.T, m.sum(1)
+    a, b = np.nonzero(np.triu(4 * common >= 3 * (n[:, None] + n[None, :] - common), 1))
+    want = groups(len(rows), zip(a.tolist(), b.tolist()))
+    assert [got[i] for i in range(len(rows))] == want
+    assert 100 < len(set(want)) < 1900
+
+
+def test_no_link_of_tiny_sets_is_lost(spark):
+    """Three of four shingles shared: few registers are filled."""
+    rng = random.Random(28)
+    rows = []
+    for i in range(10_000):
+        w = [f"w{rng.randrange(10**9)}" for _ in range(8)]
+        rows += [(2 * i, " ".join(w[:7]), "en", "s", 1), (2 * i + 1, " ".join(w), "en", "s", 1)]
+    got = near_dedup.components(corpus.frame(spark, rows, extra=False)).collect()
+    assert len(got) == len(rows) and all(r.component_id == r.doc_id // 2 * 2 for r in got)

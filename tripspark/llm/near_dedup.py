@@ -4,21 +4,27 @@ Sketch. A document's distinct word shingles are dealt to ``REGISTERS`` buckets
 by their hash; a bucket keeps its smallest hash as a 16-bit register: the
 count of leading zeros (6 bits) and the ten bits after the leading one.
 
+Beside them a set has the parities of its hashes in ``PARITY`` bins. Two sets
+differ in at least as many shingles as their parities differ in bins, so these
+rule pairs out for certain; they cost two bits or less per shingle.
+
 Candidates. Documents with equal shingle sets are one class from the start.
 Bands of ``ROWS`` compressed registers are bucket keys. A link of similarity
-0.75 shares none of the 32 bands with a probability of about 5e-6. A bucket
-gives stars (one pivot, or three in small buckets, with each other member),
-never all its pairs. Pairs
+0.75 between sets that fill the registers shares none of the 32 bands with a
+probability of about 5e-6. A bucket gives stars (one pivot, or three in small
+buckets, with each other member), never all its pairs. Pairs that the parities
+rule out are dropped, and so are those of sets of ``TINY`` shingles and more
 whose collision-corrected register estimate is below ``SURE_BELOW`` (over six
-standard deviations under the threshold) are dropped; all others are checked
-on their full sets.
+standard deviations under the threshold); all others are checked on their full
+sets.
 
 Rest. Where the other members of a bucket are not in one component, a second
 round of stars uses the best linked of them as pivot. Those that are not in
-one component even then go through a prefix filter, which is exact: sets of
-the wanted similarity share one of the rarest shingles of each. Only pairs not
-known to be in one component are compared, so a group of copies is not
-multiplied out.
+one component even then, and all sets that could be linked with one of fewer
+than ``TINY`` shingles, go through a prefix filter, which is exact: sets of the
+wanted similarity share one of the rarest shingles of each. Only pairs that are
+not in one component and that the parities leave open are compared, so a group
+of copies is not multiplied out.
 
 Defined cases: null or empty text: no shingles, linked with nothing, its own
 component. A null id counts as larger than any id; a group of null ids has a
@@ -40,7 +46,8 @@ REGISTERS, MANTISSA = 128, 10
 ROWS = 4  # registers per band
 SURE_BELOW = 0.5
 SMALL = 6  # members of a bucket that gets three pivots; a larger one gets one
-SHARED = 1  # shingles that two prefixes have to share
+PARITY = 1024  # bins, a multiple of 64
+TINY = 16  # sets below this do not fill the registers
 NUM, DEN = 3, 4  # the similarity threshold as a fraction
 EMPTY = np.uint16(0xFFFF)
 
@@ -64,6 +71,22 @@ def registers(values: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     return out.reshape(n_rows, REGISTERS)
 
 
+def parities(values: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """(n_rows, PARITY / 64) longs: whether an odd number of a row's values
+    falls into each bin."""
+    if not n_rows:
+        return np.empty((0, PARITY // 64), np.int64)
+    bins = row * PARITY + (words.mix(values ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(PARITY)).astype(np.int64)
+    odd = np.bincount(bins, minlength=n_rows * PARITY) & 1
+    return np.packbits(odd.astype(bool).reshape(n_rows, PARITY), axis=1, bitorder="little").view(np.int64)
+
+
+def can_link(na, nb, differing):
+    """Whether sets of these sizes that differ in at least so many shingles can
+    reach the similarity; for columns and arrays alike."""
+    return (NUM + DEN) * differing <= (DEN - NUM) * (na + nb)
+
+
 def estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Similarity of paired register rows, corrected for registers that agree
     by chance: two different minima share their leading zeros with a
@@ -97,7 +120,7 @@ def set_ids(values: np.ndarray, offs: np.ndarray) -> list[bytes | None]:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_key, n_shingles, sid (identity of the set), regs."""
+    """doc_id, text_key, n_shingles, sid (identity of the set), regs, par."""
 
     def run(batches):
         runtime.release_caches()
@@ -105,14 +128,16 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             values, offs = _sets(batch.column(2))
             row = np.repeat(np.arange(batch.num_rows), np.diff(offs))
             regs = registers(values, row, batch.num_rows)
+            par = parities(values, row, batch.num_rows)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "text_key": batch.column(1), "n_shingles": pa.array(np.diff(offs)),
                 "sid": pa.array(set_ids(values, offs), pa.binary()), "regs": pa.array([r.tobytes() for r in regs], pa.binary()),
+                "par": pa.array(list(par), pa.list_(pa.int64())),
             })
 
     text = docs[text_col].cast("string")
     frame = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"), text.alias("text"))
-    return frame.mapInArrow(run, "doc_id long, text_key long, n_shingles long, sid binary, regs binary")
+    return frame.mapInArrow(run, "doc_id long, text_key long, n_shingles long, sid binary, regs binary, par array<long>")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -135,17 +160,23 @@ def _pairs(frame: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that the registers do not rule out."""
-    regs = classes.select("cid", "regs")
-    joined = (pairs.join(regs.withColumnsRenamed({"cid": "a", "regs": "ra"}), "a")
-              .join(regs.withColumnsRenamed({"cid": "b", "regs": "rb"}), "b").select("a", "b", "ra", "rb"))
+    """Pairs (a, b) that neither parities nor registers rule out."""
+    of = lambda x: classes.select(F.col("cid").alias(x), *[F.col(c).alias(f"{c}{x}") for c in ("n", "regs", "par")])
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").where(can_link(F.col("na"), F.col("nb"), _differing("para", "parb")))
 
     def run(batches):
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array(estimate(x, y) >= SURE_BELOW))
+            tiny = np.array(batch.column(4)) < TINY
+            yield batch.select([0, 1]).filter(pa.array((estimate(x, y) >= SURE_BELOW) | tiny))
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "regsa", "regsb", F.least("na", "nb").alias("n")).mapInArrow(run, "a long, b long")
+
+
+def _differing(x: str, y: str) -> Column:
+    """In how many bins two parity columns differ."""
+    counts = [F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(PARITY // 64)]
+    return sum(counts[1:], counts[0])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -172,14 +203,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _prefix_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
+def _prefix_pairs(texts: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs (a, b) with different labels that can reach the similarity,
     by the prefix filter with the rarest shingles first.
 
     Two sets of n and m shingles need ``need = ceil(3/7 (n + m))`` in common.
-    In any one order of all shingles the first ``SHARED`` that they share are
-    therefore among the first n - need + SHARED of one and m - need + SHARED
-    of the other: that many shared shingles of these prefixes make a pair.
+    In any one order of all shingles the first that they share is therefore
+    among the first n - need + 1 of one and m - need + 1 of the other.
     """
 
     def explode(batches):
@@ -193,33 +223,27 @@ def _prefix_pairs(texts: DataFrame, labels: DataFrame) -> DataFrame:
     freq = items.groupBy("s").agg(F.count("*").alias("f"))
     order = Window.partitionBy("cid").orderBy("f", "s")
     prefix = (items.join(freq, "s").withColumn("r", F.row_number().over(order))
-              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + SHARED).where("f > 1")
-              .select("s", "cid", "n", "r").join(labels, "cid"))
+              .where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1).where("f > 1")
+              .select("s", "cid", "n", "r").join(labels, "cid").join(classes.select("cid", "par"), "cid"))
     prefix = runtime.stored(prefix, "prefixes")
     per = prefix.groupBy("s", "label").agg(F.count("*").alias("c"))
     main = per.groupBy("s").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k")).where("k > 1")
     here = prefix.join(main, "s").withColumn("is_main", F.col("label") == F.col("main"))
-    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "r", "label", "is_main")]
+    side = lambda x: [F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "r", "label", "is_main", "par")]
     small = here.where("NOT is_main").select("s", *side("a"))
     other = here.select("s", *side("b"))
     need = F.ceil((F.col("na") + F.col("nb")) * NUM / (NUM + DEN))
-    wanted = F.least(need, F.lit(SHARED))
-    early = (F.col("ra") <= F.col("na") - need + wanted) & (F.col("rb") <= F.col("nb") - need + wanted)
+    early = (F.col("ra") <= F.col("na") - need + 1) & (F.col("rb") <= F.col("nb") - need + 1)
     once = F.col("is_mainb") | (F.col("cida") < F.col("cidb"))
-    found = small.join(other, "s").where((F.col("labela") != F.col("labelb")) & early & once & _sizes_fit(F.col("na"), F.col("nb")))
-    pair = found.select(F.least("cida", "cidb").alias("a"), F.greatest("cida", "cidb").alias("b"), wanted.alias("wanted"))
-    return pair.groupBy("a", "b", "wanted").agg(F.count("*").alias("c")).where("c >= wanted").select("a", "b")
+    open_ = can_link(F.col("na"), F.col("nb"), _differing("para", "parb"))
+    found = small.join(other, ["s"]).where((F.col("labela") != F.col("labelb")) & early & once & _sizes_fit(F.col("na"), F.col("nb")) & open_)
+    return found.select(F.least("cida", "cidb").alias("a"), F.greatest("cida", "cidb").alias("b")).distinct()
 
 
 def _labels(cids: DataFrame, links: DataFrame) -> DataFrame:
-    """(cid, label): equal labels mean one component, by two looks at the
-    least neighbour. (Different labels may still be one component: then a
-    pair is checked that need not be.)"""
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("m")).select("cid", F.least("cid", "m").alias("m"))
-    far = near.select(F.col("cid").alias("m"), F.col("m").alias("mm"))
-    known = near.join(far, "m", "left").select("cid", F.coalesce("mm", "m").alias("label"))
-    return cids.join(known, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label"))
+    """(cid, label): equal labels mean one component of the links."""
+    known = graph.components(links).select(F.col("node").alias("cid"), F.col("component").alias("label"))
+    return runtime.stored(cids.join(known, "cid", "left").select("cid", F.coalesce("label", "cid").alias("label")), "labels")
 
 
 def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -230,8 +254,10 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
                                        F.min_by("cid", F.xxhash64("cid")).alias("p2"), F.min_by("n", F.xxhash64("cid")).alias("n2"), F.count("*").alias("k"))
     members = runtime.stored(bands.join(shared.where("k > 1"), "band"), "buckets")
 
-    # the members' texts
-    wanted = members.select("cid").distinct().join(classes.select("cid", "one.doc_id", "one.text_key"), "cid")
+    # texts of the members and of all sets near the tiny ones' size
+    tiny = classes.where(F.col("n") * NUM < TINY * DEN).select("cid")
+    cids = runtime.stored(members.select("cid").unionByName(tiny).distinct(), "members")
+    wanted = cids.join(classes.select("cid", "one.doc_id", "one.text_key"), "cid")
     text = docs[text_col].cast("string")
     source = docs.select(docs[id_col].cast("long").alias("d"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"), text.alias("text"))
     texts = runtime.stored(source.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")))
@@ -243,30 +269,30 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
     star = members.select("cid", "n", used).select("cid", "n", "p.pivot", "p.np")
     tried = runtime.stored(_pairs(star), "pairs")
     first = runtime.stored(_verified(_estimated(tried, classes), texts), "links")
-    cids = members.select("cid").distinct()
 
-    def still_open(frame: DataFrame, linked: DataFrame) -> DataFrame:
+    def still_open(frame: DataFrame, labels: DataFrame) -> DataFrame:
         """Members that were no pivot, of buckets where these carry several
         labels."""
-        at = frame.join(_labels(cids, linked), "cid")
+        at = frame.join(labels, "cid")
         several = at.groupBy("band").agg(F.min("label").alias("c0"), F.max("label").alias("c1")).where("c0 <> c1").select("band")
         return at.join(several, "band", "left_semi")
 
     rest = members.where(f"cid <> p0 AND (k > {SMALL} OR k > 3 AND cid <> p1 AND cid <> p2)").select("band", "cid", "n")
-    left = runtime.stored(still_open(rest, first), "open")
+    left = runtime.stored(still_open(rest, _labels(cids, first)), "open")
     degree = first.select(F.col("a").alias("cid")).unionByName(first.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("deg"))
     ranked = left.join(degree, "cid", "left").select("*", F.struct(F.coalesce("deg", F.lit(0)), "cid").alias("rank"))
     best = ranked.groupBy("band").agg(F.max_by("cid", "rank").alias("pivot"), F.max_by("n", "rank").alias("np"), F.max_by("label", "rank").alias("lp"))
     again = left.join(best, "band")
-    left_texts = runtime.stored(texts.join(left.select("cid").distinct(), "cid", "left_semi"), "open-texts", compression="zstd")
     more = runtime.stored(_pairs(again.where("label <> lp")).join(tried, ["a", "b"], "left_anti"), "pairs")
     tried = tried.unionByName(more)
-    second = runtime.stored(first.unionByName(_verified(_estimated(more, classes), left_texts)), "links")
+    second = runtime.stored(first.unionByName(_verified(_estimated(more, classes), texts)), "links")
 
-    last = runtime.stored(still_open(again.where("cid <> pivot").select("band", "cid", "n"), second).select("cid", "label").distinct(), "rest")
-    last_texts = left_texts.join(last, "cid", "left_semi")
+    labels = _labels(cids, second)
+    last = still_open(again.where("cid <> pivot").select("band", "cid", "n"), labels).select("cid", "label")
+    last = runtime.stored(last.unionByName(labels.join(tiny, "cid", "left_semi")).distinct(), "rest")
+    last_texts = runtime.stored(texts.join(last.select("cid"), "cid", "left_semi"), "open-texts", compression="zstd")
     # these pairs are alike enough for the estimate to rule out next to none
-    third = _verified(_prefix_pairs(last_texts, last).join(tried, ["a", "b"], "left_anti"), last_texts)
+    third = _verified(_prefix_pairs(last_texts, last, classes).join(tried, ["a", "b"], "left_anti"), last_texts)
     return runtime.stored(second.unionByName(third), "links")
 
 
@@ -277,7 +303,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = runtime.stored(sketch(docs, id_col, text_col), "sketch")
     some = rows.where("sid IS NOT NULL")
     # one class per set; its number is fixed by writing the table
-    classes = some.groupBy("sid").agg(F.max("n_shingles").alias("n"), F.max("regs").alias("regs"), F.min("doc_id").alias("low"),
+    classes = some.groupBy("sid").agg(F.max("n_shingles").alias("n"), F.max("regs").alias("regs"), F.first("par").alias("par"), F.min("doc_id").alias("low"),
                                       F.min(F.struct("doc_id", "text_key")).alias("one"))
     classes = runtime.stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     found = graph.components(links(docs, classes, id_col, text_col)).withColumnRenamed("node", "cid")
