@@ -51,8 +51,86 @@ def test_stream_after_batch_and_a_new_checkpoint_keep_history(spark, scratch):
     for _ in range(2):  # a checkpoint that was lost starts all over
         run_ingest(spark, src, bronze, scratch("ckpt"), files_per_trigger=1)
         assert _ids(spark, bronze) == list(range(30))
-    batches = {r.ingest_batch for r in K.read_bronze(spark, bronze).collect()}
-    assert 0 in batches and len(batches) == 3 and max(batches) >= manifest.ORIGIN_RANGE
+    assert {r.ingest_batch for r in K.read_bronze(spark, bronze).collect()} == {0, 1, 2}
+
+
+def test_recreated_checkpoint_at_the_same_path_loses_no_file(spark, scratch):
+    """The stream's own batch numbers start again; the new file is not taken
+    for one that is there already."""
+    src, bronze, ckpt = _files(spark, scratch("src"), 1), scratch("bronze"), scratch("ckpt")
+    run_ingest(spark, src, bronze, ckpt, files_per_trigger=1)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ckpt)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    other = _files(spark, scratch("other"), 1, first=1)  # a new folder, so the old file is not even listed
+    run_ingest(spark, other, bronze, ckpt, files_per_trigger=1)
+    assert _ids(spark, bronze) == list(range(20))
+
+
+def test_retried_micro_batch_and_lost_manifest_row(spark, scratch):
+    src, bronze = _files(spark, scratch("src"), 3), scratch("bronze")
+    listed = R.listed_files(spark, src)
+    assert K.ingest_listed(spark, listed, bronze, 4) == [0]
+    assert K.ingest_listed(spark, listed, bronze, 4) == []  # the batch comes again
+    files = [("file:///gone", 1, 3)]
+    with pytest.raises(Exception):  # dies before its manifest row
+        K.write_files(spark, files, bronze, "x")
+    assert _ids(spark, bronze) == list(range(30))
+
+
+def _jobs(spark, run) -> int:
+    """Jobs that ``run`` starts."""
+    group = "count-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _many(spark, folder: str, n: int) -> str:
+    """n one-row files."""
+    spark.range(n).selectExpr("id AS VendorID").repartitionByRange(n, "VendorID").write.option("maxRecordsPerFile", 1).parquet(folder)
+    return folder
+
+
+def test_number_of_jobs_is_bounded_for_any_number_of_files(spark, scratch):
+    counts = []
+    for n in (40, 600):
+        src, bronze = _many(spark, scratch("src"), n), scratch("bronze")
+        counts.append(_jobs(spark, lambda: K.ingest_folder(spark, src, bronze, files_per_batch=200)))
+        df = K.read_bronze(spark, bronze)
+        assert df.count() == n and df.select("VendorID").distinct().count() == n
+    assert max(counts) <= 30
+
+
+def test_writes_are_cut_at_the_limit_and_row_ids_go_on(spark, scratch, monkeypatch):
+    monkeypatch.setattr(K, "FILES_PER_WRITE", 4)
+    src, bronze = _files(spark, scratch("src"), 9), scratch("bronze")
+    assert K.ingest_folder(spark, src, bronze, files_per_batch=2, row_id="row_id") == [0, 1, 2, 3, 4]
+    rows = K.read_bronze(spark, bronze).collect()
+    assert sorted(r.VendorID for r in rows) == list(range(90)) and len({r.row_id for r in rows}) == 90
+
+
+def test_manifest_is_compacted(spark, scratch, monkeypatch):
+    monkeypatch.setattr(manifest, "KEEP_PARTS", 3)
+    src, bronze = scratch("src"), scratch("bronze")
+    for i in range(8):
+        K.ingest_folder(spark, _files(spark, src, 1, first=i), bronze)
+    assert _ids(spark, bronze) == list(range(80))
+    assert manifest.rows(spark, bronze).count() == 8
+    assert len(manifest.rows(spark, bronze).inputFiles()) <= 4
+
+
+def test_names_with_odd_characters(spark, scratch):
+    src, bronze = scratch("odd"), scratch("bronze")
+    for i, name in enumerate(("a b", "x+y", "50%25", "\u00e9t\u00e9")):
+        spark.range(5).selectExpr(f"id + {5 * i} AS VendorID").coalesce(1).write.parquet(f"{src}/{name}")
+    assert K.ingest_folder(spark, src, bronze, row_id="row_id") == [0]
+    assert K.ingest_folder(spark, src, bronze) == []
+    run_ingest(spark, src, bronze, scratch("ckpt"))
+    rows = K.read_bronze(spark, bronze).collect()
+    assert sorted(r.VendorID for r in rows) == list(range(20)) and len({r.row_id for r in rows}) == 20
 
 
 def test_stream_keeps_undeclared_columns(spark, scratch):

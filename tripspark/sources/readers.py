@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tripspark.operators.silver import harmonize_names
@@ -149,8 +149,8 @@ def conform(df: DataFrame, schema: T.StructType = BRONZE_SCHEMA, source: str = "
     return df.select(*cols, *extra)
 
 
-#: Room for the file numbers of one batch in a row id.
-MAX_BATCH_FILES = 4096
+#: Files read and written together; their names are sent to every task.
+FILES_PER_WRITE = 10_000
 ROW_BITS = 30  # rows of one file
 
 
@@ -170,51 +170,75 @@ def plain_path(path: str) -> str:
     return "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path
 
 
-def _with_row_id(df: DataFrame, name: str, paths: Sequence[str], first_file: int) -> DataFrame:
-    """Add a bigint that is unique over all files: the file's number and the
-    row's place in the file."""
-    jvm = df.sparkSession.sparkContext._jvm
-    uri = lambda p: plain_path(jvm.org.apache.hadoop.fs.Path(p).toUri().toString())  # noqa: E731  as file_path is encoded
-    number = F.create_map(*[x for i, p in enumerate(sorted(paths)) for x in (F.lit(uri(p)), F.lit(first_file + i))])
-    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
-    return df.select("*", (F.element_at(number, file).cast("bigint") * F.lit(1 << ROW_BITS) + F.col("_metadata.row_index")).alias(name))
+def _mergeable(spark: SparkSession, paths: Sequence[str]) -> list[tuple[DataFrame, Sequence[str]]]:
+    """The files in as few scans as their types allow. One job reads all footers
+    (``mergeSchema``); only where types conflict the sorted files are halved,
+    so files that drift over time take a few more jobs, not one each."""
+    whole = _merged_read(spark, paths)
+    if whole is not None:
+        return [(whole, paths)]
+    half = len(paths) // 2
+    out: list[tuple[DataFrame, Sequence[str]]] = []
+    for df, files in _mergeable(spark, paths[:half]) + _mergeable(spark, paths[half:]):
+        same = next((i for i, (have, _) in enumerate(out) if have.schema == df.schema), None)
+        if same is None:
+            out.append((df, files))
+        else:
+            files = [*out[same][1], *files]
+            out[same] = (spark.read.schema(df.schema).parquet(*files), files)
+    return out
+
+
+def file_name(column: Column) -> Column:
+    """A listed or scanned file's path in one spelling (:func:`plain_path`)."""
+    return F.regexp_replace(F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:///")
 
 
-def read_batch(spark: SparkSession, paths: Sequence[str], schema: T.StructType = BRONZE_SCHEMA,
-               row_id: str | None = None, first_file: int = 0) -> DataFrame:
-    """One batch of Parquet files that may disagree in schema.
+def listed_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """``file``: the data files matching a glob or under a folder, hidden and
+    ``_``-prefixed entries skipped. No file is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    return found.select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"))
 
-    Fast path: the batch's footers merge (one schema job) and the whole
-    batch is one scan, conformed to ``schema``. When types conflict
-    (e.g. bigint in one file, double in another), files are grouped by
-    their own footer schema; each group is one scan, conformed; columns that
-    ``schema`` does not declare take the widest type of the groups, and a
-    column without a common type is refused by name. Footer reads are bounded
-    by the batch size.
+
+def read_files(spark: SparkSession, files: Sequence[tuple[str, int, int]], schema: T.StructType = BRONZE_SCHEMA,
+               row_id: str | None = None) -> DataFrame:
+    """``(path, ingest_batch, number)`` files, at most ``FILES_PER_WRITE``
+    of them, that may disagree in schema, as one frame with ``ingest_batch``.
+
+    Files whose footers merge are one scan, conformed to ``schema``; columns
+    that ``schema`` does not declare take the widest type of all scans, and a
+    column without a common type is refused by name. ``row_id`` names a bigint
+    column to add: the file's number and the row's place in the file.
     """
     from tripspark.sources.manifest import wider
 
-    if len(paths) > MAX_BATCH_FILES:
-        raise ValueError(f"more than {MAX_BATCH_FILES} files in a batch")
-    tag = (lambda df, files: _with_row_id(df, row_id, paths, first_file)) if row_id else (lambda df, files: df)
-    merged = _merged_read(spark, paths)
-    if merged is not None:
-        return conform(tag(merged, paths), schema, source=", ".join(paths))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for p in paths:
-        s = spark.read.parquet(p).schema
-        groups.setdefault(s.json(), (s, []))[1].append(p)
-    parts = [conform(tag(spark.read.schema(s).parquet(*files), files), schema, source=", ".join(files)) for s, files in groups.values()]
+    if len(files) > FILES_PER_WRITE:
+        raise ValueError(f"more than {FILES_PER_WRITE} files at once")
+    known = F.broadcast(spark.createDataFrame(list(files), "_file string, ingest_batch bigint, _number bigint"))  # FILES_PER_WRITE rows at most
+    parts = []
+    for df, paths in _mergeable(spark, [f for f, _, _ in files]):
+        tagged = df.select("*", file_name(F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.row_index").alias("_row")).join(known, "_file", "left")
+        lost = F.raise_error(F.concat(F.lit("not among the listed files: "), F.col("_file"))).cast("bigint")
+        tagged = tagged.withColumn("ingest_batch", F.coalesce("ingest_batch", lost))
+        if row_id:
+            full = F.raise_error(F.concat(F.lit("too many rows in "), F.col("_file"))).cast("bigint")
+            tagged = tagged.withColumn(row_id, F.when(F.col("_row") < 1 << ROW_BITS, F.col("_number") * F.lit(1 << ROW_BITS) + F.col("_row")).otherwise(full))
+        parts.append((conform(tagged.drop("_file", "_row", "_number"), schema, source=_some(paths)), paths))
     types: dict[str, T.DataType] = {}
-    for part, (_, files) in zip(parts, groups.values()):
+    for part, paths in parts:
         for f in part.schema.fields:
             both = wider(types.get(f.name, f.dataType), f.dataType)
             if both is None:
-                raise TypeError(f"{', '.join(files)}: column {f.name} has type {f.dataType.simpleString()}, "
-                                f"another file of the batch has {types[f.name].simpleString()}")
+                raise TypeError(f"{_some(paths)}: column {f.name} has type {f.dataType.simpleString()}, "
+                                f"other files have {types[f.name].simpleString()}")
             types[f.name] = both
     out = None
-    for part in parts:
+    for part, _ in parts:
         part = part.select(*[F.col(f"`{f.name}`").cast(types[f.name]).alias(f.name) for f in part.schema.fields])
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+def _some(paths: Sequence[str]) -> str:
+    return ", ".join(paths[:3]) + (f" and {len(paths) - 3} more" if len(paths) > 3 else "")

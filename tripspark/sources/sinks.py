@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tripspark.operators.quantiles import smallest_n
 from tripspark.operators.sampling import row_key
 from tripspark.sources import manifest
-from tripspark.sources.readers import list_files, plain_path, plan_batches, read_batch, read_table
+from tripspark.sources.readers import FILES_PER_WRITE, listed_files, plain_path, read_files, read_table
 from tripspark.schemas import BRONZE_SCHEMA
 
 FORMATS = ("parquet", "csv", "delta")
@@ -89,47 +89,65 @@ def fit_to_table(df: DataFrame, table: T.StructType, source: str) -> DataFrame:
     return df.select(*cols)
 
 
-def write_batch(spark: SparkSession, files: Sequence[str], bronze_path: str, batch: int, origin: str,
+def write_files(spark: SparkSession, files: Sequence[tuple[str, int, int]], bronze_path: str, origin: str,
                 row_id: str | None = None) -> None:
-    """One batch of files into its own folder, then into the manifest."""
-    before = manifest.rows(spark, bronze_path)
-    df = read_batch(spark, files, row_id=row_id, first_file=sum(len(r["files"]) for r in before))
-    df = fit_to_table(df, manifest.table_schema(before), ", ".join(files))
-    df.write.mode("overwrite").parquet(f"{bronze_path}/ingest_batch={batch}")
-    manifest.record(spark, bronze_path, batch, origin, list(files), df.schema)
+    """``(path, batch, number)`` files in one write, then into the manifest."""
+    df = read_files(spark, files, row_id=row_id)
+    df = fit_to_table(df, manifest.table_schema(manifest.layouts(spark, bronze_path)), ", ".join(f for f, _, _ in files[:3]))
+    columns = T.StructType([f for f in df.schema.fields if f.name != "ingest_batch"])
+    # replaces what a write that died may have left in these batches' folders
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch")
+     .parquet(manifest.layout_path(bronze_path, columns)))
+    manifest.append(spark, bronze_path, list(files), origin, columns)
 
 
-def ingest_files(spark: SparkSession, paths: Sequence[str], bronze_path: str,
-                 files_per_batch: int = 4, row_id: str | None = None) -> list[int]:
-    """S1 + K1: append sorted files to the Bronze table in batches of
-    ``files_per_batch``.
+def ingest_listed(spark: SparkSession, listed: DataFrame, bronze_path: str, files_per_batch: int = 4,
+                  row_id: str | None = None, origin: str = manifest.BATCH_JOB) -> list[int]:
+    """S1 + K1: add the ``listed`` files (column ``file``) that the Bronze table
+    does not hold yet, in batches of ``files_per_batch`` sorted files.
 
     The table's manifest says which files it holds: these are skipped, so a
     rerun adds nothing whatever its batch size, and new files get numbers
-    behind the last finished batch. A batch that a failure cut short is not
-    in the manifest; its files are ingested again into the same folder.
-    ``row_id`` names a bigint column to add (file number and row number),
-    unique in the table. Returns the batch ids written.
+    behind the last finished batch. A write that a failure cut short is not
+    in the manifest; its files are ingested again. Up to ``FILES_PER_WRITE``
+    files go through one write, in a number of jobs that does not depend on how
+    many they are. ``row_id`` names a bigint column to add, unique in the
+    table. Returns the batch ids written.
     """
+    written: list[int] = []
+    most = max(files_per_batch, FILES_PER_WRITE // files_per_batch * files_per_batch)
+    while new := manifest.new_files(spark, bronze_path, listed, most):
+        batch, number = manifest.next_numbers(spark, bronze_path)
+        files = [(f, batch + i // files_per_batch, number + i) for i, f in enumerate(new)]
+        write_files(spark, files, bronze_path, origin, row_id)
+        written += sorted({b for _, b, _ in files})
+        if len(new) < most:
+            break
+    return written
+
+
+def ingest_files(spark: SparkSession, paths: Sequence[str], bronze_path: str,
+                 files_per_batch: int = 4, row_id: str | None = None) -> list[int]:
+    """:func:`ingest_listed` of some paths; no path is an error."""
     if not paths:
         raise FileNotFoundError("no input files found")
-    done = manifest.finished_files(spark, bronze_path)
-    new = sorted({plain_path(p) for p in paths} - done)
-    written = []
-    for batch, files in enumerate(plan_batches(new, files_per_batch) if new else [], start=manifest.next_batch(spark, bronze_path)):
-        write_batch(spark, files, bronze_path, batch, manifest.BATCH_JOB, row_id)
-        written.append(batch)
-    return written
+    listed = spark.createDataFrame([(plain_path(p),) for p in paths], "file string")
+    return ingest_listed(spark, listed, bronze_path, files_per_batch, row_id)
 
 
 def ingest_folder(spark: SparkSession, pattern: str, bronze_path: str, files_per_batch: int = 4,
                   row_id: str | None = None) -> list[int]:
-    return ingest_files(spark, list_files(spark, pattern), bronze_path, files_per_batch, row_id)
+    """:func:`ingest_listed` of a folder or glob; no file is an error."""
+    listed = listed_files(spark, pattern)
+    if listed.isEmpty():
+        raise FileNotFoundError(f"no input files found in {pattern}")
+    return ingest_listed(spark, listed, bronze_path, files_per_batch, row_id)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The Bronze table with all schema versions merged; ``ingest_batch``
-    comes from the folder names. Only batches in the manifest are read."""
+    comes from the folder names. Only batches in the manifest are read; in a
+    plain Parquet table it may be a column like any other."""
     df = manifest.read(spark, path)
     if df is None:  # a plain Parquet table
         df = read_table(spark, path, merge_schema=True)

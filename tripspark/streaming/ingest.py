@@ -6,26 +6,23 @@ records which files were taken, so a rerun over the same folder adds no
 rows, and new files are picked up by the next run.
 
 The stream only decides which files make a micro-batch; their rows are read
-by the same code as in the batch job (``sinks.write_batch``), so renamed,
-drifting and undeclared columns are handled alike and no column is lost. Each
-micro-batch goes to its own folder, numbered in a range that belongs to the
-checkpoint: batches of the batch job or of another stream are never
-overwritten, and a retried micro-batch (foreachBatch is at-least-once)
-replaces its own output. Files that the table's manifest already lists are
-skipped.
+by the same code as in the batch job (``sinks.write_files``), so renamed,
+drifting and undeclared columns are handled alike and no column is lost. What
+is written is decided by the table's manifest alone: the files of the
+micro-batch that it does not list go under the table's next batch number. A
+retried micro-batch (foreachBatch is at-least-once), a checkpoint that was lost
+or set up anew, and files that the batch job has taken therefore neither lose
+nor repeat a file.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tripspark.schemas import BRONZE_SCHEMA
-from tripspark.sources import manifest
-from tripspark.sources.readers import plain_path
-from tripspark.sources.sinks import write_batch
+from tripspark.sources.readers import file_name
+from tripspark.sources.sinks import ingest_listed
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
@@ -37,17 +34,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkp
               .option("recursiveFileLookup", "true")
               .parquet(source_dir)
               .select("_metadata.file_path"))  # no data column is read here
-    first = manifest.first_batch(spark, bronze_path, checkpoint)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        # at most files_per_trigger names
-        files = {plain_path(unquote(r["file_path"])) for r in batch.distinct().collect()}
-        done = {r["batch"]: r["files"] for r in manifest.rows(spark, bronze_path)}
-        if first + batch_id in done and done[first + batch_id]:
-            return  # written before; only the stream's own commit was lost
-        new = sorted(files - {f for names in done.values() for f in names})
-        if new:
-            write_batch(spark, new, bronze_path, first + batch_id, checkpoint, row_id)
+        listed = batch.select(file_name(batch["file_path"]).alias("file"))
+        ingest_listed(spark, listed, bronze_path, files_per_trigger, row_id, origin=checkpoint)
 
     writer = source.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
