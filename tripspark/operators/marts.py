@@ -62,3 +62,30 @@ def _round(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
     if digits is None:
         return df
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+# ------------------------------------------------- marts brought up to date by month
+#: Partial marts: one row per month and key; they add up to the marts.
+PARTIAL_KEYS = {"hourly_stats": "hour", "top_pu_zones": "PULocationID", "wday_vs_wend": "day_type"}
+
+
+def partial_mart(silver: DataFrame, name: str) -> DataFrame:
+    """ym, key, trips, and sums and counts of distance and total: what a month
+    adds to a mart."""
+    if name == "wday_vs_wend":
+        silver = silver.withColumn("day_type", F.when(weekend_from_day_name(F.col("dow")) == 1, "weekend").otherwise("weekday"))
+    return silver.groupBy(F.col("ym").cast("string").alias("ym"), F.col(PARTIAL_KEYS[name]).alias("key")).agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("trip_distance").alias("sum_distance"), F.count("trip_distance").alias("n_distance"),
+        F.sum("total_amount").alias("sum_total"), F.count("total_amount").alias("n_total"))
+
+
+def mart_from_partials(partials: DataFrame, name: str, n: int = 50) -> DataFrame:
+    """A1-A3 from the stored partial rows of all months."""
+    key = PARTIAL_KEYS[name]
+    total = partials.groupBy(F.col("key").alias(key)).agg(F.sum("trips").alias("trips"), *[
+        (F.sum(f"sum_{c}") / F.sum(f"n_{c}")).alias(f"avg_{c}") for c in ("distance", "total")])
+    if name == "hourly_stats":
+        return total
+    if name == "wday_vs_wend":
+        return total.drop("avg_distance")
+    return total.select(key, "trips").orderBy(F.desc("trips"), key).limit(n)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tripspark.functions import as_timestamp, day_name, hour_of_day, minutes_between, year_month
 from tripspark.schemas import BRONZE_ALIASES, ROW_ID, SILVER_DERIVED, SILVER_KEY, SILVER_TYPES
@@ -108,7 +108,8 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def silver(bronze: DataFrame, key: Sequence[str] = tuple(SILVER_KEY),
-           order: Sequence[str] = (ROW_ID, "event_id"), unique_order: bool | None = None) -> DataFrame:
+           order: Sequence[str] = (ROW_ID, "event_id"), unique_order: bool | None = None,
+           watch: Observation | None = None) -> DataFrame:
     """Bronze -> Silver: harmonize, cast, filter, de-duplicate, derive.
 
     ``order`` names the tie-break columns that pick the surviving duplicate;
@@ -117,9 +118,13 @@ def silver(bronze: DataFrame, key: Sequence[str] = tuple(SILVER_KEY),
     one column without nulls or repeats. By default that holds for the row id
     that the ingest assigns, and for nothing else: a column of the source may
     well be called an id and repeat, and then a total order over all columns
-    decides.
+    decides. ``watch`` gets the counts of :func:`rejection_audit` from the pass
+    that computes the result.
     """
-    df = clean(typed(harmonize_names(bronze)))
+    df = typed(harmonize_names(bronze))
+    if watch is not None:
+        df = df.observe(watch, *_audit_counts())
+    df = clean(df)
     order = [c for c in order if c in df.columns]
     if unique_order is None:
         unique_order = order[:1] == [ROW_ID]
@@ -130,7 +135,10 @@ def silver(bronze: DataFrame, key: Sequence[str] = tuple(SILVER_KEY),
 def rejection_audit(bronze: DataFrame) -> DataFrame:
     """F10 for the Silver stage: rows dropped by each rule, in rule order
     (a row counts against the first rule it fails), in one pass."""
-    df = typed(harmonize_names(bronze))
+    return typed(harmonize_names(bronze)).agg(*_audit_counts())
+
+
+def _audit_counts() -> list[Column]:
     aggs, passed = [], None
     for name, keep in silver_predicates():
         keep = F.coalesce(keep, F.lit(False))
@@ -139,7 +147,7 @@ def rejection_audit(bronze: DataFrame) -> DataFrame:
         passed = keep if passed is None else passed & keep
     aggs.insert(0, F.count(F.lit(1)).alias("input_rows"))
     aggs.append(F.count_if(passed).alias("kept_rows"))
-    return df.agg(*aggs)
+    return aggs
 
 
 __all__ = ["harmonize_names", "typed", "clean", "dedupe", "derive", "silver", "rejection_audit",

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripspark.operators import marts, ml, quality, sampling
+from tripspark.operators import marts, ml, moments, quality, sampling, sketches
 from tripspark.operators.features import (
     build_features, cast_features, feature_predicates, raw_features, upload_features, usable_feature_row,
 )
@@ -173,6 +173,13 @@ def q_prediction_export(spark, sf_dir):
     return _round_log(read_csv(spark, path, schema=out.schema))
 
 
+def q_prediction_export_capped(spark, sf_dir):
+    """An export smaller than its input."""
+    p = predictions_df(spark, sf_dir).select("event_id", "trip_distance", "fare_pred")
+    path = export_predictions(p, scratch_path(spark, "export-capped"), key="event_id", n=2000)
+    return read_csv(spark, path, schema=p.schema)
+
+
 def q_bronze_stream(spark, sf_dir):
     """S1 as a file stream (4 files per micro-batch, availableNow)."""
     from tripspark.streaming.ingest import run_ingest
@@ -223,12 +230,13 @@ def q_bronze_extra_columns(spark, sf_dir):
 
 def q_silver_without_source_id(spark, sf_dir):
     """A22 on trips without an id of their own: the ingest's row id picks the
-    survivor (of rows that differ in the fare alone, hence left out)."""
+    survivor, which the fare tells apart. The files are in a fixed order, so
+    that the same row comes first everywhere."""
     raw = scratch_path(spark, "raw-noid")
-    bronze(spark, sf_dir).drop("event_id").write.parquet(raw)
+    bronze(spark, sf_dir).orderBy("event_id").drop("event_id").write.parquet(raw)
     path = scratch_path(spark, "bronze-noid")
     ingest_files(spark, list_files(spark, raw), path, files_per_batch=64, row_id=ROW_ID)
-    return silver(read_bronze(spark, path)).drop(ROW_ID, "fare_amount", "ingest_batch")
+    return silver(read_bronze(spark, path)).drop(ROW_ID, "ingest_batch")
 
 
 def q_silver_rerun(spark, sf_dir):
@@ -246,6 +254,31 @@ def q_silver_rerun(spark, sf_dir):
     return read_table(spark, silver_path).withColumn("ym", F.col("ym").cast("string"))
 
 
+def q_silver_stream_dedupe(spark, sf_dir):
+    """A22 as a stream: per month the trips arrive first, their copies in later
+    files, one file per micro-batch."""
+    from tripspark.sources.fixtures import DUPLICATE_ID_OFFSET
+    from tripspark.streaming.silver import run_silver
+
+    b = bronze(spark, sf_dir).withColumn("m", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    raw = scratch_path(spark, "raw-stream-silver")
+    for m in sorted(r.m for r in b.select("m").distinct().collect()):
+        for i, part in enumerate((F.col("event_id") < DUPLICATE_ID_OFFSET, F.col("event_id") >= DUPLICATE_ID_OFFSET)):
+            b.where((F.col("m") == m) & part).drop("m").write.parquet(f"{raw}/{m}/{i}")
+    out = scratch_path(spark, "silver-stream")
+    run_silver(spark, raw, out, scratch_path(spark, "silver-stream-ckpt"), schema=bronze(spark, sf_dir).schema, files_per_trigger=1)
+    return read_table(spark, out).withColumn("ym", F.col("ym").cast("string"))
+
+
+def q_curate_rejects(spark, sf_dir):
+    """what the curate job counts while it writes Silver."""
+    from tripspark.plans import jobs
+
+    path = write_table(bronze(spark, sf_dir), scratch_path(spark, "bronze-rejects"))
+    out = jobs.curate(spark, path, scratch_path(spark, "silver-rejects"), scratch_path(spark, "gold-rejects"))
+    return read_table(spark, out["rejects"]).select("rule", "rows")
+
+
 def q_stream_scores(spark, sf_dir):
     """M12 in micro-batches: a saved model scores a feature stream."""
     from tripspark.streaming.scoring import run_scoring
@@ -280,6 +313,26 @@ def q_wday_vs_wend(spark, sf_dir):
     return marts.weekday_vs_weekend(silver_df(spark, sf_dir), digits=DIGITS)
 
 
+def q_marts_incremental(spark, sf_dir):
+    """A1-A3, K2: marts brought up to date after each of two ingests; the second
+    one brings further files of a month that is there already."""
+    from tripspark.plans import jobs
+
+    files = _write_raw_files(spark, sf_dir)
+    path, silver_path, gold = (scratch_path(spark, f"{x}-inc") for x in ("bronze", "silver", "gold"))
+    cut = len(files) // 2 + 1
+    for part in (files[:cut], files[cut:]):
+        ingest_files(spark, part, path)
+        out = jobs.curate_new(spark, path, silver_path, gold)
+    long = None
+    for name, key in marts.PARTIAL_KEYS.items():
+        df = read_table(spark, out[name])
+        avg = [F.round(c, DIGITS).alias(c) if c in df.columns else F.lit(None).cast("double").alias(c) for c in ("avg_distance", "avg_total")]
+        df = df.select(F.lit(name).alias("mart"), F.col(key).cast("string").alias("key"), "trips", *avg)
+        long = df if long is None else long.unionByName(df)
+    return long
+
+
 def q_vendor_counts(spark, sf_dir):
     return marts.vendor_counts(bronze(spark, sf_dir))
 
@@ -479,6 +532,21 @@ def q_quantiles_repeated_values(spark, sf_dir):
     return quality.quantiles(f, ["two_valued", "whole_fare"], probs=[0.25, 0.5, 0.501, 0.75, 0.99], method="exact", **SEARCH)
 
 
+def q_quantile_sketch_bounds(spark, sf_dir):
+    """Quantiles from sketches stored per month and merged; the
+    true rank of each value lies within the stated error."""
+    cols = ["label", "trip_distance", "resid"]
+    rows = checkpointed(quality.with_errors(predictions_df(spark, sf_dir)).select("event_id", *cols, F.col("hour").alias("part")))
+    stored = checkpointed(sketches.sketch(rows, cols, by=["part"]))
+    found = sketches.quantiles(stored)
+    long = rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in cols])).alias("r")).select("r.*")
+    ranks = long.join(F.broadcast(found), "column").groupBy("column", "prob", "n").agg(  # a dozen quantiles
+        F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto"))
+    error = sketches.rank_error() * F.col("n")
+    within = (F.col("below") <= F.col("prob") * F.col("n") + error) & (F.col("upto") >= F.col("prob") * F.col("n") - error)
+    return ranks.select("column", "prob", "n", within.alias("within_bound"))
+
+
 def _with_gaps(spark, sf_dir):
     """Predictions with missing labels (every 5th row) and predictions
     (every 7th)."""
@@ -544,6 +612,35 @@ def q_lr_predictions(spark, sf_dir):
         .select("event_id", "label", F.round("prediction", 4).alias("prediction"))
 
 
+def _moment_rows(spark, sf_dir, train: bool) -> DataFrame:
+    """Moments of the features, stored by month: all months but the last first,
+    then the last one added."""
+    from tripspark.plans import jobs
+
+    feats = build_features(silver_df(spark, sf_dir), keep=("event_id", "ym"))
+    if train:
+        feats = sampling.hash_split(feats)[0]
+    path = write_table(feats, scratch_path(spark, "features-by-month"), partition_by=["ym"])
+    months = sorted(r.ym for r in read_table(spark, path).select(F.col("ym").cast("string").alias("ym")).distinct().collect())
+    out = scratch_path(spark, "moments")
+    for part in (months[:-1], months[-1:]):
+        if part:
+            jobs.update_moments(spark, path, out, months=part)
+    return read_table(spark, out)
+
+
+def q_lr_from_moments(spark, sf_dir):
+    """M3, M8: the linear model from moment rows per month."""
+    coef = moments.linear_coefficients(spark, _moment_rows(spark, sf_dir, train=True))
+    return coef.select("feature", F.round("coefficient", 4).alias("coefficient"), F.round("coefficient_unscaled", 4).alias("coefficient_unscaled"))
+
+
+def q_correlations_from_moments(spark, sf_dir):
+    """A10 from moment rows per month."""
+    cols = ["trip_distance", "passenger_count", "hour", "is_weekend", "trip_minutes", "log_distance"]
+    return moments.correlations(spark, _moment_rows(spark, sf_dir, train=False), "label", cols).withColumn("corr", F.round("corr", DIGITS))
+
+
 def q_score_batch(spark, sf_dir):
     in_path = write_table(features_df(spark, sf_dir), scratch_path(spark, "score-in"))
     train, _ = sampling.hash_split(read_table(spark, in_path))
@@ -553,6 +650,50 @@ def q_score_batch(spark, sf_dir):
     return _round_log(read_table(spark, out_path)).withColumn("fare_pred", F.round("fare_pred", 4))
 
 
+def _saved_model(spark, sf_dir) -> str:
+    return ml.save(_linear_model(spark, sf_dir), scratch_path(spark, "linreg-model"))
+
+
+def q_score_rejects(spark, sf_dir):
+    """Rows in, rejected per missing feature, scored; features are
+    blanked in every 11th and 13th row."""
+    feats = features_df(spark, sf_dir)
+    blank = lambda c, k, v: F.when(F.col("event_id") % k == 0, F.lit(v)).otherwise(F.col(c)).alias(c)
+    gaps = {"trip_distance": (11, float("nan")), "hour": (13, None)}
+    path = write_table(feats.select(*[blank(c, *gaps[c]) if c in gaps else c for c in feats.columns]), scratch_path(spark, "score-gaps"))
+    found = scratch_path(spark, "score-rejects")
+    score_batch(spark, path, scratch_path(spark, "score-kept"), _saved_model(spark, sf_dir), invalid="skip", rejects_path=found)
+    return read_table(spark, found)
+
+
+def q_score_batch_raw(spark, sf_dir):
+    """M12 on raw trips: missing pickups take ``as_of``, missing dropoffs the
+    default duration, and rows without a passenger count no prediction."""
+    b = bronze(spark, sf_dir).withColumn("tpep_pickup_datetime", F.when(F.col("event_id") % 7 != 0, F.col("tpep_pickup_datetime")))
+    path = write_table(b, scratch_path(spark, "score-raw"))
+    out = score_batch(spark, path, scratch_path(spark, "score-raw-out"), _saved_model(spark, sf_dir), mode="raw", as_of=AS_OF, invalid="keep")
+    return _round_log(read_table(spark, out)).select("event_id", *FEATS, F.round("fare_pred", 4).alias("fare_pred"))
+
+
+def _scored_upload(spark, sf_dir, frame: DataFrame, name: str) -> DataFrame:
+    from tripspark.plans import jobs
+
+    path = write_table(frame, scratch_path(spark, name), fmt="csv")
+    out = jobs.score_upload(spark, path, _saved_model(spark, sf_dir), scratch_path(spark, f"{name}-out"), keep=["event_id"])
+    rows = _round_log(read_table(spark, out["predictions"]))
+    return rows.select(F.col("event_id").try_cast("bigint").alias("event_id"), *FEATS, "trip_fare", F.round("fare_pred", 4).alias("fare_pred"))
+
+
+def q_upload_scored_a(spark, sf_dir):
+    """An upload of schema A, scored; rows without a dropoff have no
+    duration and no prediction."""
+    return _scored_upload(spark, sf_dir, upload_a_frame(bronze(spark, sf_dir)), "upload-scored-a")
+
+
+def q_upload_scored_b(spark, sf_dir):
+    return _scored_upload(spark, sf_dir, upload_b_frame(features_df(spark, sf_dir)), "upload-scored-b")
+
+
 def q_lr_coefficients(spark, sf_dir):
     coef = ml.coefficients(spark, _linear_model(spark, sf_dir))
     return coef.select("feature", F.round("coefficient", 4).alias("coefficient"),

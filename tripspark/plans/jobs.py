@@ -11,15 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import Observation, SparkSession, functions as F
 
-from tripspark.operators import marts, ml, quality, sampling
+from tripspark.operators import marts, ml, moments, quality, rejects, sampling
 from tripspark.operators.features import build_features, upload_features
-from tripspark.operators.scoring import score
-from tripspark.operators.silver import silver
+from tripspark.operators.scoring import counted_score
+from tripspark.operators.silver import clean, derive, harmonize_names, silver, typed
 from tripspark.schemas import FEATS, FEATURE_COLUMNS, ROW_ID, SEED
 from tripspark.session import restore, tune_for
-from tripspark.sources.readers import read_csv, read_table
+from tripspark.sources.readers import path_exists, read_csv, read_table
 from tripspark.sources.sinks import capped, ingest_folder, read_bronze, write_report_csv, write_table
 
 
@@ -36,18 +36,25 @@ def curate(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: st
 
     Silver is replaced as a whole, so it never holds a month that Bronze no
     longer has. ``months`` rewrites these months alone and leaves the others.
-    Marts are computed from the stored Silver, so they agree with it.
+    Marts are computed from the stored Silver, so they agree with it. What the
+    rules and the key took away is counted by the writing pass itself, over all
+    of Bronze, and stored as ``rejects`` (step, rule, rows).
     ``tune`` sizes the shuffle settings from the Bronze size first and puts
     the old ones back afterwards.
     """
     before = tune_for(spark, bronze_path) if tune else {}
     try:
-        s = silver(read_bronze(spark, bronze_path))
+        cleaned, kept = Observation(), Observation()
+        s = silver(read_bronze(spark, bronze_path), watch=cleaned).observe(kept, F.count(F.lit(1)).alias("rows"))
         if months:
             s = s.where(F.col("ym").isin(list(months)))
         write_table(s, silver_path, partition_by=["ym"], dynamic_overwrite=bool(months), rebalance=True)
         stored = read_table(spark, silver_path, merge_schema=True)
-        out = {"silver": silver_path}
+        counts = dict(cleaned.get)
+        counts = {"input": counts.pop("input_rows"), **counts, "output": kept.get["rows"]}
+        counts["duplicate_key"] = counts.pop("kept_rows") - counts["output"]
+        counts["output"] = counts.pop("output")  # last
+        out = {"silver": silver_path, "rejects": write_table(rejects.table(spark, counts), f"{gold_dir}/rejects")}
         for name, df in (("hourly_stats", marts.hourly_stats(stored)),
                          ("top_pu_zones", marts.top_pickup_zones(stored, top_zones)),
                          ("wday_vs_wend", marts.weekday_vs_weekend(stored))):
@@ -57,6 +64,49 @@ def curate(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: st
         restore(spark, before)
 
 
+def curate_new(spark: SparkSession, bronze_path: str, silver_path: str, gold_dir: str, top_zones: int = 50) -> dict[str, str]:
+    """Bring Silver and the marts up to date after an ingest.
+
+    The batches behind the last one handled say which months they touch; these
+    months of Silver, and their rows of the partial marts, are made anew from
+    all of their Bronze rows and replaced (dynamic partition overwrite). Other
+    months are neither read from Silver nor written. The marts are the sums of
+    the partial rows. The handled batch is recorded last, so that a run that
+    died is done over.
+    """
+    progress = f"{gold_dir}/progress"
+    since = read_table(spark, progress).agg(F.max("batch")).first()[0] if path_exists(spark, progress) else -1
+    bronze = read_bronze(spark, bronze_path)
+    pickup = F.col("tpep_pickup_datetime")
+    touched = (derive(clean(typed(harmonize_names(bronze.where(F.col("ingest_batch") > since)))))
+               .groupBy("ym").agg(F.min(F.trunc(pickup, "month")).alias("first")).collect())  # a row per month
+    last = bronze.agg(F.max("ingest_batch")).first()[0]
+    out = {"silver": silver_path, "progress": progress}
+    if touched:
+        months = [r["ym"] for r in touched]
+        inside = None  # plain bounds on the stored column, which reach the scan
+        for r in touched:
+            start = F.lit(r["first"]).cast("timestamp")
+            here = (pickup >= start) & (pickup < F.add_months(F.lit(r["first"]), 1).cast("timestamp"))
+            inside = here if inside is None else inside | here
+        write_table(silver(bronze.where(inside)).drop("ingest_batch"), silver_path, partition_by=["ym"], dynamic_overwrite=True, rebalance=True)
+        stored = read_table(spark, silver_path, months=months, merge_schema=True)
+        for name in marts.PARTIAL_KEYS:
+            write_table(marts.partial_mart(stored, name), f"{gold_dir}/partial/{name}", partition_by=["ym"], dynamic_overwrite=True)
+    for name in marts.PARTIAL_KEYS:
+        if path_exists(spark, f"{gold_dir}/partial/{name}"):
+            out[name] = write_table(marts.mart_from_partials(read_table(spark, f"{gold_dir}/partial/{name}"), name, top_zones), f"{gold_dir}/{name}")
+    write_table(spark.createDataFrame([(last,)], "batch bigint"), progress)
+    return out
+
+
+def update_moments(spark: SparkSession, features_path: str, moments_path: str, months: Sequence[str] | None = None) -> str:
+    """Moment rows of a feature table stored by month (``ym``); with ``months``
+    only these months are read and only their rows are replaced."""
+    rows = moments.moments(read_table(spark, features_path, months=months), FEATURE_COLUMNS)
+    return write_table(rows, moments_path, partition_by=["ym"], dynamic_overwrite=bool(months))
+
+
 def features(spark: SparkSession, silver_path: str, out_path: str,
              months: Sequence[str] | None = None) -> str:
     """Silver (optionally some months: partition pruning) -> feature table."""
@@ -155,23 +205,24 @@ def score_upload(spark: SparkSession, upload_path: str, model_path: str, out_dir
     export and the page's reports. With a ``trip_fare`` column the reports
     hold errors against it, without one average predictions only.
 
-    Metrics are over all rows; the cap is the export's alone. ``key`` orders
-    the export (default: its first column in ``keep``).
+    Rows that miss a feature stay in the predictions, with none, and are
+    counted by reason in ``rejects``. Reports are over all rows with a
+    prediction; the cap is the export's alone. ``key`` orders the export
+    (default: its first column in ``keep``, else a hash of the row).
     """
     rows = upload_features(read_csv(spark, upload_path), keep=keep)
-    valid = ml.valid_rows(rows, label=None)
-    pred = ml.load(model_path)
-    out = {"predictions": f"{out_dir}/predictions"}
-    scored = score(pred, valid)
+    out = {"predictions": f"{out_dir}/predictions", "rejects": f"{out_dir}/rejects"}
+    scored, watch = counted_score(ml.load(model_path), rows, invalid="keep")
     has_fare = "trip_fare" in scored.columns
     if has_fare:
         scored = scored.withColumn("abs_error", F.abs(F.col("trip_fare") - F.col("fare_pred")))
     write_table(scored, out["predictions"])
+    write_table(rejects.table(spark, watch.get), out["rejects"])
     stored = read_table(spark, out["predictions"])
     key = key or (keep[0] if keep else None)
-    if key:
-        numeric = stored.withColumn("_key", F.col(key).try_cast("double"))
-        out["export"] = write_report_csv(capped(numeric, "_key", export_rows).drop("_key"), f"{out_dir}/export")
+    by = F.col(key).try_cast("double") if key else F.shiftright(F.xxhash64(*stored.columns), 11).cast("double")
+    out["export"] = write_report_csv(capped(stored.withColumn("_key", by), "_key", export_rows).drop("_key"), f"{out_dir}/export")
+    stored = stored.where("fare_pred IS NOT NULL")
     reports = {"avg_pred_by_hour": quality.avg_pred_by_hour(stored),
                "by_distance_bin": quality.error_by_distance_bin_filled(stored, actual="trip_fare" if has_fare else None)}
     if has_fare:
