@@ -97,7 +97,9 @@ def test_upload_and_score(spark, scratch, layers, fare):
     path = K.write_table(upload if fare else upload.drop("trip_fare"), scratch("upload"), fmt="csv")
     out = jobs.score_upload(spark, path, layers["LinearRegression"], scratch("scored"), keep=["event_id"], export_rows=50)
     pred = R.read_table(spark, out["predictions"])
-    assert pred.where("fare_pred IS NULL").count() == 0 and ("abs_error" in pred.columns) == fare
+    rejected = {r.rule: r["rows"] for r in R.read_table(spark, out["rejects"]).collect()}
+    assert pred.count() == rejected["input"] == upload.count() and ("abs_error" in pred.columns) == fare
+    assert pred.where("fare_pred IS NOT NULL").count() == rejected["output"] < rejected["input"]
     export = R.read_csv(spark, out["export"], infer_schema=True)
     want = sorted(int(r.event_id) for r in pred.select("event_id").collect())[:50]
     assert sorted(r.event_id for r in export.collect()) == want
