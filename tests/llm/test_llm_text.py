@@ -315,49 +315,74 @@ def test_url_rules_and_verdicts(spark):
     verdict = {h + p: v for v, h, p in url_filter.RULES}
     for r in got:
         assert r.verdict == (verdict[r.rule] if r.rule else "block" if r.score > 0 else "allow")
-    by = {r.host: r for r in got if not r.rule}
-    assert by["cheap-pills.example.org"].verdict == "block" and by["blog.example.org"].verdict == "allow"
-    assert by["casinowin.example.com"].verdict == "block"
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    free = url_filter.judge(spark.createDataFrame([(1, "http://a.b/c", None)], "page_id long, url string, html string")).first()
+    assert (free.verdict, free.score) == ("allow", 0.0)
+
+
+def _tokens(host, path):
+    """Tokens of a url whose host words are not split, without the rules' own."""
+    host_words, path_words = {"net", "example", "com", "org"}, {"en", "de", "fr"}
+    out = ["h:" + w for w in re.findall(r"[a-z]+", host) if w not in host_words]
+    words = re.findall(r"[a-z]+|[0-9]+", path)
+    return out + ["p:" + ("<num>" if w.isdigit() else w) for w in words if w not in path_words]
 
 
 def test_scores_equal_plain_bayes(spark):
-    rows = [(i, f"http://{h}.example.{t}/{l}/{i}/{w}", "words") for i, (h, t, l, w) in enumerate(
-        [(h, t, l, w) for h in ("alpha", "beta") for t in ("net", "com", "org") for l in ("en", "de", "fr") for w in ("one", "two2three")])]
-    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"))
-    labels = {w: [w] for w in ("alpha", "beta", "example", "net", "com", "org")}  # unseen words are not split
-    n = {"block": Counter(), "allow": Counter()}
-    count = Counter()
-    tokens_of = {}
-    for i, u, _ in rows:
-        host, path, rule = brute_rule(u)
-        t = ["h:" + w for x in host.split(".") for w in labels[x]]
-        p = "".join(c if c.isalpha() else " " if not c.isdigit() else "0" for c in path)
-        for piece in p.split():
-            cur = ""
-            for c in piece + " ":
-                if c == "0" or c == " ":
-                    if cur:
-                        t.append("p:" + cur)
-                    cur = ""
-                else:
-                    cur += c
-        t += ["p:<num>"] * len(re.findall(r"[0-9]+", path))
-        tokens_of[i] = t
-        if rule:
-            v = next(v for v, h, q in url_filter.RULES if h + q == rule)
-            n[v].update(t)
-            count[v] += 1
-    for v, seeds in url_filter.SEED_WORDS.items():
-        for w in seeds:
-            n[v]["h:" + w] += url_filter.SEED_ROWS
-    vocab = set(n["block"]) | set(n["allow"])
-    total = {v: sum(c.values()) + len(vocab) for v, c in n.items()}
-    for r in got.collect():
-        odds = math.log((count["block"] + 1) / (count["allow"] + 1))
-        for t in tokens_of[r.page_id]:
-            odds += math.log((n["block"][t] + 1) / total["block"]) - math.log((n["allow"][t] + 1) / total["allow"])
-        assert r.score == pytest.approx(odds, abs=1e-6)
+    """Settings on the held-out hosts and scores of all urls."""
+    rng = random.Random(9)
+    hosts = [a + "-" + b for a in ("alpha", "beta", "gamma", "delta") for b in ("shop", "club", "news", "park", "bay")]
+    rows = []
+    for i in range(240):
+        h = rng.choice(hosts)
+        top = "net" if rng.random() < (0.8 if "shop" in h or "club" in h else 0.2) else "org"
+        rows.append((i, f"http://{h}.example.{top}/{rng.choice(('en', 'de', 'fr'))}/{i}/{rng.choice(('one', 'two2three'))}", "words"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    judged = [(r.page_id, r.host, r.held) for r in url_filter.judge(frame).selectExpr("page_id", "host", "pmod(xxhash64(host), 5) = 0 held").collect()]
+    held = {i for i, _, h in judged if h}
+    verdicts = {h + q: v for v, h, q in url_filter.RULES}
+    known = {i: (_tokens(*brute_rule(u)[:2]), verdicts.get(brute_rule(u)[2])) for i, u, _ in rows}
+    assert any(known[i][1] for i in held)
+
+    def model(ids):
+        n, count = {"block": Counter(), "allow": Counter()}, Counter()
+        for i in ids:
+            tokens, v = known[i]
+            if v:
+                n[v].update(tokens)
+                count[v] += 1
+        vocab = set(n["block"]) | set(n["allow"])
+        sums = {v: sum(c.values()) for v, c in n.items()}
+
+        def odds(tokens, a, q):
+            out = q * math.log((count["block"] + 1) / (count["allow"] + 1))
+            for t in tokens:
+                if t in vocab:
+                    out += math.log((n["block"][t] + a) / (sums["block"] + a * len(vocab))) - math.log((n["allow"][t] + a) / (sums["allow"] + a * len(vocab)))
+            return out
+        return odds
+
+    fit = model(i for i in known if i not in held)
+    settings = url_filter.held_out(frame).collect()
+    test = [known[i] for i in held if known[i][1]]
+    for r in settings:
+        scored = [(fit(t, r.smoothing, r.prior), v) for t, v in test]
+        assert r.rows == len(test)
+        assert r.loss == pytest.approx(sum(math.log1p(math.exp(-s if v == "block" else s)) for s, v in scored) / len(test))
+        assert r.accuracy == pytest.approx(sum((s > 0) == (v == "block") for s, v in scored) / len(test))
+    best = min(settings, key=lambda r: r.loss)
+    assert settings[0].loss == pytest.approx(best.loss)
+    whole = model(known)
+    for r in url_filter.judge(frame).collect():
+        assert r.score == pytest.approx(whole(known[r.page_id][0], settings[0].smoothing, settings[0].prior), abs=1e-6)
+
+
+def test_long_host_label(spark):
+    """A label of 10,000 letters is split like any other."""
+    label = "freebets" * 1250
+    counts = spark.createDataFrame([("free", 90), ("bets", 50), ("bet", 2)], "word string, n long")
+    got = url_filter.split_labels(spark.createDataFrame([(label,), ("free",)], "label string"), counts).collect()
+    assert {r.label: r.words for r in got} == {label: ["free", "bets"] * 1250, "free": ["free"]}
 
 
 def test_words_of_any_length(spark):
