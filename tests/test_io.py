@@ -182,3 +182,18 @@ def test_curate_with_tuning(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_csv_rejects_one_by_one(spark, scratch):
+    lines = ["id,fare,note", "1,2.5,plain", '2,3.5,"a,b"', "3,4.5", "4,5.5,x,more", "5,cheap,y", "6,,", '7,1,"say ""hi"""', "", "x9,1,z", '8,"open,z', '9,1,"last']
+    path = scratch("csv-checked")
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    got = R.read_csv_checked(spark, path, "id long, fare double, note string")
+    assert got.columns == ["id", "fare", "note", "reject_reason", "record"]
+    assert [tuple(r) for r in got.orderBy(F.coalesce("id", F.lit(99))).collect()] == [
+        (1, 2.5, "plain", None, None), (2, 3.5, "a,b", None, None), (3, 4.5, None, "short line", "3,4.5"),
+        (4, 5.5, "x", "long line", "4,5.5,x,more"), (5, None, "y", "bad value: fare", "5,cheap,y"), (6, None, None, None, None),
+        (7, 1.0, 'say "hi"', None, None), (8, None, None, "open quote", '8,"open,z'), (9, 1.0, "last", None, None), (None, 1.0, "z", "bad value: id", "x9,1,z")]
+    assert got.groupBy("reject_reason").count().where("reject_reason = 'short line'").first()["count"] == 1
+    with pytest.raises(ValueError, match="record"):
+        R.read_csv_checked(spark, path, "id long, record string")

@@ -24,7 +24,7 @@ from tripspark.session import checkpointed, scratch_path
 from tripspark.sources.fixtures import (
     bronze_trips, upload_a_frame, upload_b_frame, with_fixed_prediction,
 )
-from tripspark.sources.readers import list_files, read_csv, read_table
+from tripspark.sources.readers import list_files, read_csv, read_csv_checked, read_table
 from tripspark.sources.sinks import (
     export_predictions, ingest_files, read_bronze, write_report_csv, write_table,
 )
@@ -160,6 +160,20 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, schema=report.schema)
 
 
+def q_csv_rejects(spark, sf_dir):
+    """Trips as CSV lines, some short, long, with text for a zone or
+    with a line break inside quotes; all records with the reason of rejects."""
+    e = F.col("event_id")
+    note = F.when(e % 47 == 0, F.lit('"two\nlines, ""quoted"""')).otherwise(F.concat(F.lit("trip "), e))
+    line = (F.when(e % 37 == 0, F.concat_ws(",", e, "PULocationID"))
+            .when(e % 41 == 0, F.concat_ws(",", e, "PULocationID", "DOLocationID", note, F.lit("more")))
+            .when(e % 43 == 0, F.concat_ws(",", e, "PULocationID", F.lit("n/a"), note))
+            .otherwise(F.concat_ws(",", e, "PULocationID", "DOLocationID", note)))
+    path = scratch_path(spark, "csv-lines")
+    bronze(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_csv_checked(spark, path, "event_id bigint, pickup_zone int, dropoff_zone int, note string", header=False, multi_line=True)
+
+
 def q_parquet_roundtrip(spark, sf_dir):
     path = write_table(features_df(spark, sf_dir), scratch_path(spark, "features"))
     return _round_log(read_table(spark, path))

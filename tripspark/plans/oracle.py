@@ -266,6 +266,22 @@ SELECT hour, count(*) AS trips, round(avg(trip_distance), 6) AS avg_distance,
        round(avg(total_amount), 6) AS avg_total
 FROM silver GROUP BY hour"""
     q["csv_roundtrip"] = q["hourly_stats"]
+    q["csv_rejects"] = with_("bronze", """
+lines AS (
+  SELECT event_id AS e, PULocationID AS pu, DOLocationID AS d,
+         CASE WHEN event_id % 47 = 0 THEN 'two' || chr(10) || 'lines, "quoted"' ELSE 'trip ' || event_id END AS note,
+         CASE WHEN event_id % 47 = 0 THEN '"two' || chr(10) || 'lines, ""quoted""' || '"' ELSE 'trip ' || event_id END AS field,
+         CASE WHEN event_id % 37 = 0 THEN 'short line' WHEN event_id % 41 = 0 THEN 'long line'
+              WHEN event_id % 43 = 0 THEN 'bad value: dropoff_zone' END AS reason
+  FROM bronze)""") + """
+SELECT e AS event_id, CAST(pu AS INTEGER) AS pickup_zone,
+       CASE WHEN reason IS NULL OR reason = 'long line' THEN CAST(d AS INTEGER) END AS dropoff_zone,
+       CASE WHEN reason IS NULL OR reason <> 'short line' THEN note END AS note,
+       reason AS reject_reason,
+       CASE reason WHEN 'short line' THEN e || ',' || pu
+                   WHEN 'long line' THEN e || ',' || pu || ',' || d || ',' || field || ',more'
+                   WHEN 'bad value: dropoff_zone' THEN e || ',' || pu || ',n/a,' || field END AS record
+FROM lines"""
     q["top_pu_zones"] = with_("silver") + """
 SELECT PULocationID, count(*) AS trips FROM silver GROUP BY PULocationID
 ORDER BY trips DESC, PULocationID LIMIT 50"""

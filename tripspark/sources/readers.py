@@ -48,6 +48,49 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
+                     multi_line: bool = False, record_col: str = "record", reason_col: str = "reject_reason") -> DataFrame:
+    """CSV under a typed schema, with nothing lost or silently nulled.
+
+    One row per record: the declared columns, ``reject_reason`` (null for a
+    good record) and ``record`` (the text of a rejected one; with a
+    bad value, its fields as CSV again). Reasons, the
+    first that holds: ``open quote``, ``short line``, ``long line``,
+    ``bad value: <column>`` for the first column whose text does not convert.
+    What can be read of a rejected record is kept, the rest is null. Quotes
+    inside quoted fields are doubled; one left open swallows the fields after
+    it (in the last field it costs nothing and is no fault). An empty field is null and no fault;
+    empty lines are no records.
+
+    One scan: fields are read as text (so a record is malformed only by its
+    number of fields) and converted by ``try_cast``. ``multi_line`` allows
+    line breaks in quoted fields; a file is then read by one task, so large
+    inputs should come as many files. Otherwise files are split.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    taken = {f.name.lower() for f in declared.fields} & {record_col.lower(), reason_col.lower(), "_malformed"}
+    if taken:
+        raise ValueError(f"the schema already has {sorted(taken)}: name record_col and reason_col otherwise")
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields] + [T.StructField("_malformed", T.StringType())])
+    raw = (spark.read.schema(text).option("header", str(header).lower()).option("multiLine", str(multi_line).lower())
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
+           .option("columnPruning", "false")  # a pruned read does not count a line's fields
+           .option("quote", '"').option("escape", '"').csv(path))
+    bad = F.col("_malformed")
+    fields = 1 + F.regexp_count(F.regexp_replace(bad, r'"[^"]*"', ""), F.lit(","))
+    reason = (F.when(F.regexp_count(bad, F.lit('"')) % 2 == 1, "open quote")
+              .when(fields < len(declared.fields), "short line")
+              .when(bad.isNotNull(), "long line"))
+    value = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in declared.fields}
+    for f in declared.fields:
+        reason = reason.when(F.col(f"`{f.name}`").isNotNull() & value[f.name].isNull(), f"bad value: {f.name}")
+    # the raw text of a record with a bad value, as CSV again
+    quoted = [F.when(F.col(f"`{f.name}`").rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(F.col(f"`{f.name}`"), F.lit('"'), F.lit('""')), F.lit('"')))
+              .otherwise(F.coalesce(F.col(f"`{f.name}`"), F.lit(""))) for f in declared.fields]
+    record = F.when(reason.isNotNull(), F.coalesce(bad, F.concat_ws(",", *quoted)))
+    return raw.select(*[value[f.name].alias(f.name) for f in declared.fields], reason.alias(reason_col), record.alias(record_col))
+
+
 def read_any(spark: SparkSession, path: str, fmt: str | None = None, **kw) -> DataFrame:
     """Explicit ``fmt``, else the table format if the folder has a table
     log, CSV by suffix, otherwise Parquet. No catch-all fallback: a failing
