@@ -93,3 +93,47 @@ def test_bernoulli_sample_is_a_subset_of_about_the_fraction(spark):
     n, total = s.count(), C.predictions_df(spark, sf).count()
     assert 0.03 * total < n < 0.07 * total
     assert s.select("event_id").subtract(C.predictions_df(spark, sf).select("event_id")).count() == 0
+
+
+def test_tree_as_a_node_table(spark):
+    from tripspark.plans import catalog as C
+
+    train, test = C._split(spark, "/root/testdata/sf0.001")
+    model = ml.fit_tree(train)
+    nodes = ml.tree_nodes(model)
+    rows = {r.node: r for r in nodes.collect()}
+    assert 1 in rows and rows[1].rows == train.count()
+    for r in rows.values():
+        if r.feature is None:
+            assert r.rows >= 50
+        else:  # both children are there and share the rows
+            assert rows[r.left].rows + rows[r.right].rows == r.rows
+    leaf, value = ml.tree_columns(nodes)
+    got = train.select(leaf.alias("leaf")).groupBy("leaf").count().collect()
+    assert {r["leaf"]: r["count"] for r in got} == {n: r.rows for n, r in rows.items() if r.feature is None}
+    first = rows[1].feature
+    for gap in (F.lit(None).cast("double"), F.lit(float("nan"))):
+        r = test.limit(1).withColumn(first, gap).select(leaf.alias("leaf"), value.alias("value")).first()
+        assert r.leaf is None and r.value is None
+
+
+def test_split_gains_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    data = [tuple(float(rng.randrange(1, 9 if i % 2 else 400)) for i in range(len(FEATS))) + (rng.gauss(0, 3),) for _ in range(300)]
+    data += [data[0][:1] + (None,) + data[0][2:]]  # not usable
+    train = spark.createDataFrame(data, ", ".join(f"{c} double" for c in FEATS) + ", label double").repartition(3)
+    got = {(r.feature, r.threshold): (r.rows_left, r.gain) for r in ml.split_gains(train, bins=8, min_instances=20).collect()}
+    want, data = {}, data[:300]
+    var = lambda ys: sum((y - sum(ys) / len(ys)) ** 2 for y in ys) / len(ys)
+    for i, c in enumerate(FEATS):
+        xs = sorted(r[i] for r in data)
+        for cut in {xs[-(-j * 300 // 8) - 1] for j in range(1, 8)}:
+            left, right = [r[-1] for r in data if r[i] <= cut], [r[-1] for r in data if r[i] > cut]
+            if min(len(left), len(right)) >= 20:
+                want[c, cut] = (len(left), var([r[-1] for r in data]) - len(left) / 300 * var(left) - len(right) / 300 * var(right))
+    assert got.keys() == want.keys()
+    for k, (n, gain) in want.items():
+        assert got[k][0] == n and got[k][1] == pytest.approx(gain, abs=1e-9)
+    assert ml.split_gains(train.limit(0)).count() == 0

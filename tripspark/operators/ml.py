@@ -14,10 +14,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tripspark.operators.features import _not_missing
-from tripspark.operators.quality import error_sums, metrics_of
+from tripspark.operators.quality import error_sums, metrics_of, quantiles
 from tripspark.operators.sampling import row_key
 from tripspark.schemas import FEATS, SEED, TREE_MAX_DEPTH, TREE_MIN_INSTANCES
 
@@ -71,6 +71,85 @@ def tree_pipeline(prediction_col: str = "prediction", max_depth: int = TREE_MAX_
     return Pipeline(stages=[assembler(), dt])
 
 
+NODE_SCHEMA = ("node bigint, depth int, feature string, threshold double, left bigint, right bigint, "
+               "gain double, rows bigint, prediction double")
+
+
+def tree_nodes(model: PipelineModel) -> DataFrame:
+    """M4: the fitted tree as a table, one row per node. The root is node 1,
+    the children of node i are 2i and 2i + 1; a leaf has no feature. A row
+    goes left where ``feature <= threshold``. At most 2 ** (depth + 1) - 1
+    rows, whatever the training data."""
+    features = model.stages[0].getInputCols()
+    rows, todo = [], [(1, 0, model.stages[-1]._call_java("rootNode"))]
+    while todo:
+        number, depth, node = todo.pop()
+        count, value = int(node.impurityStats().count()), float(node.prediction())
+        if node.subtreeDepth() == 0:
+            rows.append((number, depth, None, None, None, None, None, count, value))
+            continue
+        split = node.split()
+        if split.getClass().getSimpleName() != "ContinuousSplit":
+            raise ValueError(f"node {number} splits a categorical feature")
+        rows.append((number, depth, features[split.featureIndex()], float(split.threshold()), 2 * number, 2 * number + 1,
+                     float(node.gain()), count, value))
+        todo += [(2 * number, depth + 1, node.leftChild()), (2 * number + 1, depth + 1, node.rightChild())]
+    return SparkSession.getActiveSession().createDataFrame(sorted(rows), NODE_SCHEMA)
+
+
+def tree_columns(nodes: DataFrame) -> tuple[Column, Column]:
+    """(leaf, prediction): a node table compiled into column expressions that
+    stay inside code generation. A null or NaN feature on a row's way gives
+    null for both, as no branch is taken."""
+    at = {r.node: r for r in nodes.collect()}
+
+    def value(number: int, of) -> Column:
+        row = at[number]
+        if row.feature is None:
+            return of(row)
+        x = F.col(row.feature).cast("double")
+        return F.when(x <= row.threshold, value(row.left, of)).when((x > row.threshold) & ~F.isnan(x), value(row.right, of))
+
+    return value(1, lambda r: F.lit(r.node)), value(1, lambda r: F.lit(r.prediction))
+
+
+def split_gains(train: DataFrame, bins: int = 32, min_instances: int = TREE_MIN_INSTANCES,
+                label: str = "label", **search) -> DataFrame:
+    """M4: feature, threshold, rows_left, gain of every candidate for a first
+    split: the exact i/bins quantiles of each feature that leave
+    ``min_instances`` rows on both sides. The gain is the fall in the label's
+    population variance.
+
+    One scan after the quantiles: rows are counted per feature and bin, with
+    partial sums on the map side, so at most ``6 * bins`` rows are summed up
+    along the bins.
+    """
+    data = valid_rows(train).select(*[F.col(c).cast("double").alias(c) for c in FEATS], F.col(label).cast("double").alias("_label"))
+    found = quantiles(data, FEATS, [i / bins for i in range(1, bins)], method="exact", **search)
+    cuts: dict[str, list[float]] = {c: [] for c in FEATS}
+    for r in found.where("value IS NOT NULL").select("column", "value").distinct().orderBy("column", "value").collect():
+        cuts[r["column"]].append(r["value"])  # at most bins - 1 per feature
+
+    def threshold(c: str) -> Column:  # the smallest cut that is not below the value
+        out = F.lit(None).cast("double")
+        for cut in reversed(cuts[c]):
+            out = F.when(F.col(c) <= cut, cut).otherwise(out)
+        return out
+
+    long = data.select("_label", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), threshold(c).alias("threshold")) for c in FEATS])).alias("b"))
+    per = long.groupBy("b.feature", "b.threshold").agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("s"))
+    upto = Window.partitionBy("feature").orderBy(F.col("threshold").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("feature")
+    sums = per.select("feature", "threshold", F.sum("n").over(upto).alias("nl"), F.sum("s").over(upto).alias("sl"),
+                      F.sum("n").over(whole).alias("n"), F.sum("s").over(whole).alias("s"))
+    sums = sums.where(F.col("threshold").isNotNull() & (F.col("nl") >= min_instances) & (F.col("n") - F.col("nl") >= min_instances))
+    mean, left = F.col("s") / F.col("n"), F.col("sl") / F.col("nl")
+    right = (F.col("s") - F.col("sl")) / (F.col("n") - F.col("nl"))
+    share = F.col("nl") / F.col("n")
+    gain = share * (left - mean) * (left - mean) + (1 - share) * (right - mean) * (right - mean)
+    return sums.select("feature", "threshold", F.col("nl").alias("rows_left"), gain.alias("gain"))
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit with the training rows persisted for the duration of the fit."""
     data = valid_rows(train).persist(StorageLevel.MEMORY_AND_DISK)

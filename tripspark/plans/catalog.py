@@ -745,6 +745,26 @@ def q_dt_invariants(spark, sf_dir):
                       (F.max(F.col("high") - F.col("low")) == 0).alias("one_value_per_leaf"))
 
 
+def q_dt_node_predictions(spark, sf_dir):
+    """M4 as a node table: its compiled predictions against the model's."""
+    train, test = _split(spark, sf_dir)
+    model = ml.fit_tree(train)
+    _, value = ml.tree_columns(ml.tree_nodes(model))
+    out = ml.predict(model, test).withColumn("by_nodes", value)
+    return out.select("event_id", "label", (F.col("by_nodes") == F.col("prediction")).alias("same_prediction"))
+
+
+def q_dt_root_split(spark, sf_dir):
+    """M4: gains of all candidates for the first split, and whether the fitted
+    root, with thresholds of its own, comes within 2 % of each."""
+    train, _ = _split(spark, sf_dir)
+    train = checkpointed(train)
+    root = ml.tree_nodes(ml.fit_tree(train)).where("node = 1").first()
+    gains = ml.split_gains(train)
+    return gains.select("feature", "threshold", "rows_left", F.round("gain", 6).alias("gain"),
+                        (F.col("gain") * 0.98 <= root.gain).alias("root_not_worse"))
+
+
 def q_model_metrics_invariants(spark, sf_dir):
     """M7: twelve values, RMSE at least MAE for each model and split."""
     m = q_model_metrics(spark, sf_dir)

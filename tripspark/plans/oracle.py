@@ -237,6 +237,19 @@ FROM bronze"""
     q["dt_invariants"] = with_("features") + f"""
 SELECT count(*) AS train_rows, true AS leaves_large, true AS leaves_predict_mean, true AS one_value_per_leaf
 FROM features WHERE {_hash_pct("event_id", None)} < 80"""
+    q["dt_node_predictions"] = with_("features") + f"""
+SELECT event_id, label, true AS same_prediction FROM features WHERE NOT ({_hash_pct("event_id", None)} < 80)"""
+    q["dt_root_split"] = with_("features", f"""
+train AS (SELECT * FROM features WHERE {_hash_pct("event_id", None)} < 80),
+long AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS x, label FROM train" for c in FEATS) + """),
+cuts AS (SELECT DISTINCT feature, unnest(quantile_disc(x, [""" + ", ".join(f"{i / 32}" for i in range(1, 32)) + """])) AS threshold
+         FROM long GROUP BY feature),
+sides AS (SELECT c.feature, c.threshold, count(*) FILTER (x <= threshold) AS rows_left, count(*) AS n,
+                 var_pop(label) AS v, var_pop(label) FILTER (x <= threshold) AS vl, var_pop(label) FILTER (x > threshold) AS vr
+          FROM cuts c JOIN long l ON c.feature = l.feature GROUP BY 1, 2)""") + """
+SELECT feature, threshold, rows_left,
+       round(v - rows_left / n * vl - (n - rows_left) / n * vr, 6) AS gain, true AS root_not_worse
+FROM sides WHERE rows_left >= 50 AND n - rows_left >= 50"""
     q["model_metrics_invariants"] = \
         "SELECT CAST(4 AS BIGINT) AS model_splits, true AS rmse_not_below_mae, true AS r2_at_most_one"
     q["sample_bernoulli_invariants"] = "SELECT true AS no_repeats, true AS subset, true AS share_fits"
