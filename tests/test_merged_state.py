@@ -179,3 +179,24 @@ def test_stream_dedupe_survives_restarts_and_counts_late_rows(spark, scratch):
     old.withColumn("trip_distance", F.lit(2.0)).withColumn("total_amount", F.lit(2.0)).coalesce(1).write.parquet(f"{src}/late")
     assert run_silver(spark, src, out, ckpt, schema=b.schema, delay="1000 days") > 0
     assert read_table(spark, out).count() == want.count()
+
+
+def test_sample_states_merge(spark):
+    """States of parts, of whatever partitioning, give the sample of the whole;
+    weights act, and rows without one are never drawn."""
+    from tripspark.operators import sampling
+
+    rows = [(i, "m1" if i % 3 else "m2", float(i % 10) if i % 7 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "event_id long, part string, w double")
+    one = sampling.sample_state(df.where("part = 'm1'").repartition(5), 50, ["part"], key="event_id", seed=7)
+    two = sampling.sample_state(df.where("part = 'm2'").repartition(2), 50, ["part"], key="event_id", seed=7)
+    assert (one.count(), two.count()) == (50, 50)
+    ids = lambda d: sorted(r.event_id for r in d.collect())
+    got = sampling.merged_sample(one.unionByName(two), 50, key="event_id")
+    assert got.columns == df.columns
+    assert ids(got) == ids(sampling.fixed_size_sample(df, 50, key="event_id", seed=7))
+    state = sampling.sample_state(df, 5000, ["part"], key="event_id", weight="w")
+    assert state.count() == sum(1 for _, _, w in rows if w)
+    top = sampling.merged_sample(state, 300, key="event_id").collect()
+    assert len(top) == 300 and sum(r.w for r in top) / 300 > 5.5  # 5.0 over the rows with a weight
+    assert sampling.merged_sample(sampling.sample_state(df.limit(0), 5, ["part"], key="event_id"), 5, key="event_id").count() == 0

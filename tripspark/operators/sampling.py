@@ -7,7 +7,9 @@ on any cluster size; the Bernoulli forms keep Spark's ``sample`` /
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tripspark.functions import hash_order_key, hash_percent
 from tripspark.operators.features import MissingColumnsError
@@ -67,3 +69,40 @@ def fixed_size_sample(df: DataFrame, n: int, key: str | None = None, seed: int |
     digest = hash_order_key(F.col(key), seed)
     lead = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return smallest_n(df, n, [digest, F.col(key)], lead)
+
+
+_STATE = ("_priority", "_digest")
+SPREAD = 64  # sub-groups that a state's group is cut into first
+
+
+def sample_state(df: DataFrame, n: int, by: Sequence[str], key: str | None = None, seed: int | None = None,
+                 weight: str | None = None) -> DataFrame:
+    """X4 as a mergeable state: of each ``by`` group (a month, say) the ``n``
+    rows of smallest priority, with ``_priority`` and ``_digest``. Stored once
+    per group, :func:`merged_sample` draws from any set of groups without
+    their rows.
+
+    The priority is -ln(1 - u) / weight, u being the key's hash as a fraction:
+    the n smallest are a sample without replacement in which a row's chance
+    of being drawn next is in proportion to its weight. Without a weight the
+    order is that of :func:`fixed_size_sample`. Rows whose weight is null, NaN
+    or not above 0 are never drawn. At most ``SPREAD * n`` rows of a group,
+    however large, meet in one task.
+    """
+    key = row_key(df, key)
+    digest = hash_order_key(F.col(key), seed)
+    share = F.conv(F.substring("_digest", 1, 13), 16, 10).cast("bigint") / float(1 << 52)
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    rows = df.withColumn("_digest", digest).withColumn("_priority", -F.log(1 - share) / F.when((w > 0) & ~F.isnan(w), w))
+    order = [*_STATE, key]
+    part = Window.partitionBy(*by, F.pmod(F.xxhash64("_digest"), F.lit(SPREAD))).orderBy(*order)
+    some = rows.where("_priority IS NOT NULL").withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= n)
+    whole = Window.partitionBy(*by).orderBy(*order)
+    return some.withColumn("_rank", F.row_number().over(whole)).where(F.col("_rank") <= n).drop("_rank")
+
+
+def merged_sample(states: DataFrame, n: int, key: str | None = None) -> DataFrame:
+    """``min(n, rows)`` rows of all groups of stored states, which must hold
+    at least ``n`` rows per group (or all of it)."""
+    key = row_key(states, key)
+    return smallest_n(states, n, [*map(F.col, _STATE), F.col(key)], F.col("_priority")).drop(*_STATE)

@@ -610,6 +610,19 @@ def q_sample_fixed_n(spark, sf_dir):
     return _round_log(sampling.fixed_size_sample(predictions_df(spark, sf_dir), 3000, seed=7))
 
 
+def q_sample_bottom_k(spark, sf_dir):
+    """X4 from a stored state per group, merged: the rows of sample_fixed_n."""
+    state = checkpointed(sampling.sample_state(predictions_df(spark, sf_dir), 3000, ["is_weekend"], seed=7))
+    return _round_log(sampling.merged_sample(state, 3000))
+
+
+def q_sample_weighted(spark, sf_dir):
+    """X4 with the trip distance as weight, from a stored state per group."""
+    rows = predictions_df(spark, sf_dir).select("event_id", "trip_distance", "is_weekend")
+    state = checkpointed(sampling.sample_state(rows, 1000, ["is_weekend"], seed=7, weight="trip_distance"))
+    return sampling.merged_sample(state, 1000)
+
+
 # ------------------------------------------------------------------ models
 def q_scaled_features(spark, sf_dir):
     feats = _feature_table(spark, sf_dir)

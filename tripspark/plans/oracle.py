@@ -502,6 +502,11 @@ FROM pred ORDER BY event_id LIMIT 10000"""
         f"SELECT event_id, trip_distance, label, fare_pred FROM pred WHERE {_hash_pct('event_id', 1 * 7)} < 1"
     q["sample_fixed_n"] = with_("pred") + f"""
 SELECT {_PRED_COLS} FROM pred ORDER BY md5('7:' || CAST(event_id AS VARCHAR)), event_id LIMIT 3000"""
+    q["sample_bottom_k"] = q["sample_fixed_n"]
+    q["sample_weighted"] = with_("pred") + """
+SELECT event_id, trip_distance, is_weekend FROM pred WHERE trip_distance > 0
+ORDER BY -ln(1 - CAST(('0x' || substr(md5('7:' || CAST(event_id AS VARCHAR)), 1, 13)) AS BIGINT) / 4503599627370496.0) / trip_distance,
+         event_id LIMIT 1000"""
     q["scaled_features"] = with_("split") + "SELECT event_id, " + ", ".join(
         f"round(CASE WHEN stddev_samp({f}) FILTER (WHERE is_train) OVER () > 0 "
         f"THEN {f} / stddev_samp({f}) FILTER (WHERE is_train) OVER () ELSE 0.0 END, 6) AS {f}_scaled"
