@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripspark.operators import marts, ml, moments, rejects, sampling, scoring, sketches
+from tripspark.operators import marts, ml, moments, quality, rejects, sampling, scoring, sketches
 from tripspark.operators.silver import silver
 from tripspark.plans import jobs
 from tripspark.plans.catalog import bronze, features_df, silver_df
@@ -200,3 +200,15 @@ def test_sample_states_merge(spark):
     top = sampling.merged_sample(state, 300, key="event_id").collect()
     assert len(top) == 300 and sum(r.w for r in top) / 300 > 5.5  # 5.0 over the rows with a weight
     assert sampling.merged_sample(sampling.sample_state(df.limit(0), 5, ["part"], key="event_id"), 5, key="event_id").count() == 0
+
+
+@pytest.mark.parametrize("resolution", [0.1, 7.0, 1000.0])
+def test_histogram_from_cells(spark, resolution):
+    """Cells finer and coarser than the bins, values on the edges, nulls."""
+    rows = [(i % 3, float(i % 97) / 4 - 9) for i in range(700)] + [(1, None), (2, float("nan")), (0, 40.0)]
+    df = spark.createDataFrame(rows, "part long, x double").repartition(4)
+    cells = quality.histogram_cells(df, "x", ["part"], resolution)
+    got = quality.histogram_from_cells(cells, df, "x", 14, resolution)
+    want = quality.histogram(df, "x", 14)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -255,7 +255,6 @@ def histogram(df: DataFrame, col: str, n_bins: int = 60, digits: int | None = No
     ``range(n_bins)``, whose size is the parameter, not the data.
     Null and NaN values take no part.
     """
-    spark = df.sparkSession
     x = F.col(col)
     df = df.where(x.isNotNull() & ~F.isnan(x))
     bounds = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"))
@@ -265,9 +264,48 @@ def histogram(df: DataFrame, col: str, n_bins: int = 60, digits: int | None = No
               .select(F.least(F.floor((x - F.col("lo")) / F.col("width")), F.lit(n_bins - 1))
                       .cast("int").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
-    dim = spark.range(n_bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(bounds))
+    return _all_bins(bounds, binned, n_bins, digits)
+
+
+def _all_bins(bounds: DataFrame, binned: DataFrame, n_bins: int, digits: int | None) -> DataFrame:
+    """Every bin with its edges; those without rows have count 0."""
+    dim = bounds.sparkSession.range(n_bins).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(bounds))
     return (dim.join(F.broadcast(binned), "bin", "left")  # at most n_bins rows
             .select("bin",
                     _r(F.col("lo") + F.col("bin") * F.col("width"), digits).alias("bin_lo"),
                     _r(F.col("lo") + (F.col("bin") + 1) * F.col("width"), digits).alias("bin_hi"),
                     F.coalesce(F.col("n"), F.lit(0)).alias("n")))
+
+
+def histogram_cells(df: DataFrame, col: str, by: Sequence[str] = ("ym",), resolution: float = 0.1) -> DataFrame:
+    """A21 as a mergeable state: ``by``, cell, n, lo, hi. Rows are counted in
+    cells of a fixed ``resolution``, whatever the bounds; one scan, and a new
+    month adds its own rows. Null and NaN values take no part."""
+    x = F.col(col)
+    rows = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, F.floor(x / resolution).alias("cell"), x.alias("_x"))
+    return rows.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+
+
+def histogram_from_cells(cells: DataFrame, df: DataFrame, col: str, n_bins: int = 60, resolution: float = 0.1,
+                         digits: int | None = None) -> DataFrame:
+    """:func:`histogram` of ``df`` from its stored cells, exactly. The
+    bounds come from the cells. A cell whose smallest and largest value share
+    a bin counts there; only the rows of the others, at most ``n_bins - 1``
+    cells with a bin's edge inside, are read again."""
+    merged = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last"))
+    bounds = cells.select(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / n_bins).otherwise(F.lit(1.0))
+    bounds = bounds.select("lo", "hi", width.alias("width"))
+
+    def bin_of(x: Column) -> Column:
+        return F.least(F.floor((x - F.col("lo")) / F.col("width")), F.lit(n_bins - 1)).cast("int")
+
+    placed = merged.join(F.broadcast(bounds), how="cross").select("cell", "n", bin_of(F.col("first")).alias("bin"), bin_of(F.col("last")).alias("to"))
+    whole = placed.where("bin = to").select("bin", "n")
+    edges = placed.where("bin <> to").select("cell")
+    x = F.col(col)
+    again = (df.where(x.isNotNull() & ~F.isnan(x)).select(F.floor(x / resolution).alias("cell"), x.alias("_x"))
+             .join(F.broadcast(edges), "cell", "left_semi").join(F.broadcast(bounds), how="cross")  # at most n_bins - 1 cells; one row
+             .groupBy(bin_of(F.col("_x")).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    binned = whole.unionByName(again).groupBy("bin").agg(F.sum("n").alias("n"))
+    return _all_bins(bounds, binned, n_bins, digits)

@@ -537,6 +537,13 @@ def q_residual_histogram(spark, sf_dir):
     return quality.histogram(quality.with_errors(predictions_df(spark, sf_dir)), "resid", 60, digits=DIGITS)
 
 
+def q_histogram_merged(spark, sf_dir):
+    """A21 from cells stored per group: the rows of residual_histogram."""
+    rows = checkpointed(quality.with_errors(predictions_df(spark, sf_dir)).select("resid", F.col("hour").alias("part")))
+    cells = checkpointed(quality.histogram_cells(rows, "resid", ["part"]))
+    return quality.histogram_from_cells(cells, rows, "resid", 60, digits=DIGITS)
+
+
 def q_quantiles_repeated_values(spark, sf_dir):
     """A9 where values repeat: a two-valued column, cent amounts, and ranks
     at the very edge of a run of equal values."""

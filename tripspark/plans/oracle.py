@@ -472,6 +472,7 @@ dim AS (SELECT CAST(range AS INTEGER) AS bin FROM range(60))""") + """
 SELECT dim.bin, round(lo + dim.bin * width, 6) AS bin_lo, round(lo + (dim.bin + 1) * width, 6) AS bin_hi,
        coalesce(binned.n, 0) AS n
 FROM dim CROSS JOIN bw LEFT JOIN binned ON dim.bin = binned.bin"""
+    q["histogram_merged"] = q["residual_histogram"]
     q["residual_histogram_nan"] = with_("pred", """
 r AS (SELECT label - fare_pred AS resid FROM pred
       WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0),
