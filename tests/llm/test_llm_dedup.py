@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
+import tempfile
 from collections import Counter, defaultdict
 
 import corpus
@@ -219,7 +221,9 @@ def test_suffix_order_and_common_prefixes(text, repeat, wide, memory):
     old, suffix_sort.WIDE = suffix_sort.WIDE, wide
     try:
         t = np.array(text * repeat + [0])
-        order, shared = suffix_sort.suffixes(t, 5, 1000, memory)
+        with tempfile.TemporaryDirectory() as folder:
+            order, shared = suffix_sort.suffixes(t, 5, 1000, memory, folder)
+            assert not os.listdir(folder)  # the queues' files are gone
     finally:
         suffix_sort.WIDE = old
     s = t.tolist()

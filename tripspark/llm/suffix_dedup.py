@@ -284,28 +284,29 @@ def _fetch_windows(batches):
         yield _without_repeats(held)
 
 
-def repeated_windows(pieces: list[bytes], did: np.ndarray, tkey: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(pieces: list[bytes], did: np.ndarray, tkey: np.ndarray, start: np.ndarray, folder: str | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(piece, place) of each SPAN-byte window of the pieces that also starts
-    earlier, by document and place, in a piece."""
+    earlier, by document and place, in a piece. Of the suffixes only those
+    that share SPAN bytes with a neighbour are held; the sort's queues spill
+    to the folder."""
     size = np.array([len(p) for p in pieces], np.int64)
     joined = np.frombuffer(b"\0".join(pieces) + b"\0\0", np.uint8).astype(np.int16) + 2
     offs = np.concatenate([[0], np.cumsum(size + 1)])
     joined[offs[1:] - 1] = 1
     joined[-1] = 0
-    order, shared = suffix_sort.suffixes(joined, 258, SPAN)
-    piece = np.searchsorted(offs, order, "right") - 1
-    piece = np.minimum(piece, len(pieces) - 1)
-    place = order - offs[piece]
-    whole = place + SPAN <= size[piece]
-    same = np.zeros(len(order), bool)
-    same[1:] = (shared[1:] >= SPAN) & whole[1:] & whole[:-1]
-    inside = same.copy()
-    inside[:-1] |= same[1:]
-    at = np.flatnonzero(inside)
-    if not len(at):
+    held, above = [], False  # blocks come from the last suffixes to the first
+    for order, shared in suffix_sort.blocks(joined, 258, SPAN, folder=folder):
+        piece = np.minimum(np.searchsorted(offs, order, "right") - 1, len(pieces) - 1)
+        # what shares SPAN bytes with a whole window is a whole window
+        same = (shared >= SPAN) & (order - offs[piece] + SPAN <= size[piece])
+        inside = same | np.append(same[1:], above)
+        above = bool(same[0])
+        held.append((piece[inside], order[inside], same[inside]))
+    piece, order, same = (np.concatenate(c) for c in zip(*held[::-1]))
+    if not len(order):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    group = np.cumsum(~same)[at]
-    p, w = piece[at], place[at]
+    group = np.cumsum(~same)
+    p, w = piece, order - offs[piece]
     by = np.lexsort((start[p] + w, tkey[p], did[p], group))
     p, w, group = p[by], w[by], group[by]
     d, t, s = did[p], tkey[p], start[p] + w
@@ -317,7 +318,7 @@ def repeated_windows(pieces: list[bytes], did: np.ndarray, tkey: np.ndarray, sta
     return p[later], w[later]
 
 
-def _sort_shard(batches):
+def _sort_shards(batches, folder: str):
     """Pieces sorted by key -> spans found by the suffix array. Keys are
     never torn: a shard ends between two keys."""
     schema = pa.schema([*_KEYS, ("start", pa.int64()), ("length", pa.int32())])
@@ -335,7 +336,7 @@ def _sort_shard(batches):
         live = np.flatnonzero(~alone)
         if not len(live):
             return None
-        p, w = repeated_windows([pieces[i] for i in live], did[live], tkey[live], start[live])
+        p, w = repeated_windows([pieces[i] for i in live], did[live], tkey[live], start[live], folder)
         p = live[p]
         d, t, s, n = _merged(did[p], tkey[p], start[p] + w, np.full(len(p), SPAN))
         return pa.RecordBatch.from_arrays([pa.array(d), pa.array(t), pa.array(s), pa.array(n.astype(np.int32))], schema=schema)
@@ -368,7 +369,7 @@ def _at_documents(docs: DataFrame, segs: DataFrame) -> DataFrame:
 
 
 def pieces(docs: DataFrame, segs: DataFrame) -> DataFrame:
-    """The segments' bytes, keyed for :func:`_sort_shard`."""
+    """The segments' bytes, keyed for :func:`_sort_shards`."""
     return _at_documents(docs, segs).mapInArrow(_fetch, _PIECES)
 
 
@@ -393,10 +394,12 @@ def spans(docs: DataFrame) -> DataFrame:
     segs = found.where("place >= 0")
     hot = runtime.stored(segs.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT).select("key"), "hot-anchors")
     out = found.where("place < 0").select("did", "tkey", "start", "length")
-    if not hot.isEmpty():  # at most one in HOT segments: small enough to send
-        out = out.unionByName(_hot_spans(docs, segs.join(F.broadcast(hot), "key", "left_semi")))
-        segs = segs.join(F.broadcast(hot), "key", "left_anti")
-    edges = pieces(docs, segs).repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_shard, "did long, tkey long, start long, length int")
+    if not hot.isEmpty():  # joined by size: the list grows with the input
+        out = out.unionByName(_hot_spans(docs, segs.join(hot, "key", "left_semi")))
+        segs = segs.join(hot, "key", "left_anti")
+    folder = runtime.scratch(spark, "suffix-queues")
+    edges = (pieces(docs, segs).repartition(n, "key").sortWithinPartitions("key")
+             .mapInArrow(lambda batches: _sort_shards(batches, folder), "did long, tkey long, start long, length int"))
     return out.unionByName(edges)
 
 
