@@ -265,6 +265,31 @@ def test_em_finds_the_mixture():
     assert 0.1 < a[3] < 0.25 and 0.7 < a[5] < 0.85 and 0 < m < 1 and a[0] == 0.0
 
 
+def test_em_fits_both_levels_together():
+    """Tokens drawn from a known mixture: its weights come back, and no small
+    step away from them is more likely."""
+    rng = np.random.default_rng(4)
+    size, m, a = 60_000, 0.7, {2: 0.25, 6: 0.6}
+    b = rng.choice([2, 6], size)
+    level = np.where(rng.random(size) < np.vectorize(a.get)(b), 2, np.where(rng.random(size) < m, 1, 0))
+    # each level draws from a share 1/64 or 1/32 of the words; the others meet these as often
+    two = np.where((level == 2) | (rng.random(size) < 1 / 64), 6 * lm_score.STEP, -9999)
+    one = np.where((level == 1) | (rng.random(size) < 1 / 32), 5 * lm_score.STEP, -9999)
+    rows = pd.DataFrame({"bucket": b, "two": two, "one": one, "n": 1}).groupby(["bucket", "two", "one"], as_index=False).sum()
+    got_m, got_a = lm_score.estimate_weights(rows)
+
+    def likelihood(m, a2, a6):
+        share = np.where(rows["bucket"] == 2, a2, a6)
+        x, y = (np.where(rows[c] == -9999, 0, 2.0 ** (rows[c] / lm_score.STEP)) for c in ("two", "one"))
+        return float(rows["n"] @ np.log(share * x + (1 - share) * (m * y + 1 - m)))
+
+    best = likelihood(got_m, got_a[2], got_a[6])
+    for step in (-1e-3, 1e-3):
+        assert best >= max(likelihood(got_m + step, got_a[2], got_a[6]), likelihood(got_m, got_a[2] + step, got_a[6]), likelihood(got_m, got_a[2], got_a[6] + step))
+    assert got_a[2] == pytest.approx(0.25, abs=0.015) and got_a[6] == pytest.approx(0.6, abs=0.015) and got_m == pytest.approx(0.7, abs=0.015)
+    assert got_a[3] == got_a[2] and got_a[0] == got_a[1] == 0.0  # buckets without tokens take the one below
+
+
 def test_key_lists_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 500):

@@ -6,8 +6,9 @@ Model, over words and one end token per text:
     p(w)     = m * c(w) / N              +  (1 - m) / (V + 1)
 
 where b(h) is the bucket (power of two) of the context's count. The weights a
-and m come from expectation-maximisation over a held-out tenth of the training
-texts, with counts of the other nine tenths; the scores use all of them.
+and m come from one expectation-maximisation over both levels on a held-out
+tenth of the training texts, with counts of the other nine tenths, run until
+it no longer gains; the scores use all of them.
 
 Counts move, texts do not. Texts are cut into cells of some million tokens,
 written once to the shared folder as codes into the cell's own word list. Each
@@ -44,6 +45,7 @@ CELL_TOKENS = 3_000_000
 RANGE_KEYS = 3_000_000
 END, BEGIN = np.uint64(0xE5D0F0E5D0F0E5D1), np.uint64(0xBE610000BE610001)
 STEP = 4  # histogram bins per octave
+GAIN = 1e-10  # log likelihood per token that a round of EM must add to be followed by another
 TRAIN, DEV = 1, 2  # bits of a text's role
 OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _CELLS = "cell long, n_tokens long, doc_ids array<long>, counts array<int>, role int, vocab binary, control binary, data binary"
@@ -258,29 +260,30 @@ def _histogram(model: Model, texts: int):
     return run
 
 
-def estimate_weights(rows: pd.DataFrame, rounds: int = 200) -> tuple[float, list[float]]:
-    """EM for m and a[bucket] on the histogram (columns bucket, two, one, n)."""
+def estimate_weights(rows: pd.DataFrame) -> tuple[float, list[float]]:
+    """EM for m and all a[bucket] together on the histogram (columns bucket,
+    two, one, n). It ends when a round raises the log likelihood of a token by
+    less than ``GAIN``; as EM never lowers it, that always happens."""
     n = rows["n"].to_numpy(float)
     ratio = lambda c: np.where(rows[c] == -9999, 0.0, np.exp2(rows[c].to_numpy(float) / STEP))
     one, two, b = ratio("one"), ratio("two"), rows["bucket"].to_numpy(int)
-
-    def em(x: np.ndarray, y: np.ndarray, weight: np.ndarray, start: float) -> float:
-        """Share of x in a mixture of x and y that explains the tokens best."""
-        s = start
-        for _ in range(rounds):
-            post = s * x / np.maximum(s * x + (1 - s) * y, 1e-300)
-            new = float((weight * post).sum() / weight.sum())
-            if abs(new - s) < 1e-9:
-                break
-            s = new
-        return min(max(s, 1e-6), 1 - 1e-6)
-
-    m = em(one, np.ones_like(one), n, 0.5) if n.sum() else 0.5
-    low = m * one + (1 - m)
-    a = [0.0] * 64
+    total = np.bincount(b, n, 64)
+    m, a, before = 0.5, np.where(np.arange(64) > 0, 0.5, 0.0), -np.inf
+    while n.sum() > 0:
+        upper, middle, lower = a[b] * two, (1 - a[b]) * m * one, (1 - a[b]) * (1 - m)
+        p = upper + middle + lower
+        now = float(n @ np.log(p)) / n.sum()
+        if now - before < GAIN:
+            break
+        before = now
+        a = np.clip(np.bincount(b, n * upper / p, 64) / np.maximum(total, 1), 0, 1 - 1e-6)
+        middle, lower = (float(n @ (x / p)) for x in (middle, lower))
+        m = min(max(middle / max(middle + lower, 1e-300), 1e-6), 1 - 1e-6)
+    a = np.where(total > 0, np.maximum(a, 1e-6), a).tolist()
+    a[0] = 0.0
     for k in range(1, 64):
-        at = b == k
-        a[k] = em(two[at], low[at], n[at], 0.5) if n[at].sum() else a[k - 1]
+        if not total[k]:
+            a[k] = a[k - 1]
     return m, a
 
 
