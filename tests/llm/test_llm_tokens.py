@@ -194,3 +194,29 @@ def test_field_counts_add_up(spark):
         assert sum(r.n_tokens for r in rows) == rows[0].doc_tokens
     with pytest.raises(ValueError):
         token_counts.token_bytes(TOKENIZERS[WORD_BPE])
+
+
+def test_a_run_of_letters_is_looked_up_once():
+    tok = tokens.PieceTokenizer(BYTE_BPE)
+    asked, model = [], tok.model
+
+    class Counting:
+        def tokenize(self, text):
+            asked.append(text)
+            return model.tokenize(text)
+
+    tok.model = Counting()
+    texts = ["x qwertz qwertz, qwertz; (qwertz qwertz.", "y qwertz! qwertz qwertz"] * 3
+    ids, offs = tok.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(offs[:-1], offs[1:])] == [direct(BYTE_BPE, t) for t in texts]
+    assert sum("qwertz" in a for a in asked) == 1
+
+
+def test_many_new_pieces_at_once(monkeypatch):
+    monkeypatch.setattr(tokens, "FRESH", 3)
+    for path in (BYTE_BPE, WORD_BPE):
+        tok = tokens.PieceTokenizer(path)
+        texts = [None, "", " lead", *[t for _, t, *_ in ROWS[:40]], "one two, two two.\n", ""]
+        for _ in range(2):
+            ids, offs = tok.encode(pa.array(texts, pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(offs[:-1], offs[1:])] == [direct(path, t) for t in texts]

@@ -14,14 +14,17 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tripspark.llm import runtime, words
 
 MEMO_LIMIT = 1_200_000  # pieces kept by one worker process, and their characters
 MEMO_CHARS = 64 << 20
+FRESH = 1024  # new pieces handled at a time
 
 _ASCII_SPACE = " \t\n\x0b\x0c\r"
 _PUNCT = ",.;:!?%&*$#|()[]\"-"
@@ -88,49 +91,66 @@ class PieceTokenizer:
     def _whole(self, piece: str) -> list[int]:
         return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
-    def _letters(self, word: str, spaced: bool) -> list[int]:
-        """A run of letters, normalised: one pre-token of either tokenizer."""
-        text = (" " + word if spaced else word).encode().decode("latin-1").translate(self.bytes_to_chars)
-        return [t.id for t in self.model.tokenize(text)]
+    def _letters(self, runs: list[str]) -> list[list[int]]:
+        """Normalised runs of letters: each is one pre-token of either tokenizer."""
+        if not runs:
+            return []
+        text = "\n".join(runs).encode().decode("latin-1").translate(self.bytes_to_chars)  # no run has a line feed
+        return [[t.id for t in self.model.tokenize(run)] for run in text.split(self.bytes_to_chars[0x0A])]
 
     def _known(self, word: str, spaced: bool) -> list[int] | None:
         """Ids of a piece that an earlier batch met."""
         code = (self.inner if spaced or not self.spaced else self.first).get(word, self.done)
         return self.flat[self.start[code]:self.start[code + 1]].tolist() if code < self.done else None
 
-    def _piece(self, piece: str, spaced: bool) -> list[int]:
-        head = word = piece.rstrip(_PUNCT)
-        if not self.spaced:
-            word = word.lower() if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
-        if not word.isalpha() or not head.isalpha():
-            return self._whole(" " + piece if spaced else piece)
-        if len(head) == len(piece):
-            return self._letters(word, spaced)
-        ids = self._known(head, spaced)
+    def _tail(self, tail: str) -> list[int]:
+        ids = self.tails.get(tail)
         if ids is None:
-            ids = self._letters(word, spaced)
-        tail = piece[len(head):]
-        more = self.tails.get(tail)
-        if more is None:
-            more = self.tails[tail] = self._whole(tail)
-        return ids + more
+            ids = self.tails[tail] = self._whole(tail)
+        return ids
+
+    def _pieces(self, fresh: list[tuple[str, str]]) -> list[list[int]]:
+        """Ids of each new piece; a run of letters that several pieces begin
+        with is looked up once."""
+        rows: list[list[int]] = [[]] * len(fresh)
+        runs: dict[str, int] = {}
+        open_: list[tuple[int, int, str]] = []
+        for i, (kind, piece) in enumerate(fresh):
+            spaced = kind == "spaced"
+            head = word = piece.rstrip(_PUNCT)
+            if not self.spaced:
+                word = word.lower() if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+            if kind == "whole" or not word.isalpha() or not head.isalpha():
+                rows[i] = self._whole(" " + piece if spaced else piece)
+                continue
+            tail = piece[len(head):]
+            ids = self._known(head, spaced) if tail else None
+            if ids is None:
+                open_.append((i, runs.setdefault(" " + word if spaced else word, len(runs)), tail))
+            else:
+                rows[i] = ids + self._tail(tail)
+        made = self._letters(list(runs))
+        for i, at, tail in open_:
+            rows[i] = made[at] + self._tail(tail) if tail else made[at]
+        return rows
 
     def _add_fresh(self) -> None:
-        """Append the ids of new pieces, in the order of their codes."""
-        rows = [self._whole(p) if kind == "whole" else self._piece(p, kind == "spaced") for kind, p in self.fresh]
-        n = self.counter[0]
-        first = n - len(rows)
+        """Append the ids of new pieces, in the order of their codes. Only some
+        are held as lists at a time: Python's garbage collector walks these."""
         self.kept += sum(len(p) for _, p in self.fresh)
+        for i in range(0, len(self.fresh), FRESH):
+            rows = self._pieces(self.fresh[i:i + FRESH])
+            n = self.done + len(rows)
+            lens = np.fromiter(map(len, rows), np.int64, len(rows))
+            need = self.n_flat + int(lens.sum())
+            if need > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.empty(max(need, len(self.flat)), self.dtype)])
+            if n + 1 > len(self.start):
+                self.start = np.concatenate([self.start, np.zeros(max(n + 1, len(self.start)), np.int64)])
+            self.flat[self.n_flat:need] = np.fromiter(chain.from_iterable(rows), self.dtype, int(lens.sum()))
+            self.start[self.done + 1:n + 1] = self.n_flat + np.cumsum(lens)
+            self.n_flat, self.done = need, n
         self.fresh.clear()
-        lens = np.fromiter(map(len, rows), np.int64, len(rows))
-        need = self.n_flat + int(lens.sum())
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(need, len(self.flat)), self.dtype)])
-        if n + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros(max(n + 1, len(self.start)), np.int64)])
-        self.flat[self.n_flat:need] = np.fromiter((i for r in rows for i in r), self.dtype, int(lens.sum()))
-        self.start[first + 1:n + 1] = self.n_flat + np.cumsum(lens)
-        self.n_flat, self.done = need, n
 
     # a batch -------------------------------------------------------------
 
@@ -160,31 +180,46 @@ class PieceTokenizer:
             odd[row_of(high[wide])] = 2
         return odd
 
+    def _split(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the texts' pieces between single spaces, end to end, and
+        their number in each text. A piece of a batch is looked up once."""
+        lists = pc.split_pattern(column, " ")
+        count = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        pieces = lists.flatten().dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        codes = np.fromiter(map(self.inner.__getitem__, names), np.int64, len(names))[at]
+        if self.spaced:
+            begin = np.cumsum(count) - count
+            codes[begin] = [self.first[names[i]] for i in at[begin].tolist()]
+        return codes, count
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a column, end to end, and the rows' offsets
         into them. Null counts as empty."""
         if self.counter[0] + len(self.tails) > MEMO_LIMIT or self.kept > MEMO_CHARS:
             self.reset()
-        texts = column.to_pylist()
-        odd = self._odd(*words.text_bytes(column)) if self.spaced else np.zeros(len(texts), np.int8)
-        inner, first, whole = self.inner.__getitem__, self.first.__getitem__, self.whole.__getitem__
-        codes: list[int] = []
-        ends = np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                if odd[i] == 0:
-                    pieces = text.split(" ")
-                    codes.append(first(pieces[0]))
-                    codes.extend(map(inner, pieces[1:]))
-                elif odd[i] == 1 and not any(t in text for t in self.added):
-                    for piece in _RUNS.findall(text):
-                        codes.append(inner(piece[1:]) if piece[0] == " " and len(piece) > 1 and piece[1] not in _ASCII_SPACE else whole(piece))
-                else:
-                    codes.append(whole(text))
-            ends[i + 1] = len(codes)
+        odd = self._odd(*words.text_bytes(column)) if self.spaced else np.zeros(len(column), np.int8)
+        some = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False) > 0
+        inner, whole = self.inner.__getitem__, self.whole.__getitem__
+        count = np.zeros(len(column), np.int64)
+        plain = some & (odd == 0)
+        split, count[plain] = self._split(column.filter(pa.array(plain)))
+        others: list[int] = []
+        for i in np.flatnonzero(some & ~plain).tolist():
+            text, before = column[i].as_py(), len(others)
+            if odd[i] == 1 and not any(t in text for t in self.added):
+                for piece in _RUNS.findall(text):
+                    others.append(inner(piece[1:]) if piece[0] == " " and len(piece) > 1 and piece[1] not in _ASCII_SPACE else whole(piece))
+            else:
+                others.append(whole(text))
+            count[i] = len(others) - before
         if self.fresh:
             self._add_fresh()
-        at = np.array(codes, np.int64)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        at = np.empty(ends[-1], np.int64)
+        of_plain = np.repeat(plain, count)
+        at[of_plain], at[~of_plain] = split, others
         begin = self.start[at]
         count = self.start[at + 1] - begin
         total = np.concatenate([[0], np.cumsum(count)])
