@@ -220,3 +220,23 @@ def test_many_new_pieces_at_once(monkeypatch):
         for _ in range(2):
             ids, offs = tok.encode(pa.array(texts, pa.string()))
             assert [ids[a:b].tolist() for a, b in zip(offs[:-1], offs[1:])] == [direct(path, t) for t in texts]
+
+
+def test_frequencies_do_not_grow_with_the_tasks(spark):
+    tasks, vocabulary = 40, 500
+    rows = [(list(range(0, 2 * vocabulary, 2)), [t + 1] * vocabulary) for t in range(tasks)]
+    rows += [([], []), ([7, 100_000], [2, 3]), (None, None)]
+    raw = spark.createDataFrame(rows, "freq_ids array<int>, freq array<long>").repartition(len(rows))
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches, add_up=token_output._add_up):
+        for batch in add_up(batches):
+            made.add(batch.num_rows)
+            yield batch
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_output, "_add_up", counted)
+        got = {r["id"]: r["n"] for r in token_output.frequencies(raw).collect()}
+    each = tasks * (tasks + 1) // 2
+    assert got == {**{i: each for i in range(0, 2 * vocabulary, 2)}, 7: 2, 100_000: 3}
+    assert made.value <= token_output.FOLDS * vocabulary + 2

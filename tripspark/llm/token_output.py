@@ -31,6 +31,7 @@ from tripspark.llm import runtime, tokens
 
 MAGIC = b"FRVB"
 BLOCK_IDS = 1 << 18  # a block closes once it holds this many ids
+FOLDS = 8  # tasks that add up the frequencies of all others
 
 #: lengths (1-4) of the four values behind each control byte
 LENGTHS = np.array([[1 + (c >> (2 * k) & 3) for k in range(4)] for c in range(256)], np.uint8)
@@ -150,6 +151,27 @@ def _encode(tokenizer_path: str, end_id: int):
     return run
 
 
+def _add_up(batches):
+    """Frequencies of several tasks -> their sums, one row per id."""
+    total = np.zeros(1, np.int64)
+    for batch in batches:
+        for ids, n in zip(batch.column(0), batch.column(1)):
+            ids = ids.values.to_numpy(zero_copy_only=False)  # distinct and ascending
+            if len(ids) and ids[-1] >= len(total):
+                total = np.concatenate([total, np.zeros(int(ids[-1]) + 1 - len(total), np.int64)])
+            total[ids] += n.values.to_numpy(zero_copy_only=False)
+    ids = np.flatnonzero(total)
+    yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int32()), "n": pa.array(total[ids])})
+
+
+def frequencies(raw: DataFrame) -> DataFrame:
+    """(id, n) of all ids. The tasks' arrays are added up in at most ``FOLDS``
+    tasks first, so that the rows to shuffle grow with the vocabulary and not
+    with the number of tasks."""
+    arrays = raw.where("freq IS NOT NULL").select("freq_ids", "freq").coalesce(FOLDS)
+    return arrays.mapInArrow(_add_up, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 _FILE_SCHEMA = "part int, block int, start_in_part long, n_docs int, n_ids long, data binary"
 
 
@@ -166,9 +188,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     raw = spark.read.schema(_RAW_SCHEMA).parquet(raw_path)
 
     # at most one row per vocabulary id
-    freq = raw.where("freq IS NOT NULL").select(F.explode(F.arrays_zip("freq_ids", "freq")).alias("f"))
-    freq = freq.groupBy(F.col("f.freq_ids").alias("id")).agg(F.sum("f.freq").alias("n"))
-    ranked = sorted(((-r["n"], r["id"]) for r in freq.collect()))
+    ranked = sorted(((-r["n"], r["id"]) for r in frequencies(raw).collect()))
     rank_of = np.zeros(max((i for _, i in ranked), default=0) + 1, np.uint32)
     for rank, (_, i) in enumerate(ranked):
         rank_of[i] = rank
