@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from tripspark.operators import ml, sampling
 from tripspark.operators.scoring import score
+from tripspark.plans import catalog
 from tripspark.plans.catalog import _write_raw_files, features_df
 from tripspark.sources.readers import read_table
 from tripspark.sources.sinks import read_bronze
+from tripspark.streaming import silver as silver_stream
 from tripspark.streaming.ingest import run_ingest
 from tripspark.streaming.scoring import run_scoring
 
@@ -42,3 +44,23 @@ def test_stream_scoring_equals_batch(spark, scratch):
     batch = score(model, read_table(spark, src)).select("event_id", "fare_pred")
     assert streamed.count() == batch.count() == 909
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_silver_stream_batches_do_not_grow_with_the_scan(spark, scratch, monkeypatch):
+    src = scratch("events")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(6).write.parquet(f"{src}/events.parquet")
+    seen, late_rows = [], silver_stream.late_rows
+
+    def counted(query):
+        seen.append(sum(p["numInputRows"] > 0 for p in query.recentProgress))
+        return late_rows(query)
+
+    monkeypatch.setattr(silver_stream, "late_rows", counted)
+    want = catalog.silver_df(spark, src)
+    months = want.select("ym").distinct().count()
+    for file_rows, most in ((250_000, 1), (40, 2)):  # at 40 rows a file, up to 16 files a micro-batch
+        monkeypatch.setattr(catalog, "STREAM_FILE_ROWS", file_rows, raising=False)
+        got = catalog.q_silver_stream_dedupe(spark, src).select(*want.columns)
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+        assert sum(seen) <= 2 * months * most
+        seen.clear()

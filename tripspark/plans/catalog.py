@@ -37,6 +37,8 @@ SEARCH = {"accuracy": 500, "max_candidates": 200}
 # Source files per month: a month's rows are spread over this many files
 # (by event_id), so no single write task holds a whole (possibly hot) month.
 RAW_PARTS_PER_MONTH = 4
+# Rows per file of the Silver stream's source.
+STREAM_FILE_ROWS = 250_000
 
 
 # ------------------------------------------------------------------ base frames
@@ -270,17 +272,24 @@ def q_silver_rerun(spark, sf_dir):
 
 def q_silver_stream_dedupe(spark, sf_dir):
     """A22 as a stream: per month the trips arrive first, their copies in later
-    files, one file per micro-batch."""
+    files; the stream takes up each arrival before the next one. Files hold up
+    to STREAM_FILE_ROWS rows and a micro-batch many files, so the number of
+    micro-batches, each with its own commit of all state, hardly grows."""
     from tripspark.sources.fixtures import DUPLICATE_ID_OFFSET
     from tripspark.streaming.silver import run_silver
 
-    b = bronze(spark, sf_dir).withColumn("m", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-    raw = scratch_path(spark, "raw-stream-silver")
-    for m in sorted(r.m for r in b.select("m").distinct().collect()):
-        for i, part in enumerate((F.col("event_id") < DUPLICATE_ID_OFFSET, F.col("event_id") >= DUPLICATE_ID_OFFSET)):
-            b.where((F.col("m") == m) & part).drop("m").write.parquet(f"{raw}/{m}/{i}")
-    out = scratch_path(spark, "silver-stream")
-    run_silver(spark, raw, out, scratch_path(spark, "silver-stream-ckpt"), schema=bronze(spark, sf_dir).schema, files_per_trigger=1)
+    b = bronze(spark, sf_dir)
+    rows = (b.withColumn("m", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+            .withColumn("again", F.col("event_id") >= DUPLICATE_ID_OFFSET))
+    staged = scratch_path(spark, "stream-arrivals")  # the source is scanned once, not once for each arrival
+    rows.write.partitionBy("m", "again").parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    arrivals = sorted(rows.groupBy("m", "again").count().collect(), key=lambda r: (r["m"] is None, r["m"] or "", bool(r["again"])))
+    raw, out, ckpt = (scratch_path(spark, f"{name}-stream-silver") for name in ("raw", "out", "ckpt"))
+    for i, r in enumerate(arrivals):
+        part = rows.where(F.col("m").eqNullSafe(F.lit(r["m"])) & F.col("again").eqNullSafe(F.lit(r["again"]))).select(*b.columns)
+        part.repartition(-(-r["count"] // STREAM_FILE_ROWS)).write.parquet(f"{raw}/{i}")
+        run_silver(spark, raw, out, ckpt, schema=b.schema)
     return read_table(spark, out).withColumn("ym", F.col("ym").cast("string"))
 
 
