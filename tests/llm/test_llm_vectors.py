@@ -208,6 +208,14 @@ def test_contour_finds_the_largest_eigenpairs(d, rank, seed, whole):
     assert np.abs(u.T @ u - np.eye(len(values))).max(initial=0) < 1e-12
 
 
+def test_a_mixture_of_outer_vectors_inside_the_interval():
+    b = np.random.default_rng(13001).standard_normal((12, 10))
+    a = b @ b.T
+    values, u = feast.largest(a, 16)
+    assert len(values) == 10 and np.allclose(values, np.linalg.eigvalsh(a)[::-1][:10], rtol=1e-10)
+    assert np.abs(a @ u - u * values).max() <= 1e-9
+
+
 def test_inertia_counts():
     rng = np.random.default_rng(5)
     a = rng.standard_normal((30, 30))

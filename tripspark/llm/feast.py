@@ -68,9 +68,12 @@ def in_interval(a: np.ndarray, low: float, high: float, count: int, scale: float
         q = np.linalg.qr(y)[0]
         values, small = np.linalg.eigh(q.T @ a @ q)
         vectors = q @ small
-        inside = (values > low) & (values < high)
-        if inside.sum() == count:
-            worst = np.linalg.norm(a @ vectors[:, inside] - vectors[:, inside] * values[inside], axis=0).max(initial=0)
+        inside = np.flatnonzero((values > low) & (values < high))
+        if len(inside) >= count:
+            residual = np.linalg.norm(a @ vectors[:, inside] - vectors[:, inside] * values[inside], axis=0)
+            # a mixture of outer vectors may lie inside for many rounds: it has a large residual
+            inside = inside[np.sort(np.argsort(residual, kind="stable")[:count])]
+            worst = np.sort(residual)[:count].max(initial=0)
             if best is None or worst < best[0]:
                 best = worst, values[inside], vectors[:, inside]
             elif worst <= 1e-11 * scale:  # no longer improves
